@@ -70,7 +70,7 @@ def run_job(
     if commit not in COMMITS:
         raise ValueError(f"commit must be one of {COMMITS}")
     verdicts = settle(job.verdicts(records, measure=True), "verdicts", "outcome")
-    counts = _counts(job, verdicts)
+    counts = count_outcomes(verdicts, job.table.primary_key)
     failure = check_counts(counts, max_rejects)
     if failure is not None and commit == "atomic":
         return JobResult(job.name, FAILED, counts, verdicts, failure=failure)
@@ -132,8 +132,11 @@ def _publish(spark: SparkSession, job: Job, verdicts: DataFrame, sink: Sink) ->
     )
 
 
-def _counts(job: Job, verdicts: DataFrame) -> dict[str, int]:
-    """Counters by outcome and reason; the rows collected number at most outcomes x reasons."""
+def count_outcomes(verdicts: DataFrame, primary_key: Sequence[str] = ()) -> dict[str, int]:
+    """Counters by outcome and reason; the rows collected number at most outcomes x reasons.
+
+    Repeated primary keys of accepted records count as violations.
+    """
     groups = (
         verdicts.groupBy("outcome", "reason")
         .agg(F.count(F.lit(1)).alias("records"), F.count("violation").alias("violations"))
@@ -144,9 +147,9 @@ def _counts(job: Job, verdicts: DataFrame) -> dict[str, int]:
         return sum(row.records for row in groups if row.outcome == outcome)
 
     violations = sum(row.violations for row in groups)
-    if job.table.primary_key:
+    if primary_key:
         accepted = verdicts.where(F.col("outcome") == R.ACCEPTED)
-        violations += repeated_primary_keys(accepted, job.table.primary_key).count()
+        violations += repeated_primary_keys(accepted, primary_key).count()
     return {
         "read": sum(row.records for row in groups),
         "accepted": total(R.ACCEPTED),
@@ -154,5 +157,5 @@ def _counts(job: Job, verdicts: DataFrame) -> dict[str, int]:
         "filtered": total(R.FILTERED),
         "unreadable": total(R.READ_ERROR),
         "violations": violations,
-        **{f"skipped_{row.reason}": row.records for row in groups if row.outcome == R.SKIPPED},
+        **{f"skipped {row.reason}": row.records for row in groups if row.outcome == R.SKIPPED},
     }

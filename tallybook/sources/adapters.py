@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallybook.operators.lookup import from_mapping
 from tallybook.sources.delimited import ORDER
 from tallybook.sources.records import table_records
+from tallybook.session import shared_folder
 
 MONEY = "decimal(15,2)"
 EVENT_KINDS = {
@@ -53,6 +54,85 @@ def transaction_text(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def transaction_files(spark: SparkSession, folder: str) -> str:
+    """The transactions as delimited files in record order, some lines hard to read; returns their folder.
+
+    Types stand in quotes with padding or a comma, dates mix separators, and some records lack a field, have one
+    too many or hold text that is no number or no date. Every file starts with a header line.
+    """
+    key = F.col("ord") % 50
+    text = transaction_text(spark, folder)
+    date = F.when(key == 11, F.concat(F.left("fecha", F.lit(8)), F.lit("31x")))
+    date = date.when(key == 12, F.translate("fecha", "/", "-")).otherwise(F.col("fecha"))
+    amount = F.when(key == 21, F.concat("monto", F.lit(" EUR"))).otherwise(F.col("monto"))
+    kind = F.when(key == 31, "").when(key == 32, '"otro, ""raro"""').otherwise(F.concat_ws("", F.lit('"'), "tipo", F.lit('"')))
+    line = F.concat_ws(",", "id", date, amount, kind)
+    line = F.when(key == 41, F.concat_ws(",", "id", date, amount)).when(key == 42, F.concat(line, F.lit(",x"))).otherwise(line)
+    placed = text.select("ord", line.alias("line")).repartitionByRange("ord").sortWithinPartitions("ord")
+    first_of_file = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    lines = placed.select(F.when(first_of_file, F.concat(F.lit("id,fecha,monto,tipo\n"), "line")).otherwise(F.col("line")).alias("value"))
+    path = shared_folder(spark, "transactions")
+    lines.write.text(path)
+    return path
+
+
+def messy_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """Event dates as text in eight spellings, good and bad."""
+    day = F.col("ts").cast("date")
+    kind = F.col("event_id") % 8
+    text = (
+        F.when(kind == 0, F.date_format(day, "yyyy-MM-dd"))
+        .when(kind == 1, F.date_format(day, "yyyy/MM/dd"))
+        .when(kind == 2, F.date_format(day, "yyyy/MM-dd"))
+        .when(kind == 3, F.date_format(day, "yyyy-M-d"))
+        .when(kind == 4, F.concat(F.lit("  "), F.date_format(day, "yyyy-MM-dd"), F.lit("\t")))
+        .when(kind == 5, F.date_format(day, "yyyy-02-30"))
+        .when(kind == 6, F.date_format(day, "yyyy-MM"))
+        .otherwise(F.lit(" "))
+    )
+    return load(spark, folder, "events").select("event_id", text.alias("fecha"))
+
+
+def messy_accounts(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as text fields in ten spellings, good and bad."""
+    kind = F.col("c_custkey") % 10
+    key = F.col("c_custkey").cast("string")
+    balance = F.col("c_acctbal").cast(MONEY).cast("string")
+    whole = F.floor("c_acctbal").cast("string")
+    number = (
+        F.when(kind == 1, F.concat(F.lit("+"), key))
+        .when(kind == 2, F.concat(key, F.lit(".0")))
+        .when(kind == 3, F.concat(F.lit(" "), key, F.lit("\t")))
+        .when(kind == 4, F.concat(key, F.lit("x")))
+        .when(kind == 5, F.lit(""))
+        .when(kind == 6, F.concat(F.lit("00"), key))
+        .when(kind == 7, F.concat(key, F.lit("000000000000000000000")))
+        .otherwise(key)
+    )
+    amount = (
+        F.when(kind == 1, F.concat(balance, F.lit("0000000")))
+        .when(kind == 2, F.concat(whole, F.lit("E1")))
+        .when(kind == 3, F.concat(F.lit(" "), balance, F.lit(" ")))
+        .when(kind == 4, F.concat(balance, F.lit("000000")))
+        .when(kind == 5, F.lit("  "))
+        .when(kind == 6, F.concat(whole, F.lit(".")))
+        .when(kind == 7, F.concat(whole, F.lit("e-2")))
+        .when(kind == 8, F.translate(balance, ".", ","))
+        .otherwise(balance)
+    )
+    name = (
+        F.when(kind == 1, F.concat(F.lit("\t "), F.upper("c_mktsegment"), F.lit(" \r")))
+        .when(kind == 2, F.concat(F.lit("  "), F.initcap("c_mktsegment")))
+        .when(kind == 3, F.lit(" \t "))
+        .when(kind == 4, F.lit(None).cast("string"))
+        .when(kind == 5, F.concat("c_mktsegment", F.lit(" X")))
+        .otherwise(F.col("c_mktsegment"))
+    )
+    return load(spark, folder, "customer").select(
+        "c_custkey", number.alias("cuenta_id"), amount.alias("saldo"), name.alias("tipo")
+    )
+
+
 def accounts(spark: SparkSession, folder: str) -> DataFrame:
     """Customers as accounts in coarse buckets, so that many repeat."""
     key = F.col("c_custkey")
