@@ -53,7 +53,8 @@ def prefix_end(verdicts: DataFrame, primary_key: Sequence[str], max_rejects: int
         ends += _first(verdicts.where(F.col("outcome") == SKIPPED), max_rejects + 1)[max_rejects:]
     if primary_key:
         accepted = verdicts.where(F.col("outcome") == ACCEPTED).select("ord", "reason", *primary_key)
-        ends += _first(mark_repeats(accepted, primary_key, "ord").where(F.col("first_ord").isNotNull()), 1)
+        repeats = mark_repeats(accepted, primary_key, "ord", measure=True).where(F.col("first_ord").isNotNull())
+        ends += _first(repeats, 1)
     return min(ends, default=None)
 
 

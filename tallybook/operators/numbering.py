@@ -1,9 +1,10 @@
-"""Dense numbers 1..n in record order, without a one-task window."""
+"""Dense numbers 1..n in record order, without a one-task window over the rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybook.operators.sinks import settle
 
@@ -12,11 +13,29 @@ POSITION_BITS = (1 << 33) - 1
 
 
 def number_rows(df: DataFrame, order: str, name: str) -> DataFrame:
-    """Add ``name``: 1 for the first row by ``order``, then 2, 3, ... without gaps.
+    """Add ``name``: 1 for the first row by ``order``, then 2, 3, ... without gaps."""
+    if isinstance(df.schema[order].dataType, T.StructType):
+        return _by_split(df, order, name)
+    return _by_range(df, order, name)
 
-    Rows are range-partitioned by ``order`` and sorted; each keeps its partition and position. That is written to
-    the shared folder first, since the ranges come from a sample and a lost task must not draw them anew. The
-    start of each partition then follows from one count per partition.
+
+def _by_split(df: DataFrame, order: str, name: str) -> DataFrame:
+    """Rows of a file scan: counted per input split, so no sampling and no stored copy are needed.
+
+    A split is what one task reads, hence no split is a hot group.
+    """
+    split = [F.col(f"{order}.file").alias("_file"), F.col(f"{order}.block").alias("_block")]
+    rows = df.select("*", *split)
+    starts = _starts(rows, ["_file", "_block"])
+    place = F.row_number().over(Window.partitionBy("_file", "_block").orderBy(f"{order}.row"))
+    return rows.join(starts, ["_file", "_block"]).select((F.col("_start") + place).alias(name), *df.columns)
+
+
+def _by_range(df: DataFrame, order: str, name: str) -> DataFrame:
+    """Rows with any order column: range-partitioned and sorted, each keeps its partition and position.
+
+    That is written to the shared folder first, since the ranges come from a sample and a lost task must not
+    draw them anew.
     """
     placed = df.repartitionByRange(order).sortWithinPartitions(order)
     placed = settle(
@@ -27,13 +46,14 @@ def number_rows(df: DataFrame, order: str, name: str) -> DataFrame:
         ),
         "numbering",
     )
-    # one row per partition, so neither this window nor the broadcast grows with the rows
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        placed.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    )
-    return placed.join(F.broadcast(starts), "_part").select(
-        (F.col("_start") + F.col("_position") + 1).alias(name), *df.columns
-    )
+    # one row per shuffle partition, so the broadcast does not grow with the rows
+    starts = F.broadcast(_starts(placed, ["_part"]))
+    number = F.col("_start") + F.col("_position") + 1
+    return placed.join(starts, "_part").select(number.alias(name), *df.columns)
+
+
+def _starts(rows: DataFrame, group: list[str]) -> DataFrame:
+    """Rows before each group. The window sees one row per group, that is per task, not per record."""
+    before = Window.orderBy(*group).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
+    return sizes.select(*group, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))

@@ -36,7 +36,11 @@ STATUS_SCHEMA = T.StructType(
 
 @dataclass(frozen=True)
 class JobResult:
-    """What a run did. ``reports`` is empty after a failure; ``verdicts`` holds every record with its outcome."""
+    """What a run did.
+
+    ``verdicts`` holds every record with its outcome, ``table`` and ``rejects`` what was published. After a
+    failure ``reports`` is empty; under atomic commit there is no table then, and ``rejects`` is unpublished.
+    """
 
     job: str
     status: str
@@ -73,7 +77,7 @@ def run_job(
     counts = count_outcomes(verdicts, job.table.primary_key)
     failure = check_counts(counts, max_rejects)
     if failure is not None and commit == "atomic":
-        return JobResult(job.name, FAILED, counts, verdicts, failure=failure)
+        return JobResult(job.name, FAILED, counts, verdicts, rejects=reject_log(job.name, verdicts), failure=failure)
 
     published = verdicts
     if failure is not None:
