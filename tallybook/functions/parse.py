@@ -1,4 +1,4 @@
-"""Field parsers: raw text in, typed column out, null where the text does not fit the type."""
+"""Field parsers: trimmed text in, typed column out, null where the text does not fit the type."""
 
 from __future__ import annotations
 
@@ -6,54 +6,45 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybook.functions.text import trim_field
-
 AMOUNT_TYPE = T.DecimalType(30, 8)
 
 
-def parse_text(raw: Column) -> Column:
-    return trim_field(raw)
+def parse_text(text: Column) -> Column:
+    return text
 
 
-def parse_long(raw: Column) -> Column:
-    return trim_field(raw).try_cast("bigint")
+def parse_long(text: Column) -> Column:
+    return text.try_cast("bigint")
 
 
-def parse_int(raw: Column) -> Column:
-    return trim_field(raw).try_cast("int")
+def parse_int(text: Column) -> Column:
+    return text.try_cast("int")
 
 
-def parse_date(raw: Column) -> Column:
+def parse_date(text: Column) -> Column:
     """Strict year-month-day; a slash counts as a dash.
 
     The pattern guard is needed because a plain cast also takes ``2024-1-5`` or ``2024-01``.
     """
-    text = F.translate(trim_field(raw), "/", "-")
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text, "yyyy-MM-dd"))
+    date = F.translate(text, "/", "-")
+    return F.when(date.rlike(r"^\d{4}-\d{2}-\d{2}$"), date.try_cast("date"))
 
 
-def parse_amount(raw: Column) -> Column:
+def parse_amount(text: Column) -> Column:
     """Exact decimal; text with more fraction digits than the type holds gives null, never a rounded value."""
-    return F.when(amount_scale(raw) <= AMOUNT_TYPE.scale, trim_field(raw).try_cast(AMOUNT_TYPE))
-
+    return F.when(amount_scale(text) <= AMOUNT_TYPE.scale, text.try_cast(AMOUNT_TYPE))
 
-def amount_scale(raw: Column) -> Column:
-    """Fraction digits of the literal, less its exponent: ``1.50`` has 2, ``1E2`` has -2."""
-    _, fraction, exponent = _literal_parts(raw)
-    return F.length(fraction) - exponent
 
+def amount_scale(text: Column) -> Column:
+    """Fraction digits of the literal, less its exponent: ``1.50`` has 2, ``1E2`` has -2.
 
-def amount_digits(raw: Column) -> Column:
-    """Signed digits of the literal without leading zeros, so ``0700`` equals ``700`` but not ``700.0``."""
-    whole, fraction, _ = _literal_parts(raw)
-    digits = F.ltrim(F.concat(F.ltrim(whole, F.lit("+-")), fraction), F.lit("0"))
-    sign = F.when(F.startswith(whole, F.lit("-")), "-").otherwise("")
-    return F.when(digits == "", "0").otherwise(F.concat(sign, digits))
+    Value and scale together tell literals apart as their text does, up to leading zeros and a plus sign.
+    """
+    mark = F.instr(F.lower(text), "e")
+    exponent = F.substring(text, mark + 1, F.length(text)).try_cast("int")
+    return F.when(mark == 0, _fraction_digits(text)).otherwise(_fraction_digits(F.left(text, mark - 1)) - exponent)
 
 
-def _literal_parts(raw: Column) -> tuple[Column, Column, Column]:
-    text = F.lower(trim_field(raw))
-    mantissa = F.substring_index(text, "e", 1)
-    exponent = F.when(F.contains(text, F.lit("e")), F.substring_index(text, "e", -1).try_cast("int")).otherwise(0)
-    fraction = F.when(F.contains(mantissa, F.lit(".")), F.substring_index(mantissa, ".", -1)).otherwise("")
-    return F.substring_index(mantissa, ".", 1), fraction, exponent
+def _fraction_digits(number: Column) -> Column:
+    point = F.instr(number, ".")
+    return F.when(point > 0, F.length(number) - point).otherwise(0)

@@ -192,8 +192,7 @@ parts AS (
          regexp_full_match(amt, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)(e[+-]?[0-9]+)?') AS is_number
   FROM trimmed),
 pieces AS (
-  SELECT *, ltrim(replace(ltrim(mantissa, '+-'), '.', ''), '0') AS bare,
-         CASE WHEN contains(mantissa, '.') THEN length(split_part(mantissa, '.', 2)) ELSE 0 END - exponent AS places
+  SELECT *, CASE WHEN contains(mantissa, '.') THEN length(split_part(mantissa, '.', 2)) ELSE 0 END - exponent AS places
   FROM parts),
 valued AS (
   SELECT *, is_number AND places <= 8 AS fits,
@@ -236,8 +235,6 @@ CAST(sum(monto) AS DECIMAL(38,2)) AS total FROM accepted GROUP BY cuenta_id ORDE
   CASE WHEN regexp_full_match(num, '[+-]?[0-9]+') THEN TRY_CAST(num AS BIGINT) END AS as_long,
   CASE WHEN regexp_full_match(num, '[+-]?[0-9]+') THEN TRY_CAST(num AS INTEGER) END AS as_int,
   as_amount,
-  CASE WHEN fits THEN CASE WHEN bare = '' THEN '0' WHEN starts_with(mantissa, '-') THEN '-' || bare ELSE bare END END
-    AS digits,
   CASE WHEN fits THEN CAST(places AS INTEGER) END AS scale,
   amt IS NULL OR amt = '' AS blank
 FROM valued""",

@@ -201,4 +201,4 @@ def annual_statements() -> Job:
 def _amount_key(name: str, amount_key: str) -> tuple[str, ...]:
     if amount_key not in AMOUNT_KEYS:
         raise ValueError(f"amount_key must be one of {AMOUNT_KEYS}")
-    return (f"{name}_digits", f"{name}_scale") if amount_key == "literal" else (name,)
+    return (name, f"{name}_scale") if amount_key == "literal" else (name,)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybook.functions import parse
-from tallybook.functions.text import canon, is_blank
+from tallybook.functions.text import canon, is_blank, trim_field
 from tallybook.operators.contracts import (
     ColumnContract,
     TableContract,
@@ -188,19 +188,19 @@ def mov_account_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def parse_dates(spark: SparkSession, folder: str) -> DataFrame:
-    return adapters.messy_dates(spark, folder).select("event_id", parse.parse_date(F.col("fecha")).alias("fecha"))
+    text = trim_field(F.col("fecha"))
+    return adapters.messy_dates(spark, folder).select("event_id", parse.parse_date(text).alias("fecha"))
 
 
 @query
 def parse_numbers(spark: SparkSession, folder: str) -> DataFrame:
-    number, amount = F.col("cuenta_id"), F.col("saldo")
+    number, amount = trim_field(F.col("cuenta_id")), trim_field(F.col("saldo"))
     value = parse.parse_amount(amount)
     return adapters.messy_accounts(spark, folder).select(
         "c_custkey",
         parse.parse_long(number).alias("as_long"),
         parse.parse_int(number).alias("as_int"),
         value.alias("as_amount"),
-        F.when(value.isNotNull(), parse.amount_digits(amount)).alias("digits"),
         F.when(value.isNotNull(), parse.amount_scale(amount)).alias("scale"),
         is_blank(amount).alias("blank"),
     )
@@ -270,7 +270,7 @@ def contract_violations_accounts(spark: SparkSession, folder: str) -> DataFrame:
         ),
     )
     text = adapters.messy_accounts(spark, folder)
-    return contract_violations(text.withColumn("saldo", parse.parse_amount(F.col("saldo"))), contract)
+    return contract_violations(text.withColumn("saldo", parse.parse_amount(trim_field(F.col("saldo")))), contract)
 
 
 @query

@@ -8,8 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions.parse import amount_digits, amount_scale, parse_text
-from tallybook.functions.text import is_blank
+from tallybook.functions.parse import amount_scale, parse_text
+from tallybook.functions.text import is_blank, trim_field
 from tallybook.sources.delimited import BROKEN_LINE, ORDER
 
 READ_ERROR = "read_error"
@@ -18,10 +18,10 @@ RAW = "raw"
 
 @dataclass(frozen=True)
 class Field:
-    """One input column: its name and how its text becomes a value.
+    """One input column: its name and how its trimmed text becomes a value.
 
-    ``optional`` lets a blank through as null. ``amount`` adds the literal form of the number
-    (``<name>_digits``, ``<name>_scale``) for keys that tell ``700`` from ``700.00``.
+    ``optional`` lets a blank through as null. ``amount`` adds the scale of the number as written
+    (``<name>_scale``) for keys that tell ``700`` from ``700.00``.
     """
 
     name: str
@@ -29,36 +29,32 @@ class Field:
     optional: bool = False
     amount: bool = False
 
-    def fails(self) -> Column | None:
-        if self.parse is parse_text:
-            return None
-        raw = F.col(self.name)
-        bad = self.parse(raw).isNull()
-        return bad & ~is_blank(raw) if self.optional else bad
-
 
 def parse_records(lines: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """Raw text columns to typed columns plus ``read_error`` (a code or null) and ``raw`` (the bad record)."""
-    checks = [F.when(F.col(BROKEN_LINE).isNotNull(), "UNREADABLE_LINE")] if BROKEN_LINE in lines.columns else []
-    checks += [
-        F.when(field.fails(), f"UNREADABLE_{field.name.upper()}") for field in fields if field.fails() is not None
-    ]
-    error = F.coalesce(*checks, F.lit(None).cast("string"))
     names = [field.name for field in fields]
-    line = F.to_json(F.struct(*names))
-    if BROKEN_LINE in lines.columns:
-        line = F.coalesce(F.col(BROKEN_LINE), line)
-    columns = []
+    broken = F.col(BROKEN_LINE) if BROKEN_LINE in lines.columns else F.lit(None).cast("string")
+    texts = lines.select(ORDER, *[trim_field(F.col(name)).alias(name) for name in names], broken.alias(BROKEN_LINE))
+    # Parsing one struct per line and unfolding it keeps Spark from repeating the parsers inside every filter
+    # on their results.
+    values = [field.parse(F.col(field.name)).alias(f"_{field.name}") for field in fields]
+    values += [amount_scale(F.col(field.name)).alias(f"{field.name}_scale") for field in fields if field.amount]
+    parsed = texts.select("*", F.inline(F.array(F.struct(*values))))
+    checks = [F.when(F.col(BROKEN_LINE).isNotNull(), "UNREADABLE_LINE")]
     for field in fields:
-        columns.append(field.parse(F.col(field.name)).alias(field.name))
-        if field.amount:
-            columns.append(amount_digits(F.col(field.name)).alias(f"{field.name}_digits"))
-            columns.append(amount_scale(F.col(field.name)).alias(f"{field.name}_scale"))
-    return lines.select(
+        if field.parse is not parse_text:
+            bad = F.col(f"_{field.name}").isNull()
+            if field.optional:
+                bad = bad & ~is_blank(F.col(field.name))
+            checks.append(F.when(bad, f"UNREADABLE_{field.name.upper()}"))
+    judged = parsed.withColumn(READ_ERROR, F.coalesce(*checks))
+    bad_record = F.coalesce(BROKEN_LINE, F.to_json(F.struct(*names)))
+    return judged.select(
         ORDER,
-        *columns,
-        error.alias(READ_ERROR),
-        F.when(error.isNotNull(), line).alias(RAW),
+        *[F.col(f"_{name}").alias(name) for name in names],
+        *[f"{field.name}_scale" for field in fields if field.amount],
+        READ_ERROR,
+        F.when(F.col(READ_ERROR).isNotNull(), bad_record).alias(RAW),
     )
 
 

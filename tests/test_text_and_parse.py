@@ -53,13 +53,13 @@ def test_blank_includes_wide_white_space(spark):
     ],
 )
 def test_parse_date(spark, text, expected):
-    assert evaluate(spark, [text], parse.parse_date(F.col(C))) == [expected]
+    assert evaluate(spark, [text], parse.parse_date(trim_field(F.col(C)))) == [expected]
 
 
 def test_parse_whole_numbers(spark):
     values = ["5", "+5", "-5", " 5 ", "5.0", "5x", "", None, "9223372036854775808", "2147483648"]
-    assert evaluate(spark, values, parse.parse_long(F.col(C))) == [5, 5, -5, 5, None, None, None, None, None, 2147483648]
-    assert evaluate(spark, values, parse.parse_int(F.col(C))) == [5, 5, -5, 5, None, None, None, None, None, None]
+    assert evaluate(spark, values, parse.parse_long(trim_field(F.col(C)))) == [5, 5, -5, 5, None, None, None, None, None, 2147483648]
+    assert evaluate(spark, values, parse.parse_int(trim_field(F.col(C)))) == [5, 5, -5, 5, None, None, None, None, None, None]
 
 
 def test_parse_amount(spark):
@@ -68,12 +68,12 @@ def test_parse_amount(spark):
     assert evaluate(spark, values, parse.parse_amount(F.col(C))) == expected
 
 
-def test_literal_key_tells_scales_apart(spark):
-    values = ["700", "0700", "700.00", "+700", "1E2", "100", "-0", "0", "0.0", "-.50", "1.e1"]
-    found = evaluate(spark, values, parse.amount_digits(F.col(C)), parse.amount_scale(F.col(C)))
+def test_value_and_scale_tell_literals_apart(spark):
+    values = ["700", "0700", "700.00", "+700", "1E2", "100", "-0", "0", "0.0", "-.50", "1.e1", "1E+2"]
+    found = evaluate(spark, values, parse.parse_amount(F.col(C)), parse.amount_scale(F.col(C)))
     assert found == [
-        ("700", 0), ("700", 0), ("70000", 2), ("700", 0), ("1", -2), ("100", 0),
-        ("0", 0), ("0", 0), ("0", 1), ("-50", 2), ("1", -1),
+        (700, 0), (700, 0), (700, 2), (700, 0), (100, -2), (100, 0),
+        (0, 0), (0, 0), (0, 1), (Decimal("-0.5"), 2), (10, -1), (100, -2),
     ]
 
 
@@ -88,12 +88,11 @@ number_text = st.builds(
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(number_text, min_size=40, max_size=40))
-def test_literal_key_matches_decimal(spark, texts):
-    found = evaluate(spark, texts, parse.amount_digits(F.col(C)), parse.amount_scale(F.col(C)))
-    for text, (digits, scale) in zip(texts, found, strict=True):
-        sign, numerals, exponent = Decimal(text).as_tuple()
-        unscaled = int("".join(map(str, numerals))) * (-1 if sign else 1)
-        assert (int(digits), -scale) == (unscaled, exponent), text
+def test_value_and_scale_match_decimal(spark, texts):
+    found = evaluate(spark, texts, F.col(C).try_cast("decimal(38,14)"), parse.amount_scale(F.col(C)))
+    for text, (value, scale) in zip(texts, found, strict=True):
+        number = Decimal(text)
+        assert (value, -scale) == (number, number.as_tuple().exponent), text
 
 
 @pytest.mark.parametrize(
