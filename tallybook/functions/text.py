@@ -20,5 +20,9 @@ def canon(text: Column) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    """Null, empty or white space only."""
-    return text.isNull() | trim_field(text).rlike(r"^\p{javaWhitespace}*$")
+    """Null, empty or white space only, with control characters at the ends.
+
+    The pattern only runs on text that does not start with a printable ASCII character.
+    """
+    plain = F.ascii(text).between(0x21, 0x7E)
+    return text.isNull() | (~plain & text.rlike(r"^[\x00-\x20]*\p{javaWhitespace}*[\x00-\x20]*$"))

@@ -7,9 +7,11 @@ So the first record per key comes from an aggregate, which combines before its s
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybook.operators.sinks import settle
 
@@ -24,12 +26,19 @@ BROADCAST_BYTES = 32 << 20
 
 
 def repeated_keys(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
-    """Keys that occur more than once, with their first record (``first_ord``) and number of ``copies``."""
+    """Keys of more than one record, with the first record (``first_ord``) and the number of ``copies``.
+
+    Only records without a ``reason`` and with a whole key count. The others are not filtered out, which would
+    make Spark evaluate the rules inside a filter once more, but share one filler key and add nothing to it.
+    """
+    counts = F.col("reason").isNull()
     for name in key:
-        df = df.where(F.col(name).isNotNull())
+        counts = counts & F.col(name).isNotNull()
+    keys = [F.coalesce(F.when(counts, F.col(name)), _filler(df.schema[name].dataType)).alias(name) for name in key]
+    rows = df.select(*keys, F.when(counts, F.col(order)).alias(order))
     return (
-        df.groupBy(*key)
-        .agg(F.min(order).alias("first_ord"), F.count(F.lit(1)).alias("copies"))
+        rows.groupBy(*key)
+        .agg(F.min(order).alias("first_ord"), F.count(order).alias("copies"))
         .where(F.col("copies") > 1)
     )
 
@@ -40,7 +49,7 @@ def mark_repeats(df: DataFrame, key: Sequence[str], order: str, measure: bool =
     Only records whose ``reason`` is null take part. With ``measure`` the repeated keys are stored and counted
     first: as long as they are few, which is the rule for ledgers, the records themselves are not shuffled.
     """
-    repeated = repeated_keys(df.where(F.col("reason").isNull()), key, order)
+    repeated = repeated_keys(df, key, order)
     if not measure:
         return _join_by_shuffle(df, key, order, repeated)
     repeated = settle(repeated, "keys")
@@ -100,3 +109,11 @@ def _key_bytes(key: Sequence[str]) -> Column:
     for name in key:
         size = size + F.octet_length(F.col(name).cast("string"))
     return size
+
+
+def _filler(kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return F.lit("")
+    if isinstance(kind, T.DateType):
+        return F.lit(date(1970, 1, 1))
+    return F.lit(0).cast(kind)

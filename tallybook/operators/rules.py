@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,17 +21,28 @@ DUPLICATE = "DUPLICATE"
 
 @dataclass(frozen=True)
 class Rule:
-    """Records for which ``fails`` is true get ``reason``; ``detail`` tells the offending value."""
+    """Records for which a test is true get ``reason``; ``detail`` tells the offending value.
+
+    ``fails`` is one test, or several of which any decides.
+    """
 
     reason: str
-    fails: Column
+    fails: Column | Sequence[Column]
     outcome: str = SKIPPED
     detail: Column | None = None
 
+    @property
+    def tests(self) -> Sequence[Column]:
+        return [self.fails] if isinstance(self.fails, Column) else self.fails
+
+    @property
+    def test(self) -> Column:
+        return reduce(or_, self.tests)
+
 
 def classify(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add ``reason``: that of the first failing rule, null when none fails. One projection, no shuffle."""
-    reasons = [F.when(rule.fails, F.lit(rule.reason)) for rule in rules]
+    reasons = [F.when(rule.test, F.lit(rule.reason)) for rule in rules]
     return df.withColumn("reason", F.coalesce(*reasons, F.lit(None).cast("string")))
 
 
@@ -48,11 +61,8 @@ def detail(rules: Sequence[Rule], reason: Column) -> Column:
     return F.coalesce(*texts, F.lit(None).cast("string"))
 
 
-def missing(*columns: str, text: Sequence[str] = ()) -> tuple[Column, Column]:
-    """Test and detail text for required columns; those in ``text`` must not be blank either."""
+def missing(*columns: str, text: Sequence[str] = ()) -> tuple[list[Column], Column]:
+    """Tests and detail text for required columns; those in ``text`` must not be blank either."""
     tests = {name: F.col(name).isNull() for name in columns} | {name: is_blank(F.col(name)) for name in text}
-    fails = F.lit(False)
-    for test in tests.values():
-        fails = fails | test
     names = F.concat_ws(", ", *[F.when(test, F.lit(name)) for name, test in tests.items()])
-    return fails, F.concat(F.lit("missing: "), names)
+    return list(tests.values()), F.concat(F.lit("missing: "), names)

@@ -83,7 +83,7 @@ def daily_transactions(amount_key: str = "numeric") -> Job:
     """Flag non-positive amounts, skip bad types and repeats of (date, amount, type)."""
     kind = F.col("kind")
     amount = F.col("monto")
-    incomplete, missing_names = missing("id", "fecha", "monto", text=["tipo"])
+    required, missing_names = missing("id", "fecha", "monto", text=["tipo"])
     return Job(
         name="daily_transactions",
         table=TRANSACTIONS_TABLE,
@@ -95,7 +95,7 @@ def daily_transactions(amount_key: str = "numeric") -> Job:
         ),
         prepare=lambda records: records.withColumn("kind", canon(F.col("tipo"))),
         rules=(
-            Rule("INCOMPLETE", incomplete, detail=missing_names),
+            Rule("INCOMPLETE", required, detail=missing_names),
             Rule("BAD_TYPE", ~kind.isin(*TRANSACTION_TYPES), detail=F.concat(F.lit("type: "), F.col("tipo"))),
         ),
         key=("fecha", *_amount_key("monto", amount_key), "kind"),
@@ -119,7 +119,7 @@ def monthly_interest(
     ``rates`` is a mapping from type to rate, or a table with the columns ``tipo`` and ``tasa``.
     """
     kind, balance, age, rate = F.col("kind"), F.col("saldo"), F.col("edad"), F.col("tasa")
-    incomplete, missing_names = missing("cuenta_id", "edad", text=["nombre", "tipo"])
+    required, missing_names = missing("cuenta_id", "edad", text=["nombre", "tipo"])
 
     def prepare(records: DataFrame) -> DataFrame:
         named = records.withColumns({"kind": canon(F.col("tipo")), "name_key": canon(F.col("nombre"))})
@@ -139,11 +139,11 @@ def monthly_interest(
         ),
         prepare=prepare,
         rules=(
-            Rule("INCOMPLETE", incomplete, detail=missing_names),
+            Rule("INCOMPLETE", required, detail=missing_names),
             Rule("BAD_AGE", ~age.between(MIN_AGE, MAX_AGE), detail=F.concat(F.lit("age: "), age.cast("string"))),
             Rule(
                 "BAD_BALANCE",
-                balance.isNull() | (balance <= 0),
+                [balance.isNull(), balance <= 0],
                 detail=F.concat(F.lit("balance: "), F.coalesce(balance.cast("string"), F.lit("none"))),
             ),
             Rule("NOT_ELIGIBLE", rate.isNull(), FILTERED, detail=F.concat(F.lit("type: "), F.col("tipo"))),
@@ -166,7 +166,7 @@ def monthly_interest(
 def annual_statements() -> Job:
     """Classify positive movements as income or expense; equal movements all stay."""
     kind, amount = F.col("kind"), F.col("monto")
-    incomplete, missing_names = missing("cuenta_id", "fecha", "monto", text=["transaccion"])
+    required, missing_names = missing("cuenta_id", "fecha", "monto", text=["transaccion"])
     description = F.col("descripcion")
     return Job(
         name="annual_statements",
@@ -180,7 +180,7 @@ def annual_statements() -> Job:
         ),
         prepare=lambda records: records.withColumn("kind", canon(F.col("transaccion"))),
         rules=(
-            Rule("INCOMPLETE", incomplete, detail=missing_names),
+            Rule("INCOMPLETE", required, detail=missing_names),
             Rule(
                 "BAD_TYPE", ~kind.isin(*MOVEMENT_CLASSES), detail=F.concat(F.lit("type: "), F.col("transaccion"))
             ),

@@ -68,15 +68,14 @@ def tx_summary(spark: SparkSession, folder: str) -> DataFrame:
 def tx_dedup_first(spark: SparkSession, folder: str) -> DataFrame:
     """First record per key alone, all others dropped."""
     job = daily_transactions()
-    valid = job.classified(adapters.transactions(spark, folder)).where(F.col("reason").isNull())
-    return keep_first(valid, job.key, "ord").select("id", "fecha", "monto", F.col("kind").alias("tipo"))
+    return keep_first(job.valid(adapters.transactions(spark, folder)), job.key, "ord").select("id", "fecha", "monto", F.col("kind").alias("tipo"))
 
 
 @query
 def tx_dedup_skew_safe(spark: SparkSession, folder: str) -> DataFrame:
     """The same rows by aggregate and join, which also finds the repeats."""
-    job = daily_transactions()
-    marked = mark_repeats(job.classified(adapters.transactions(spark, folder)), job.key, "ord")
+    job, records = daily_transactions(), adapters.transactions(spark, folder)
+    marked = mark_repeats(job.classified(records), job.key, "ord")
     firsts = marked.where(F.col("reason").isNull() & F.col("first_ord").isNull())
     return firsts.select("id", "fecha", "monto", F.col("kind").alias("tipo"))
 
@@ -84,7 +83,8 @@ def tx_dedup_skew_safe(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def tx_hot_key_repeats(spark: SparkSession, folder: str) -> DataFrame:
     """Repeats of (type) alone: two keys hold all valid records, so each is hot."""
-    marked = mark_repeats(daily_transactions().classified(adapters.transactions(spark, folder)), ["kind"], "ord")
+    job, records = daily_transactions(), adapters.transactions(spark, folder)
+    marked = mark_repeats(job.classified(records), ["kind"], "ord")
     return marked.where(F.col("first_ord").isNotNull()).select("id", F.col("kind").alias("tipo"), "first_ord")
 
 

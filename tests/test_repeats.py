@@ -82,9 +82,17 @@ def test_repeated_keys_counts_copies(table):
     rows, df = table
     found = {(row.name, row.number): row.copies for row in repeated_keys(df, ["name", "number"], "ord").collect()}
     counts = {}
-    for _, name, number, _ in rows:
-        counts[name, number] = counts.get((name, number), 0) + 1
-    assert found == {key: n for key, n in counts.items() if n > 1 and key[0] is not None}
+    for _, name, number, reason in rows:
+        counts[name, number] = counts.get((name, number), 0) + (reason is None)
+    assert found == {key: n for key, n in counts.items() if n > 1}
+
+
+def test_filler_key_may_be_a_real_key_too(spark):
+    """Rejected records and null keys add nothing to the key they are filed under."""
+    rows = [(1, "", 0, "BAD"), (2, None, 0, None), (3, "", 0, None), (4, "", None, None), (5, "", 0, None)]
+    df = spark.createDataFrame(rows, "ord long, name string, number int, reason string")
+    assert found_repeats(mark_repeats(df, ["name", "number"], "ord")) == (5, {5: 3})
+    assert [tuple(row) for row in repeated_keys(df, ["name", "number"], "ord").collect()] == [("", 0, 3, 2)]
 
 
 def test_outcome_does_not_depend_on_the_partitioning(spark):
