@@ -10,8 +10,12 @@ EDGE_CHARACTERS = "".join(chr(code) for code in range(0x21))
 
 
 def trim_field(text: Column) -> Column:
-    """Trim blanks and control characters, also those a quoted CSV field keeps."""
-    return F.btrim(text, F.lit(EDGE_CHARACTERS))
+    """Trim blanks and control characters, also those a quoted CSV field keeps.
+
+    Most fields have none; the first and last character tell.
+    """
+    edged = (text < "!") | (F.right(text, F.lit(1)) < "!")
+    return F.when(edged, F.btrim(text, F.lit(EDGE_CHARACTERS))).otherwise(text)
 
 
 def canon(text: Column) -> Column:

@@ -23,7 +23,6 @@ def spark(tmp_path_factory):
         "local[4]",
         **{
             "spark.sql.shuffle.partitions": "4",
-            "spark.checkpoint.dir": str(scratch / "checkpoints"),
             "spark.sql.warehouse.dir": str(scratch / "warehouse"),
             "spark.ui.showConsoleProgress": "false",
         },
