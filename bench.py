@@ -32,7 +32,7 @@ HEADLINE = (
     "mov_account_summary",
     "csv_tx_report",
     "tx_commit_prefix",
-    "run_all_jobs",
+    "run_all",
 )
 RUNS = 3
 

@@ -30,9 +30,9 @@ accepted AS (
 """
 
 
-def _accounts(name: str, saldo: str, edad: str) -> str:
+def _accounts(name: str, saldo: str, edad: str, unreadable: str = "CAST(NULL AS VARCHAR)") -> str:
     return f"""WITH accounts AS (
-  SELECT c_custkey AS cuenta_id, {name} AS nombre, {saldo} AS saldo, {edad} AS edad,
+  SELECT c_custkey AS cuenta_id, {name} AS nombre, {saldo} AS saldo, {edad} AS edad, {unreadable} AS unreadable,
          CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'ahorro' WHEN 'HOUSEHOLD' THEN ' Ahorro '
                            WHEN 'FURNITURE' THEN 'hipoteca' ELSE 'prestamo' END AS tipo
   FROM customer),
@@ -40,7 +40,8 @@ rates(rate_type, tasa) AS (
   VALUES ('ahorro', CAST(0.0100 AS DECIMAL(5,4))), ('prestamo', CAST(0.0150 AS DECIMAL(5,4)))),
 ruled AS (
   SELECT a.*, lower(trim(tipo)) AS kind, tasa,
-         CASE WHEN cuenta_id IS NULL OR edad IS NULL OR nombre IS NULL OR trim(nombre) = ''
+         CASE WHEN unreadable IS NOT NULL THEN unreadable
+              WHEN cuenta_id IS NULL OR edad IS NULL OR nombre IS NULL OR trim(nombre) = ''
                    OR tipo IS NULL OR trim(tipo) = '' THEN 'INCOMPLETE'
               WHEN edad < 18 OR edad > 100 THEN 'BAD_AGE'
               WHEN saldo IS NULL OR saldo <= 0 THEN 'BAD_BALANCE'
@@ -68,6 +69,13 @@ ACCT = _accounts(
 )
 ACCT_CENTS = _accounts("c_name", "CAST(c_acctbal AS DECIMAL(15,2))", "CAST(18 + c_custkey % 83 AS INTEGER)")
 
+ACCT_CSV = _accounts(
+    "'N' || CAST(c_nationkey % 5 AS VARCHAR)",
+    "CASE WHEN c_custkey % 50 NOT IN (7, 27) THEN CAST(floor(c_acctbal / 1000) * 1000 AS DECIMAL(15,2)) END",
+    "CAST(16 + (c_custkey % 9) * 12 AS INTEGER)",
+    "CASE c_custkey % 50 WHEN 11 THEN 'UNREADABLE_SALDO' WHEN 21 THEN 'UNREADABLE_EDAD' END",
+)
+
 MOV = """WITH movements AS (
   SELECT o_orderkey AS ord, o_custkey AS cuenta_id, CAST(o_orderdate AS DATE) AS fecha,
          CASE WHEN o_orderstatus = 'P' THEN 'Deposito' WHEN o_orderstatus = 'F' THEN 'retiro'
@@ -91,6 +99,16 @@ accepted AS (
   FROM verdicts WHERE reason IS NULL)
 """
 
+MOV_CSV = (
+    MOV.replace(
+        "CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderpriority END AS descripcion",
+        """CASE WHEN o_orderkey % 50 = 31 THEN
+           'a, "b"' || CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN ' ' || o_orderpriority ELSE '' END
+         WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderpriority END AS descripcion""",
+    )
+    .replace("CASE WHEN cuenta_id IS NULL", "CASE WHEN ord % 50 = 11 THEN 'UNREADABLE_CUENTA_ID' WHEN cuenta_id IS NULL")
+)
+
 OUTCOME = """CASE WHEN reason IS NULL THEN 'ACCEPTED' WHEN reason = 'NOT_ELIGIBLE' THEN 'FILTERED'
   WHEN reason LIKE 'UNREADABLE%' THEN 'READ_ERROR' ELSE 'SKIPPED' END"""
 
@@ -245,9 +263,13 @@ FROM valued""",
        ELSE 'OK' END AS observacion
 FROM verdicts WHERE reason IS NULL ORDER BY id""",
     "csv_outcome_counts": f"{CSV} {OUTCOME_COUNTS}",
+    "csv_acct_interest": f"{ACCT_CSV} SELECT * FROM accepted",
+    "csv_acct_outcome_counts": f"{ACCT_CSV} {OUTCOME_COUNTS}",
+    "csv_mov_statement_ids": f"{MOV_CSV} SELECT row_number() OVER (ORDER BY ord) AS id, * EXCLUDE (ord) FROM accepted",
+    "csv_mov_outcome_counts": f"{MOV_CSV} {OUTCOME_COUNTS}",
     "pk_violations": """SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
-    "contract_violations_part": """WITH counts AS (
+    "contract_violations": """WITH counts AS (
   SELECT 'p_partkey' AS "column", 'NULL_VALUE' AS rule, count(*) AS violations FROM part WHERE p_partkey IS NULL
   UNION ALL SELECT 'p_name', 'NULL_VALUE', count(*) FROM part WHERE p_name IS NULL
   UNION ALL SELECT 'p_name', 'TOO_LONG', count(*) FROM part WHERE length(p_name) > 9
@@ -273,7 +295,7 @@ FROM gates""",
     "tx_commit_prefix": f"""{TX}, skips AS (
   SELECT id, row_number() OVER (ORDER BY id) AS n FROM verdicts WHERE reason IS NOT NULL)
 SELECT * FROM accepted WHERE id < coalesce((SELECT id FROM skips WHERE n = 51), 9223372036854775807)""",
-    "run_all_jobs": f"""SELECT 'daily_transactions' AS job,
+    "run_all": f"""SELECT 'daily_transactions' AS job,
   CASE WHEN skipped > 50 THEN 'FAILED' ELSE 'COMPLETED' END AS status, records_read,
   CASE WHEN skipped > 50 THEN 0 ELSE good END AS records_written, CAST(0 AS BIGINT) AS records_filtered,
   skipped AS records_skipped, CASE WHEN skipped > 50 THEN 'RejectLimitExceeded' END AS failure

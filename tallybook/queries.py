@@ -33,7 +33,7 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
+    QUERIES[build.__name__.rstrip("_")] = build
     return build
 
 
@@ -236,6 +236,34 @@ def csv_outcome_counts(spark: SparkSession, folder: str) -> DataFrame:
     return job.outcome_counts(job.read(spark, adapters.transaction_files(spark, folder)))
 
 
+@query
+def csv_acct_interest(spark: SparkSession, folder: str) -> DataFrame:
+    """Monthly interest from delimited files."""
+    job = monthly_interest("literal")
+    records = job.read(spark, adapters.account_files(spark, folder))
+    return table_rows(job, job.verdicts(records, measure=True)).drop("ord")
+
+
+@query
+def csv_acct_outcome_counts(spark: SparkSession, folder: str) -> DataFrame:
+    job = monthly_interest("literal")
+    return job.outcome_counts(job.read(spark, adapters.account_files(spark, folder)))
+
+
+@query
+def csv_mov_statement_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Annual statements from delimited files, numbered in line order."""
+    job = annual_statements()
+    rows = job.accepted(job.read(spark, adapters.movement_files(spark, folder)))
+    return number_rows(rows, "ord", "id").drop("ord")
+
+
+@query
+def csv_mov_outcome_counts(spark: SparkSession, folder: str) -> DataFrame:
+    job = annual_statements()
+    return job.outcome_counts(job.read(spark, adapters.movement_files(spark, folder)))
+
+
 # Contracts, gates and runs
 
 
@@ -245,7 +273,7 @@ def pk_violations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def contract_violations_part(spark: SparkSession, folder: str) -> DataFrame:
+def contract_violations_(spark: SparkSession, folder: str) -> DataFrame:
     contract = TableContract(
         "part",
         (
@@ -299,7 +327,7 @@ def tx_commit_prefix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def run_all_jobs(spark: SparkSession, folder: str) -> DataFrame:
+def run_all_(spark: SparkSession, folder: str) -> DataFrame:
     """The three jobs in a row, written to tables; the first one fails at the default limit."""
     runs = [
         (daily_transactions(), adapters.transactions(spark, folder)),

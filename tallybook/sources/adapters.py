@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.operators.lookup import from_mapping
+from tallybook.operators.numbering import POSITION_BITS
+from tallybook.session import shared_folder
 from tallybook.sources.delimited import ORDER
 from tallybook.sources.records import table_records
-from tallybook.session import shared_folder
 
 MONEY = "decimal(15,2)"
 EVENT_KINDS = {
@@ -65,14 +66,43 @@ def transaction_files(spark: SparkSession, folder: str) -> str:
     date = F.when(key == 11, F.concat(F.left("fecha", F.lit(8)), F.lit("31x")))
     date = date.when(key == 12, F.translate("fecha", "/", "-")).otherwise(F.col("fecha"))
     amount = F.when(key == 21, F.concat("monto", F.lit(" EUR"))).otherwise(F.col("monto"))
-    kind = F.when(key == 31, "").when(key == 32, '"otro, ""raro"""').otherwise(F.concat_ws("", F.lit('"'), "tipo", F.lit('"')))
+    quoted = F.concat(F.lit('"'), "tipo", F.lit('"'))
+    kind = F.when(key == 31, "").when(key == 32, '"otro, ""raro"""').otherwise(quoted)
     line = F.concat_ws(",", "id", date, amount, kind)
-    line = F.when(key == 41, F.concat_ws(",", "id", date, amount)).when(key == 42, F.concat(line, F.lit(",x"))).otherwise(line)
-    placed = text.select("ord", line.alias("line")).repartitionByRange("ord").sortWithinPartitions("ord")
-    first_of_file = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
-    lines = placed.select(F.when(first_of_file, F.concat(F.lit("id,fecha,monto,tipo\n"), "line")).otherwise(F.col("line")).alias("value"))
-    path = shared_folder(spark, "transactions")
-    lines.write.text(path)
+    short, long = F.concat_ws(",", "id", date, amount), F.concat(line, F.lit(",x"))
+    line = F.when(key == 41, short).when(key == 42, long).otherwise(line)
+    return _write_lines(text.select("ord", line.alias("line")), "transactions", "id,fecha,monto,tipo")
+
+
+def account_files(spark: SparkSession, folder: str) -> str:
+    """The accounts as delimited files: padded names, blank and bad balances, missing ages."""
+    key = F.col("cuenta_id") % 50
+    name = F.concat(F.lit('"  '), "nombre", F.lit(' "'))
+    balance = F.when(key.isin(7, 27), " ").when(key == 11, "abc").otherwise(F.col("saldo").cast("string"))
+    age = F.when(key != 21, F.col("edad").cast("string"))
+    line = F.concat_ws(",", "cuenta_id", name, balance, F.coalesce(age, F.lit("")), "tipo")
+    rows = accounts(spark, folder).select("ord", line.alias("line"))
+    return _write_lines(rows, "accounts", "cuenta_id,nombre,saldo,edad,tipo")
+
+
+def movement_files(spark: SparkSession, folder: str) -> str:
+    """The movements as delimited files: dates with slashes, quoted commas, some account ids that are no number."""
+    key = F.col("ord") % 50
+    account = F.when(key == 11, F.concat(F.lit("x"), "cuenta_id")).otherwise(F.col("cuenta_id").cast("string"))
+    text = F.coalesce("descripcion", F.lit(""))
+    text = F.when(key == 31, F.concat(F.lit('"a, ""b"" '), text, F.lit('"'))).otherwise(text)
+    line = F.concat_ws(",", account, F.date_format("fecha", "yyyy/MM/dd"), "transaccion", "monto", text)
+    rows = movements(spark, folder).select("ord", line.alias("line"))
+    return _write_lines(rows, "movements", "cuenta_id,fecha,transaccion,monto,descripcion")
+
+
+def _write_lines(rows: DataFrame, purpose: str, header: str) -> str:
+    """Text files in record order, each with a header line; returns their folder in the shared folder."""
+    placed = rows.repartitionByRange("ord").sortWithinPartitions("ord")
+    first_of_file = F.monotonically_increasing_id().bitwiseAND(POSITION_BITS) == 0
+    lines = F.when(first_of_file, F.concat(F.lit(header + "\n"), "line")).otherwise(F.col("line"))
+    path = shared_folder(rows.sparkSession, purpose)
+    placed.select(lines.alias("value")).write.text(path)
     return path
 
 
