@@ -20,9 +20,9 @@ def number_rows(df: DataFrame, order: str, name: str) -> DataFrame:
 
 
 def _by_split(df: DataFrame, order: str, name: str) -> DataFrame:
-    """Rows of a file scan: counted per input split, so no sampling and no stored copy are needed.
+    """Rows of staged file records: counted per input split, so no sampling and no further copy are needed.
 
-    A split is what one task reads, hence no split is a hot group.
+    A split is what one task read, hence no split is a hot group.
     """
     split = [F.col(f"{order}.file").alias("_file"), F.col(f"{order}.block").alias("_block")]
     rows = df.select("*", *split)

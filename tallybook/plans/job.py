@@ -12,6 +12,7 @@ from tallybook.operators import rules as R
 from tallybook.operators.contracts import TableContract
 from tallybook.operators.repeats import keep_first, mark_repeats
 from tallybook.operators.rules import Rule
+from tallybook.operators.sinks import settle
 from tallybook.sources.delimited import ORDER, scan_delimited
 from tallybook.sources.records import RAW, READ_ERROR, Field, parse_records
 
@@ -32,9 +33,15 @@ class Job:
     key: Sequence[str] = ()
     reports: Mapping[str, Callable[[DataFrame], DataFrame]] = field(default_factory=dict)
 
-    def read(self, spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-        """Records of delimited files."""
-        return parse_records(scan_delimited(spark, path, [item.name for item in self.fields]), self.fields)
+    def read(self, spark: SparkSession, path: str | Sequence[str], stage: bool = True) -> DataFrame:
+        """Records of delimited files, parsed once into the shared folder.
+
+        Repeats and ids take several passes, which must agree on the order of records. The order of a file scan
+        depends on how its files are split, and that may change with the number of executors between two passes.
+        ``stage=False`` gives the scan itself, for work in a single pass (``accepted``, ``outcome_counts``).
+        """
+        records = parse_records(scan_delimited(spark, path, [item.name for item in self.fields]), self.fields)
+        return settle(records, "records") if stage else records
 
     def classified(self, records: DataFrame) -> DataFrame:
         """Records with ``reason``, before repeats are looked for; no shuffle."""

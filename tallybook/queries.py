@@ -217,7 +217,7 @@ def canon_text(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Typed records of delimited files, with the read error of each bad one."""
-    records = daily_transactions().read(spark, adapters.transaction_files(spark, folder))
+    records = daily_transactions().read(spark, adapters.transaction_files(spark, folder), stage=False)
     broken = F.when(F.col("read_error") == "UNREADABLE_LINE", F.col("raw")).alias("broken_line")
     return records.select("id", "fecha", "monto", "tipo", "read_error", broken)
 
@@ -233,7 +233,7 @@ def csv_tx_report(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def csv_outcome_counts(spark: SparkSession, folder: str) -> DataFrame:
     job = daily_transactions("literal")
-    return job.outcome_counts(job.read(spark, adapters.transaction_files(spark, folder)))
+    return job.outcome_counts(job.read(spark, adapters.transaction_files(spark, folder), stage=False))
 
 
 @query
@@ -247,7 +247,7 @@ def csv_acct_interest(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def csv_acct_outcome_counts(spark: SparkSession, folder: str) -> DataFrame:
     job = monthly_interest("literal")
-    return job.outcome_counts(job.read(spark, adapters.account_files(spark, folder)))
+    return job.outcome_counts(job.read(spark, adapters.account_files(spark, folder), stage=False))
 
 
 @query
@@ -261,7 +261,7 @@ def csv_mov_statement_ids(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def csv_mov_outcome_counts(spark: SparkSession, folder: str) -> DataFrame:
     job = annual_statements()
-    return job.outcome_counts(job.read(spark, adapters.movement_files(spark, folder)))
+    return job.outcome_counts(job.read(spark, adapters.movement_files(spark, folder), stage=False))
 
 
 # Contracts, gates and runs

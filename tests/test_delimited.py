@@ -59,4 +59,6 @@ def test_order_follows_path_then_line_over_uneven_files(spark, csv, settings):
         assert sorted(row.id for row in job.accepted(records).collect()) == winners
         kept = job.verdicts(records).where("outcome = 'ACCEPTED'")
         assert sorted(row.id for row in kept.collect()) == winners
-        assert records.rdd.getNumPartitions() >= {"128m": 1, "9000": 5, "1500": 20}[size]
+        scan = job.read(spark, folder, stage=False)
+        assert sorted(row.id for row in job.accepted(scan).collect()) == winners
+        assert scan.rdd.getNumPartitions() >= {"128m": 1, "9000": 5, "1500": 20}[size]
