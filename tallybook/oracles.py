@@ -106,7 +106,10 @@ MOV_CSV = (
            'a, "b"' || CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN ' ' || o_orderpriority ELSE '' END
          WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderpriority END AS descripcion""",
     )
-    .replace("CASE WHEN cuenta_id IS NULL", "CASE WHEN ord % 50 = 11 THEN 'UNREADABLE_CUENTA_ID' WHEN cuenta_id IS NULL")
+    .replace(
+        "CASE WHEN cuenta_id IS NULL",
+        "CASE WHEN ord % 50 = 11 THEN 'UNREADABLE_CUENTA_ID' WHEN cuenta_id IS NULL",
+    )
 )
 
 OUTCOME = """CASE WHEN reason IS NULL THEN 'ACCEPTED' WHEN reason = 'NOT_ELIGIBLE' THEN 'FILTERED'
@@ -125,7 +128,8 @@ MOV_DETAIL = """CASE reason WHEN 'BAD_TYPE' THEN 'type: ' || transaccion
 
 
 def _rejects(verdicts: str, detail: str) -> str:
-    return f"{verdicts} SELECT ord, {OUTCOME} AS outcome, reason, {detail} AS detail FROM verdicts WHERE reason IS NOT NULL"
+    return f"""{verdicts} SELECT ord, {OUTCOME} AS outcome, reason, {detail} AS detail
+FROM verdicts WHERE reason IS NOT NULL"""
 
 
 TX_TEXT = f"""WITH {TX_SOURCE},
@@ -258,7 +262,8 @@ CAST(sum(monto) AS DECIMAL(38,2)) AS total FROM accepted GROUP BY cuenta_id ORDE
 FROM valued""",
     "canon_text": f"{MESSY} SELECT c_custkey, lower(tipo) AS canon, tipo IS NULL OR tipo = '' AS blank FROM trimmed",
     "csv_scan": f"{CSV} SELECT id, fecha, monto, tipo, read_error, broken_line FROM records",
-    "csv_tx_report": f"""{CSV} SELECT id, fecha, CAST(monto AS DECIMAL(15,2)) AS monto, kind AS tipo, monto <= 0 AS anomalia,
+    "csv_tx_report": f"""{CSV} SELECT id, fecha, CAST(monto AS DECIMAL(15,2)) AS monto, kind AS tipo,
+  monto <= 0 AS anomalia,
   CASE WHEN monto < 0 THEN 'Monto negativo detectado' WHEN monto = 0 THEN 'Monto cero detectado'
        ELSE 'OK' END AS observacion
 FROM verdicts WHERE reason IS NULL ORDER BY id""",

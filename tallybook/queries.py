@@ -67,8 +67,9 @@ def tx_summary(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def tx_dedup_first(spark: SparkSession, folder: str) -> DataFrame:
     """First record per key alone, all others dropped."""
-    job = daily_transactions()
-    return keep_first(job.valid(adapters.transactions(spark, folder)), job.key, "ord").select("id", "fecha", "monto", F.col("kind").alias("tipo"))
+    job, records = daily_transactions(), adapters.transactions(spark, folder)
+    firsts = keep_first(job.valid(records), job.key, "ord")
+    return firsts.select("id", "fecha", "monto", F.col("kind").alias("tipo"))
 
 
 @query
