@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -47,6 +48,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

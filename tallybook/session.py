@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+SCRATCH = "tallybook.scratch.dir"
+
 SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
@@ -28,13 +29,12 @@ def get_session(app_name: str = "tallybook", master: str | None = None, **settin
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path under ``spark.checkpoint.dir``, the folder every executor can reach.
+    """A fresh path for intermediate data in the folder that the driver and every executor share.
 
-    Only a local master may fall back to a folder of this machine.
+    The folder is the one of ``spark.checkpoint.dir``; where that is unset, as in tests, the session setting
+    ``tallybook.scratch.dir``. There is no default: a folder of one machine would lose data on a cluster.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.gettempdir()
+        raise ValueError(f"set spark.checkpoint.dir or {SCRATCH} to a folder that all executors share")
     return f"{base.rstrip('/')}/tallybook-{purpose}-{uuid.uuid4().hex}"
