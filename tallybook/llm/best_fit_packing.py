@@ -126,7 +126,7 @@ def _packer(step: int, capacity: int, slack: int):
         frame = frame.sort_values(["sequence_id", "doc_id", "piece", "ids_crc32"], kind="stable", na_position="first")
         frame = frame.reset_index(drop=True)
         if step:
-            item = frame["sequence_id"].ne(frame["sequence_id"].shift()).cumsum().to_numpy() - 1
+            item = np.cumsum(np.diff(frame["sequence_id"].to_numpy(np.int64), prepend=-1) != 0) - 1
         else:
             item = np.arange(len(frame))
         sizes = np.bincount(item, weights=frame["length"].to_numpy()).astype(np.int64)
