@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallybook.llm.best_fit_packing import packed_documents
+from tallybook.llm.decontamination import contamination
+from tallybook.llm.exact_dedup import exact_duplicates
 from tallybook.llm.token_planes import round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,3 +36,69 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_token_planes(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(_table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+@query
+def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_duplicates(_table(spark, folder, "documents"))
+
+
+ORACLES["op8_exact_dedup"] = """
+    WITH rows AS (
+        SELECT doc_id, coalesce(text, '') AS text,
+               regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS norm
+        FROM documents
+    )
+    SELECT doc_id,
+           first_value(doc_id) OVER best AS keep_id,
+           count(*) OVER (PARTITION BY norm) AS group_size,
+           doc_id = first_value(doc_id) OVER best AS kept,
+           sha256(norm) AS text_sha256
+    FROM rows
+    WINDOW best AS (PARTITION BY norm ORDER BY length(text) DESC, doc_id)
+"""
+
+
+@query
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+ORACLES["op10_decontamination"] = """
+    WITH doc_words AS (
+        SELECT doc_id, regexp_extract_all(lower_az, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+        FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                       'abcdefghijklmnopqrstuvwxyz') AS lower_az FROM documents)
+    ),
+    item_words AS (
+        SELECT item_id, regexp_extract_all(lower_az, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+        FROM (SELECT item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                        'abcdefghijklmnopqrstuvwxyz') AS lower_az FROM benchmark)
+    ),
+    item_windows AS (
+        SELECT DISTINCT item_id, size, array_to_string(words[at : at + size - 1], ' ') AS win
+        FROM (SELECT item_id, words, least(10, len(words)) AS size,
+                     unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS at
+              FROM item_words WHERE len(words) > 0)
+    ),
+    sizes AS (SELECT DISTINCT size FROM item_windows),
+    found AS (
+        SELECT d.doc_id, d.at, i.size, i.item_id
+        FROM (SELECT doc_id, size, at, array_to_string(words[at : at + size - 1], ' ') AS win
+              FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS at
+                    FROM doc_words, sizes WHERE len(words) >= size)) d
+        JOIN item_windows i ON d.size = i.size AND d.win = i.win
+    ),
+    hit AS (
+        SELECT doc_id, count(DISTINCT place) AS n_hit
+        FROM (SELECT doc_id, unnest(range(at, at + size)) AS place FROM found) GROUP BY doc_id
+    ),
+    items AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+    )
+    SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+           coalesce(n_items, 0) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
