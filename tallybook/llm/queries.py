@@ -76,22 +76,22 @@ ORACLES["op10_decontamination"] = """
                                         'abcdefghijklmnopqrstuvwxyz') AS lower_az FROM benchmark)
     ),
     item_windows AS (
-        SELECT DISTINCT item_id, size, array_to_string(words[at : at + size - 1], ' ') AS win
+        SELECT DISTINCT item_id, size, array_to_string(list_slice(words, pos, pos + size - 1), ' ') AS win
         FROM (SELECT item_id, words, least(10, len(words)) AS size,
-                     unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS at
+                     unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS pos
               FROM item_words WHERE len(words) > 0)
     ),
     sizes AS (SELECT DISTINCT size FROM item_windows),
     found AS (
-        SELECT d.doc_id, d.at, i.size, i.item_id
-        FROM (SELECT doc_id, size, at, array_to_string(words[at : at + size - 1], ' ') AS win
-              FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS at
+        SELECT d.doc_id, d.pos, i.size, i.item_id
+        FROM (SELECT doc_id, size, pos, array_to_string(list_slice(words, pos, pos + size - 1), ' ') AS win
+              FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS pos
                     FROM doc_words, sizes WHERE len(words) >= size)) d
         JOIN item_windows i ON d.size = i.size AND d.win = i.win
     ),
     hit AS (
         SELECT doc_id, count(DISTINCT place) AS n_hit
-        FROM (SELECT doc_id, unnest(range(at, at + size)) AS place FROM found) GROUP BY doc_id
+        FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS place FROM found) GROUP BY doc_id
     ),
     items AS (
         SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
