@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallybook.llm.best_fit_packing import packed_documents
 from tallybook.llm.decontamination import contamination
 from tallybook.llm.exact_dedup import exact_duplicates
+from tallybook.llm.jaccard_join import components
 from tallybook.llm.token_planes import round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,3 +103,39 @@ ORACLES["op10_decontamination"] = """
            coalesce(n_hit, 0) > 0 AS contaminated
     FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+@query
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return components(_table(spark, folder, "documents"))
+
+
+ORACLES["op9_jaccard_join"] = """
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+        FROM documents
+    ),
+    shingles AS (
+        SELECT DISTINCT doc_id, array_to_string(list_slice(words, pos, pos + 3), ' ') AS shingle
+        FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS pos
+              FROM words WHERE len(words) > 0)
+    ),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    meets AS (
+        SELECT l.doc_id AS a, r.doc_id AS b, count(*) AS common
+        FROM shingles l JOIN shingles r ON l.shingle = r.shingle AND l.doc_id <> r.doc_id GROUP BY ALL
+    ),
+    links AS (
+        SELECT a, b FROM meets o JOIN sizes x ON o.a = x.doc_id JOIN sizes y ON o.b = y.doc_id
+        WHERE 100 * common >= 85 * (x.n + y.n - common)
+    ),
+    reach AS (
+        SELECT doc_id AS a, doc_id AS b FROM documents
+        UNION
+        SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+    )
+    SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least_id AS component_id
+    FROM documents d LEFT JOIN sizes USING (doc_id)
+    JOIN (SELECT a AS doc_id, min(b) AS least_id FROM reach GROUP BY a) USING (doc_id)
+"""
