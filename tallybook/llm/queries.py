@@ -11,7 +11,9 @@ from tallybook.llm.best_fit_packing import packed_documents
 from tallybook.llm.decontamination import contamination
 from tallybook.llm.exact_dedup import exact_duplicates
 from tallybook.llm.jaccard_join import components
+from tallybook.llm.language_id import languages
 from tallybook.llm.token_planes import round_trip
+from tallybook.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -139,3 +141,13 @@ ORACLES["op9_jaccard_join"] = """
     FROM documents d LEFT JOIN sizes USING (doc_id)
     JOIN (SELECT a AS doc_id, min(b) AS least_id FROM reach GROUP BY a) USING (doc_id)
 """
+
+
+@query
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return languages(_table(spark, folder, "documents"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
