@@ -14,6 +14,7 @@ from tallybook.llm.jaccard_join import components
 from tallybook.llm.language_id import languages
 from tallybook.llm.token_planes import round_trip
 from tallybook.llm.toxicity import toxicity
+from tallybook.llm.warc import round_trip as warc_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -151,3 +152,21 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@query
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_round_trip(_table(spark, folder, "pages"))
+
+
+ORACLES["op4_warc"] = """
+    WITH payloads AS (
+        SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+               sha256(coalesce(html, '')) AS payload_digest FROM pages
+    ),
+    firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS least_id FROM payloads)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 100 AND page_id > least_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 100 AND page_id > least_id THEN least_id END AS refers_to
+    FROM firsts
+"""
