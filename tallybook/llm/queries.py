@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallybook.llm.best_fit_packing import packed_documents
 from tallybook.llm.decontamination import contamination
 from tallybook.llm.exact_dedup import exact_duplicates
+from tallybook.llm.gru_lm import scores
 from tallybook.llm.jaccard_join import components
 from tallybook.llm.language_id import languages
 from tallybook.llm.token_planes import round_trip
@@ -170,3 +171,8 @@ ORACLES["op4_warc"] = """
            CASE WHEN payload_bytes >= 100 AND page_id > least_id THEN least_id END AS refers_to
     FROM firsts
 """
+
+
+@query
+def op5_gru_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return scores(_table(spark, folder, "documents"))
