@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallybook.llm.best_fit_packing import packed_documents
 from tallybook.llm.decontamination import contamination
@@ -13,6 +14,7 @@ from tallybook.llm.exact_dedup import exact_duplicates
 from tallybook.llm.gru_lm import scores
 from tallybook.llm.jaccard_join import components
 from tallybook.llm.language_id import languages
+from tallybook.llm.license_scan import licenses
 from tallybook.llm.token_planes import round_trip
 from tallybook.llm.toxicity import toxicity
 from tallybook.llm.warc import round_trip as warc_round_trip
@@ -176,3 +178,9 @@ ORACLES["op4_warc"] = """
 @query
 def op5_gru_lm(spark: SparkSession, folder: str) -> DataFrame:
     return scores(_table(spark, folder, "documents"))
+
+
+@query
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses(_table(spark, folder, "documents"))
+    return found.withColumn("licenses", F.array_join("licenses", ","))
