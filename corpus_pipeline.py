@@ -1,28 +1,67 @@
-"""From raw documents to packed training sequences; every stage writes Parquet that the next one reads."""
+"""From raw documents to packed training sequences; every stage writes Parquet that the next one reads.
+
+The stages drop toxic documents, exact copies, near copies (five-word shingles, a Jaccard similarity of 0.8 or more; the
+smallest doc_id of each group stays) and documents with benchmark passages, and pack what is left. All but the last
+return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tallybook.llm import decontamination, exact_dedup, jaccard_join, toxicity
 from tallybook.llm.best_fit_packing import packed_documents
 from tallybook.session import shared_folder
 
 TOKENIZER = "word_bpe_49k.json"
+NEAR_COPIES = jaccard_join.Similarity(words=5, num=80, den=100)
+
+# The tokenizer, the trained classifier and the components cannot be written in SQL.
 ORACLE_SQL = None
 
 
-def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored 0.3 or more go; the model learns from the labelled ones among them."""
+    return toxicity.without_toxic(docs, _table(spark, sf_dir, "labels"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal but for white space, the longest stays, then the smallest doc_id."""
+    return exact_dedup.deduplicated(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the smallest doc_id stays."""
+    return jaccard_join.one_of_each(docs, NEAR_COPIES)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with ten consecutive words of a benchmark item go."""
+    return decontamination.clean(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document that is left, packed into sequences of at most 4096 tokens."""
     return packed_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
-STAGES = [("best_fit_packing", best_fit_packing)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("jaccard_join", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("best_fit_packing", pack),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the rows of the last one."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = shared_folder(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)

@@ -47,3 +47,24 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     if "://" not in uri:
         return fs.LocalFileSystem(), uri
     return fs.FileSystem.from_uri(uri)
+
+
+# Keys of rows to drop are broadcast up to this number, at most 32 MB; more are joined by shuffle, with equal results.
+BROADCAST_KEYS = 2_000_000
+
+
+def text_key() -> Column:
+    """With doc_id the key of a row in a list of rows to drop, as ids may repeat."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
+def without_rows(documents: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The documents whose (doc_id, text_key) are not in ``dropped``, with all their columns.
+
+    Rows without doc_id are never dropped: nothing names them.
+    """
+    keys = dropped.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    keys = keys.where("_id is not null").distinct()
+    if keys.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    return documents.join(keys, (documents["doc_id"] == F.col("_id")) & (text_key() == F.col("_key")), "left_anti")

@@ -22,7 +22,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import BLANKS, with_columns
+from tallybook.llm.common import BLANKS, text_key, with_columns, without_rows
 from tallybook.operators.sinks import settle
 
 SALTS = 64
@@ -58,9 +58,12 @@ def _id_of(rank: Column) -> Column:
 def _prepared(documents: DataFrame, digest: Digest) -> DataFrame:
     rows = with_columns(documents, doc_id="long", text="string")
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = rows.select("doc_id", normalised(text).alias("norm"), F.char_length(text).alias("points"))
+    points = F.char_length(text).alias("points")
+    rows = rows.select("doc_id", normalised(text).alias("norm"), points, text_key().alias("text_key"))
     salt = F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.rand(1))), F.lit(SALTS)).cast("int")
-    return rows.select("doc_id", "norm", "points", digest(F.col("norm")).alias("digest"), salt.alias("salt"))
+    return rows.select(
+        "doc_id", "norm", "points", "text_key", digest(F.col("norm")).alias("digest"), salt.alias("salt")
+    )
 
 
 def _classes(rows: DataFrame) -> DataFrame:
@@ -75,7 +78,7 @@ def _classes(rows: DataFrame) -> DataFrame:
 
 
 def exact_duplicates(documents: DataFrame, digest: Digest = sha256) -> DataFrame:
-    """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``.
+    """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``, and ``text_key`` of the original text.
 
     ``digest`` only routes rows; a poor one costs time and gives the same result.
     """
@@ -95,17 +98,19 @@ def _joined(rows: DataFrame, classes: DataFrame, *key: str) -> DataFrame:
         *key, _id_of(F.col("rank")).alias("keep_id"), F.col("copies").alias("group_size")
     )
     rows = rows.withColumn("text_sha256", sha256(F.col("norm")))
-    wanted = dict.fromkeys([*key, "doc_id", "text_sha256"])
-    return (
-        rows.select(*wanted)
-        .join(spread, list(key))
-        .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
-    )
+    wanted = dict.fromkeys([*key, "doc_id", "text_sha256", "text_key"])
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept")
+    joined = rows.select(*wanted).join(spread, list(key))
+    return joined.select("doc_id", "keep_id", "group_size", kept, "text_sha256", "text_key")
 
 
 def deduplicated(documents: DataFrame) -> DataFrame:
-    """The documents without the dropped copies, with all their columns; one row per kept id and text."""
-    verdicts = exact_duplicates(documents).where("kept").select("doc_id").distinct()
-    same = documents["doc_id"].eqNullSafe(verdicts["doc_id"])
-    kept = documents.join(verdicts, same, "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+    """The documents without the dropped copies, with all their columns. Of wholly equal rows one stays."""
+    verdicts = settle(exact_duplicates(documents), "verdicts")
+    kept = without_rows(documents, verdicts.where("not kept"))
+    again = verdicts.where("kept and doc_id is not null").groupBy("doc_id", "text_key").count().where("count > 1")
+    again = settle(again.select("doc_id", "text_key"), "again")
+    if again.isEmpty():
+        return kept
+    key = [documents["doc_id"] == again["doc_id"], text_key() == again["text_key"]]
+    return without_rows(kept, again).unionByName(kept.join(again, key, "left_semi").dropDuplicates(["doc_id", "text"]))

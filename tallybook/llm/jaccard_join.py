@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import BLANKS, LOWER, Batches, texts_of, with_columns
+from tallybook.llm.common import BLANKS, LOWER, Batches, text_key, texts_of, with_columns, without_rows
 from tallybook.llm.components import connected, forest
 from tallybook.operators.sinks import settle
 
@@ -177,21 +177,23 @@ SLOTS = pa.schema(
         ("doc_id", pa.int64()),
         ("n_shingles", pa.int64()),
         ("digest", pa.binary()),
+        ("text_key", pa.int64()),
         ("other", pa.int64()),
     ]
 )
-SLOTS_DDL = "slot long, keys binary, nodes binary, doc_id long, n_shingles long, digest binary, other long"
+SLOTS_DDL = "slot long, keys binary, nodes binary, doc_id long, n_shingles long, digest binary, text_key long, other long"
 FOUND = pa.schema(
     [
         ("kind", pa.string()),
         ("doc_id", pa.int64()),
         ("n_shingles", pa.int64()),
         ("digest", pa.binary()),
+        ("text_key", pa.int64()),
         ("node", pa.int64()),
         ("other", pa.int64()),
     ]
 )
-FOUND_DDL = "kind string, doc_id long, n_shingles long, digest binary, node long, other long"
+FOUND_DDL = "kind string, doc_id long, n_shingles long, digest binary, text_key long, node long, other long"
 
 
 def _batch(schema: pa.Schema, length: int, **columns) -> pa.RecordBatch:
@@ -235,6 +237,7 @@ def _candidates(documents: DataFrame, like: Similarity, ranges: int) -> DataFram
                 doc_id=batch.column("doc_id"),
                 n_shingles=sizes,
                 digest=digests,
+                text_key=batch.column("text_key"),
             )
             firsts = like.size_classes(int(sizes.max(initial=1)))
             classes = np.searchsorted(firsts, sizes, side="right") - 1
@@ -267,7 +270,7 @@ def _candidates(documents: DataFrame, like: Similarity, ranges: int) -> DataFram
             docs, edges = table.filter(pc.invert(edge)), table.filter(edge)
             digests = docs.column("digest").to_pylist()
             nodes = [int.from_bytes(d[:8], "little", signed=True) if d else None for d in digests]
-            ids = {name: docs.column(name).combine_chunks() for name in ("doc_id", "n_shingles")}
+            ids = {name: docs.column(name).combine_chunks() for name in ("doc_id", "n_shingles", "text_key")}
             parts = [
                 _batch(FOUND, len(docs), kind=["doc"] * len(docs), digest=digests, node=nodes, **ids),
                 _batch(
@@ -284,7 +287,7 @@ def _candidates(documents: DataFrame, like: Similarity, ranges: int) -> DataFram
         _, _, node, other = _shared_keys(keys, nodes)
         return pa.Table.from_batches([_batch(FOUND, len(node), kind=["edge"] * len(node), node=node, other=other)])
 
-    rows = with_columns(documents, doc_id="long", text="string").mapInArrow(read, SLOTS_DDL)
+    rows = documents.select("doc_id", "text", text_key().alias("text_key")).mapInArrow(read, SLOTS_DDL)
     return rows.groupBy("slot").applyInArrow(combine, FOUND_DDL)
 
 
@@ -380,7 +383,7 @@ LINKED_DDL = "digest binary, node long, other long"
 
 
 def components(documents: DataFrame, like: Similarity = Similarity(), block_sets: int = BLOCK_SETS) -> DataFrame:
-    """Per document: ``doc_id, n_shingles, component_id``."""
+    """Per document: ``doc_id, n_shingles, component_id``, and ``text_key`` of its text."""
     docs = with_columns(documents, doc_id="long", text="string")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, -(-total // RANGE_BYTES))
@@ -405,7 +408,7 @@ def components(documents: DataFrame, like: Similarity = Similarity(), block_sets
     spread = ids.select("digest", "component_id", F.explode(bits).alias("salt"))
     of_sets = rows.where("digest is not null").join(spread, ["digest", "salt"])
     without = rows.where("digest is null").withColumn("component_id", F.col("doc_id"))
-    wanted = ("doc_id", "n_shingles", "component_id")
+    wanted = ("doc_id", "n_shingles", "component_id", "text_key")
     return of_sets.select(*wanted).unionByName(without.select(*wanted))
 
 
@@ -480,7 +483,6 @@ def _labels(sets: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def one_of_each(documents: DataFrame, like: Similarity) -> DataFrame:
-    """The documents that are the smallest of their component, with all their columns."""
-    found = components(documents, like).where("doc_id <=> component_id").select("doc_id").distinct()
-    kept = documents.join(found, documents["doc_id"].eqNullSafe(found["doc_id"]), "left_semi")
-    return kept
+    """The documents that are the smallest of their component, and those without n-grams, with all their columns."""
+    dropped = components(documents, like).where("doc_id != component_id")
+    return without_rows(documents, dropped)

@@ -47,7 +47,7 @@ def op6_token_planes(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return exact_duplicates(_table(spark, folder, "documents"))
+    return exact_duplicates(_table(spark, folder, "documents")).drop("text_key")
 
 
 ORACLES["op8_exact_dedup"] = """
@@ -113,7 +113,7 @@ ORACLES["op10_decontamination"] = """
 
 @query
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return components(_table(spark, folder, "documents"))
+    return components(_table(spark, folder, "documents")).drop("text_key")
 
 
 ORACLES["op9_jaccard_join"] = """
