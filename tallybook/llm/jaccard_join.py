@@ -427,7 +427,8 @@ def _linked(docs: DataFrame, members: DataFrame, like: Similarity, block_sets: i
     tasks = F.greatest(F.ceil(F.col("sets") / block_sets), F.ceil(F.col("entries") / BLOCK_ENTRIES)).cast("long")
     sizes = sizes.where("sets > 1").select("label", "sets", tasks.alias("tasks"))
     wanted = members.join(sizes, "label").select("rep", "digest", F.col("label").alias("block"), "sets", "tasks")
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"])).select(
+    # always by shuffle: the members grow with the input
+    texts = docs.join(wanted.hint("merge"), docs["doc_id"].eqNullSafe(wanted["rep"])).select(
         "text", "digest", F.coalesce("rep", F.lit(-(1 << 63))).alias("rep"), "block", "sets", "tasks"
     )
     sets = texts.mapInArrow(read, "digest binary, rep long, block long, sets long, tasks long, grams binary")
