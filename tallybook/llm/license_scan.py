@@ -17,6 +17,7 @@ template is taken, then the first in the list. Repeated rows are each reported.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -61,7 +62,8 @@ class Templates:
         From dice = 2 s / (b + w) and w >= s follows s >= dice * b / (2 - dice).
         """
         needed = self.least_dice * len(self.bigrams[number]) / (2 - self.least_dice)
-        return needed if needed <= window - 1 else float("inf")
+        needed = math.ceil(needed - 1e-9)  # the bound itself may be met exactly
+        return needed if needed <= window - 1 else math.inf
 
     def scan(self, text: bytes) -> list[tuple[float, int, int, int]]:
         """(dice, template, first word, words) of each template found, best window each."""

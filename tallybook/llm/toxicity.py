@@ -64,6 +64,8 @@ class ToxicityModel:
     constant: float
 
     def score(self, features: np.ndarray) -> float:
+        if math.isinf(self.constant):  # one kind of label only
+            return float(self.constant > 0)
         power = self.constant + float(np.dot(self.weights, features))
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, power))))
 
@@ -170,7 +172,7 @@ def learn(rows: list[tuple[bytes, int]]) -> ToxicityModel:
     parts = {label: without_copies([text for text, own in rows if own == label]) for label in (0, 1)}
     if min(map(len, parts.values())) < 3:
         power = math.log(share / (1 - share)) if 0 < share < 1 else math.inf if share else -math.inf
-        return ToxicityModel(b"", b"", 1, (0.0,) * FEATURES, max(-500.0, min(500.0, power)))
+        return ToxicityModel(b"", b"", 1, (0.0,) * FEATURES, power)
     kept = {label: texts[len(texts) // 3 :] for label, texts in parts.items()}
     ordinary, toxic = train_dictionaries(kept[1], kept[0])
     left = [(text, label) for label, texts in parts.items() for text in texts[: len(texts) // 3]]
