@@ -156,7 +156,7 @@ fields AS (
   FROM texts),
 records AS (
   SELECT id, CASE WHEN k <> 11 THEN fecha END AS fecha, amount,
-         CASE WHEN k <> 21 THEN CAST(monto AS DECIMAL(30,8)) END AS monto,
+         CASE WHEN k <> 21 THEN CAST(monto AS DECIMAL(32,16)) END AS monto,
          CASE WHEN k <> 41 THEN nullif(kind_text, '') END AS tipo,
          CASE WHEN k IN (41, 42) THEN 'UNREADABLE_LINE' WHEN k = 11 THEN 'UNREADABLE_FECHA'
               WHEN k = 21 THEN 'UNREADABLE_MONTO' END AS read_error,
@@ -217,10 +217,10 @@ pieces AS (
   SELECT *, CASE WHEN contains(mantissa, '.') THEN length(split_part(mantissa, '.', 2)) ELSE 0 END - exponent AS places
   FROM parts),
 valued AS (
-  SELECT *, is_number AND places <= 8 AS fits,
-         CASE WHEN is_number AND places <= 8
+  SELECT *, is_number AS fits,
+         CASE WHEN is_number
               THEN CAST(TRY_CAST(mantissa AS DECIMAL(30,10)) * CASE exponent WHEN 1 THEN 10 WHEN -2 THEN 0.01 ELSE 1 END
-                        AS DECIMAL(30,8)) END AS as_amount
+                        AS DECIMAL(32,16)) END AS as_amount
   FROM pieces)
 """
 
@@ -268,6 +268,17 @@ FROM valued""",
        ELSE 'OK' END AS observacion
 FROM verdicts WHERE reason IS NULL ORDER BY id""",
     "csv_outcome_counts": f"{CSV} {OUTCOME_COUNTS}",
+    "csv_wide_amounts": f"""WITH {TX_SOURCE},
+ruled AS (
+  SELECT id, id % 8 AS k, CASE WHEN lower(trim(tipo)) NOT IN ('debito', 'credito') THEN 'BAD_TYPE' END AS reason,
+         CASE id % 8 WHEN 1 THEN 0.12 WHEN 2 THEN 0 WHEN 3 THEN 0.01 WHEN 4 THEN -0.01 WHEN 6 THEN -0.01 ELSE monto
+         END AS stored
+  FROM tx)
+SELECT id, CASE WHEN reason IS NULL THEN 'ACCEPTED' ELSE 'SKIPPED' END AS outcome, reason,
+  CASE WHEN reason IS NULL AND k <> 5 THEN CAST(stored AS DECIMAL(15,2)) END AS monto,
+  CASE WHEN reason IS NULL AND k <> 5 THEN stored <= 0 AND k <> 2 WHEN reason IS NULL THEN FALSE END AS anomalia,
+  CASE WHEN reason IS NULL AND k = 5 THEN 'OVERFLOW:monto' END AS violation
+FROM ruled""",
     "csv_acct_interest": f"{ACCT_CSV} SELECT * FROM accepted",
     "csv_acct_outcome_counts": f"{ACCT_CSV} {OUTCOME_COUNTS}",
     "csv_mov_statement_ids": f"{MOV_CSV} SELECT row_number() OVER (ORDER BY ord) AS id, * EXCLUDE (ord) FROM accepted",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from tallybook.operators.contracts import (
 from tallybook.operators.gates import MAX_REJECTS, before, check_counts, prefix_end
 from tallybook.operators.numbering import number_rows
 from tallybook.operators.repeats import keep_first, mark_repeats
+from tallybook.operators.rules import ACCEPTED
 from tallybook.operators.sinks import FolderSink, settle
 from tallybook.plans import reports
 from tallybook.plans.job import Job, table_rows
@@ -237,6 +239,15 @@ def csv_outcome_counts(spark: SparkSession, folder: str) -> DataFrame:
     return job.outcome_counts(job.read(spark, adapters.transaction_files(spark, folder), stage=False))
 
 
+@query
+def csv_wide_amounts(spark: SparkSession, folder: str) -> DataFrame:
+    """Amounts of any length: they round as a whole; one too large breaks the contract if its record is accepted."""
+    job = replace(daily_transactions(), key=())
+    verdicts = job.verdicts(job.read(spark, adapters.wide_amount_files(spark, folder), stage=False))
+    key = F.when(F.col("outcome") == ACCEPTED, F.col("id")).otherwise(F.get_json_object("record", "$.id").cast("bigint"))
+    return verdicts.select(key.alias("id"), "outcome", "reason", "monto", "anomalia", "violation")
+
+
 @query
 def csv_acct_interest(spark: SparkSession, folder: str) -> DataFrame:
     """Monthly interest from delimited files."""

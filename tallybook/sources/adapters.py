@@ -74,6 +74,24 @@ def transaction_files(spark: SparkSession, folder: str) -> str:
     return _write_lines(text.select("ord", line.alias("line")), "transactions", "id,fecha,monto,tipo")
 
 
+def wide_amount_files(spark: SparkSession, folder: str) -> str:
+    """The transactions with amounts of more digits than a table column holds, on either side of the point."""
+    key = F.col("ord") % 8
+    amount = (
+        F.when(key == 1, "0.123456789")
+        .when(key == 2, "0.00000000000000000000000000001")
+        .when(key == 3, "0.005000000000000000000000000001")
+        .when(key == 4, "-0.00500000000000000000000")
+        .when(key == 5, "123456789012345678901234.5")
+        .when(key == 6, "-1.4999999999999999999999999e-2")
+        .when(key == 7, F.concat("monto", F.when(F.instr("monto", ".") > 0, "").otherwise("."), F.lit("0" * 30)))
+        .otherwise(F.col("monto"))
+    )
+    rows = transaction_text(spark, folder)
+    line = F.concat_ws(",", "id", "fecha", amount, F.trim("tipo"))
+    return _write_lines(rows.select("ord", line.alias("line")), "wide-amounts", "id,fecha,monto,tipo")
+
+
 def account_files(spark: SparkSession, folder: str) -> str:
     """The accounts as delimited files: padded names, blank and bad balances, missing ages."""
     key = F.col("cuenta_id") % 50

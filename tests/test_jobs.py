@@ -115,7 +115,7 @@ def test_annual_statements(spark, csv):
         ("1,,1,debito", "UNREADABLE_FECHA"),
         ("1,2024-01-01,abc,debito", "UNREADABLE_MONTO"),
         ("1,2024-01-01,,debito", "UNREADABLE_MONTO"),
-        ("1,2024-01-01,0.123456789,debito", "UNREADABLE_MONTO"),
+        ("1,2024-01-01,1e99999999999,debito", "UNREADABLE_MONTO"),
         ("1,2024-01-01,1", "UNREADABLE_LINE"),
         ("1,2024-01-01,1,debito,x", "UNREADABLE_LINE"),
     ],
@@ -156,6 +156,14 @@ def test_rate_table_needs_unique_types(spark, csv):
         job.verdicts(job.read(spark, csv(["1,Ana,100,30,oro"])))
 
 
+def test_amounts_of_any_length(spark, csv):
+    lines = ["1,2024-01-01,1.500000000,debito", "2,2024-01-01,0.123456789,debito"]
+    lines += [f"3,2024-01-01,{'1' * 24},otro", f"4,2024-01-01,{'1' * 24},debito"]
+    found, rows = judged(daily_transactions("literal"), spark, csv(lines))
+    assert found == [OK, OK, skipped("BAD_TYPE"), OK]
+    assert [str(row.monto) for row in rows[:2]] == ["1.50", "0.12"] and rows[3].violation == "OVERFLOW:monto"
+
+
 def test_amount_key_is_checked():
     with pytest.raises(ValueError, match="amount_key"):
         daily_transactions("text")

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 from datetime import date
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -63,9 +63,41 @@ def test_parse_whole_numbers(spark):
 
 
 def test_parse_amount(spark):
-    values = ["100", "1E2", "-5.50", ".5", "1.", "+3", "abc", "", None, "1,5", "0.12345678", "0.123456789", "1E-9"]
-    expected = [100, 100, Decimal("-5.5"), Decimal("0.5"), 1, 3, None, None, None, None, Decimal("0.12345678"), None, None]
+    values = ["100", "1E2", "-5.50", ".5", "1.", "+3", "abc", "", None, "1,5", "0.123456789", "1E-9", "1.500000000"]
+    expected = [100, 100, Decimal("-5.5"), Decimal("0.5"), 1, 3, None, None, None, None]
+    expected += [Decimal("0.123456789"), Decimal("1E-9"), Decimal("1.5")]
     assert evaluate(spark, values, parse.parse_amount(F.col(C))) == expected
+    assert evaluate(spark, ["1e", "e1", ".", "+", "1e99999999999", "NaN"], parse.parse_amount(F.col(C))) == [None] * 6
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "0.00499999999999999999999",
+        "0.00500000000000000000001",
+        "-0.005000000000000000000",
+        "-0.00500000000000000000001",
+        "12345.67499999999999999999e-2",
+        "0.000000000000000000000000000000001",
+        "-1e-400",
+        "1.0049999999999999999999999999999999999999999999",
+        "123456789012345678901e-23",
+        "7.5e-30",
+    ],
+)
+def test_long_amounts_round_and_compare_as_a_whole(spark, text):
+    value = parse.parse_amount(F.col(C))
+    cents, sign = evaluate(spark, [text], F.round(value, 2), F.signum(value))[0]
+    number = Decimal(text)
+    assert cents == number.quantize(Decimal("0.01"), ROUND_HALF_UP) and sign == (number > 0) - (number < 0)
+
+
+def test_amounts_too_large_for_the_type(spark):
+    values = ["1" * 24, "-1e30", "1e16", "9999999999999999", "-" + "9" * 30 + "." + "1" * 40]
+    large = Decimal(parse.TOO_LARGE)
+    assert evaluate(spark, values, parse.parse_amount(F.col(C))) == [
+        large, large.copy_negate(), large, 9999999999999999, large.copy_negate()
+    ]
 
 
 def test_value_and_scale_tell_literals_apart(spark):
