@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallybook.operators.sinks import settle
 
@@ -13,29 +12,10 @@ POSITION_BITS = (1 << 33) - 1
 
 
 def number_rows(df: DataFrame, order: str, name: str) -> DataFrame:
-    """Add ``name``: 1 for the first row by ``order``, then 2, 3, ... without gaps."""
-    if isinstance(df.schema[order].dataType, T.StructType):
-        return _by_split(df, order, name)
-    return _by_range(df, order, name)
+    """Add ``name``: 1 for the first row by ``order``, then 2, 3, ... without gaps.
 
-
-def _by_split(df: DataFrame, order: str, name: str) -> DataFrame:
-    """Rows of staged file records: counted per input split, so no sampling and no further copy are needed.
-
-    A split is what one task read, hence no split is a hot group.
-    """
-    split = [F.col(f"{order}.file").alias("_file"), F.col(f"{order}.block").alias("_block")]
-    rows = df.select("*", *split)
-    starts = _starts(rows, ["_file", "_block"])
-    place = F.row_number().over(Window.partitionBy("_file", "_block").orderBy(f"{order}.row"))
-    return rows.join(starts, ["_file", "_block"]).select((F.col("_start") + place).alias(name), *df.columns)
-
-
-def _by_range(df: DataFrame, order: str, name: str) -> DataFrame:
-    """Rows with any order column: range-partitioned and sorted, each keeps its partition and position.
-
-    That is written to the shared folder first, since the ranges come from a sample and a lost task must not
-    draw them anew.
+    Rows are range-partitioned and sorted, and each keeps its partition and position. That is written to the shared
+    folder first, since the ranges come from a sample and a lost task must not draw them anew.
     """
     placed = df.repartitionByRange(order).sortWithinPartitions(order)
     placed = settle(

@@ -1,4 +1,4 @@
-"""First occurrence wins: find later records with a key seen before.
+"""First occurrence wins: find later records with a key seen before; null parts of a key are equal.
 
 A window over the key would collect a whole group in one task, and one key may hold a third of all records.
 So the first record per key comes from an aggregate, which combines before its shuffle, and is joined back.
@@ -7,11 +7,9 @@ So the first record per key comes from an aggregate, which combines before its s
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallybook.operators.sinks import settle
 
@@ -28,19 +26,14 @@ BROADCAST_BYTES = 32 << 20
 def repeated_keys(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
     """Keys of more than one record, with the first record (``first_ord``) and the number of ``copies``.
 
-    Only records without a ``reason`` and with a whole key count. The others are not filtered out, which would
-    make Spark evaluate the rules inside a filter once more, but share one filler key and add nothing to it.
+    Null parts of a key are equal to each other. Only records without a ``reason`` count. The others are not filtered
+    out, which would make Spark evaluate the rules inside a filter once more, but share one group that counts nothing.
     """
     counts = F.col("reason").isNull()
-    for name in key:
-        counts = counts & F.col(name).isNotNull()
-    keys = [F.coalesce(F.when(counts, F.col(name)), _filler(df.schema[name].dataType)).alias(name) for name in key]
-    rows = df.select(*keys, F.when(counts, F.col(order)).alias(order))
-    return (
-        rows.groupBy(*key)
-        .agg(F.min(order).alias("first_ord"), F.count(order).alias("copies"))
-        .where(F.col("copies") > 1)
-    )
+    keys = [F.when(counts, F.col(name)).alias(name) for name in key]
+    rows = df.select(*keys, (~counts).alias("_rejected"), F.when(counts, F.col(order)).alias(order))
+    groups = rows.groupBy(*key, "_rejected").agg(F.min(order).alias("first_ord"), F.count(order).alias("copies"))
+    return groups.where(F.col("copies") > 1).drop("_rejected")
 
 
 def mark_repeats(df: DataFrame, key: Sequence[str], order: str, measure: bool = False) -> DataFrame:
@@ -95,7 +88,7 @@ def _renamed(side: DataFrame, key: Sequence[str], prefix: str, *more: Column) ->
 def _same_key(key: Sequence[str], prefix: str) -> Column:
     same = F.lit(True)
     for name in key:
-        same = same & (F.col(name) == F.col(prefix + name))
+        same = same & F.col(name).eqNullSafe(F.col(prefix + name))
     return same
 
 
@@ -107,13 +100,5 @@ def _with_first(rows: DataFrame, columns: Sequence[str], order: str, first: Colu
 def _key_bytes(key: Sequence[str]) -> Column:
     size = F.lit(0)
     for name in key:
-        size = size + F.octet_length(F.col(name).cast("string"))
+        size = size + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
     return size
-
-
-def _filler(kind: T.DataType) -> Column:
-    if isinstance(kind, T.StringType):
-        return F.lit("")
-    if isinstance(kind, T.DateType):
-        return F.lit(date(1970, 1, 1))
-    return F.lit(0).cast(kind)

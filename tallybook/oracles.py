@@ -268,6 +268,19 @@ FROM valued""",
        ELSE 'OK' END AS observacion
 FROM verdicts WHERE reason IS NULL ORDER BY id""",
     "csv_outcome_counts": f"{CSV} {OUTCOME_COUNTS}",
+    "csv_default_key": """WITH rows AS (
+  SELECT event_id AS id, CAST(date_trunc('month', ts) AS DATE) AS fecha,
+         CAST(floor(CAST(value AS DOUBLE) / 50) AS DECIMAL(15,2)) AS monto,
+         CASE WHEN event_id % 2 = 0 THEN 'debito' ELSE 'credito' END AS tipo FROM events),
+firsts AS (SELECT *, min(id) OVER (PARTITION BY fecha, monto, tipo, id % 3 = 0) AS first_id FROM rows)
+SELECT id, fecha, monto, tipo FROM firsts WHERE id = first_id""",
+    "mov_dedup_nullable_key": f"""{MOV}, firsts AS (
+  SELECT *, min(ord) OVER (PARTITION BY cuenta_id, kind, descripcion, reason IS NULL) AS first_ord FROM verdicts),
+judged AS (
+  SELECT * REPLACE (CASE WHEN reason IS NULL AND ord > first_ord THEN 'DUPLICATE' ELSE reason END AS reason) FROM firsts)
+SELECT ord, {OUTCOME} AS outcome, reason,
+  CASE WHEN reason = 'DUPLICATE' THEN 'repeats the record at ' || CAST(first_ord AS VARCHAR) ELSE {MOV_DETAIL} END AS detail
+FROM judged""",
     "csv_wide_amounts": f"""WITH {TX_SOURCE},
 ruled AS (
   SELECT id, id % 8 AS k, CASE WHEN lower(trim(tipo)) NOT IN ('debito', 'credito') THEN 'BAD_TYPE' END AS reason,

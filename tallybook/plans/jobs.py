@@ -75,11 +75,11 @@ STATEMENTS_TABLE = TableContract(
     generated="id",
 )
 
-# 'literal' keys tell 700 from 700.00, as text inputs need; 'numeric' keys suit typed tables.
+# 'literal' keys tell 700 from 700.00 in text; in a typed table all amounts have one scale, and both are the same.
 AMOUNT_KEYS = ("literal", "numeric")
 
 
-def daily_transactions(amount_key: str = "numeric") -> Job:
+def daily_transactions(amount_key: str = "literal") -> Job:
     """Flag non-positive amounts, skip bad types and repeats of (date, amount, type)."""
     kind = F.col("kind")
     amount = F.col("monto")
@@ -112,7 +112,7 @@ def daily_transactions(amount_key: str = "numeric") -> Job:
 
 
 def monthly_interest(
-    amount_key: str = "numeric", rates: Mapping[str, Decimal] | DataFrame = MappingProxyType(RATES)
+    amount_key: str = "literal", rates: Mapping[str, Decimal] | DataFrame = MappingProxyType(RATES)
 ) -> Job:
     """Interest and final balance for account types with a rate; repeats of (name, balance, type, age) are skipped.
 

@@ -229,8 +229,23 @@ def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
 def csv_tx_report(spark: SparkSession, folder: str) -> DataFrame:
     """Daily transactions from delimited files: the order of lines decides which repeat is the first."""
     job = daily_transactions("literal")
-    records = job.read(spark, adapters.transaction_files(spark, folder))
-    return reports.transaction_report(table_rows(job, job.verdicts(records)))
+    return reports.transaction_report(job.accepted(job.read(spark, adapters.transaction_files(spark, folder))))
+
+
+@query
+def csv_default_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Records that repeat in the lines as they are written: 700 and 700.00 are different keys by default."""
+    job = daily_transactions()
+    records = job.read(spark, adapters.two_spellings(spark, folder))
+    return job.accepted(records).select("id", "fecha", "monto", "tipo")
+
+
+@query
+def mov_dedup_nullable_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Movements with a repeat key of account, kind and a description that may be null; nulls are equal."""
+    job = replace(annual_statements(), key=("cuenta_id", "kind", "descripcion"))
+    verdicts = job.verdicts(adapters.movements(spark, folder))
+    return verdicts.select("ord", "outcome", "reason", "detail")
 
 
 @query
@@ -251,9 +266,8 @@ def csv_wide_amounts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def csv_acct_interest(spark: SparkSession, folder: str) -> DataFrame:
     """Monthly interest from delimited files."""
-    job = monthly_interest("literal")
-    records = job.read(spark, adapters.account_files(spark, folder))
-    return table_rows(job, job.verdicts(records, measure=True)).drop("ord")
+    job = monthly_interest()
+    return job.accepted(job.read(spark, adapters.account_files(spark, folder))).drop("ord")
 
 
 @query

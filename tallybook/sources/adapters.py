@@ -92,6 +92,16 @@ def wide_amount_files(spark: SparkSession, folder: str) -> str:
     return _write_lines(rows.select("ord", line.alias("line")), "wide-amounts", "id,fecha,monto,tipo")
 
 
+def two_spellings(spark: SparkSession, folder: str) -> str:
+    """Coarse transactions, every third amount with two fraction digits and the others without."""
+    day = F.date_format(F.trunc(F.col("ts").cast("date"), "month"), "yyyy-MM-dd")
+    whole = F.floor(F.col("value") / 50).cast("string")
+    amount = F.when(F.col("event_id") % 3 == 0, F.concat(whole, F.lit(".00"))).otherwise(whole)
+    line = F.concat_ws(",", "event_id", day, amount, F.when(F.col("event_id") % 2 == 0, "debito").otherwise("credito"))
+    rows = load(spark, folder, "events").select(F.col("event_id").alias("ord"), line.alias("line"))
+    return _write_lines(rows, "two-spellings", "id,fecha,monto,tipo")
+
+
 def account_files(spark: SparkSession, folder: str) -> str:
     """The accounts as delimited files: padded names, blank and bad balances, missing ages."""
     key = F.col("cuenta_id") % 50

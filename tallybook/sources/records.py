@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybook.functions.parse import amount_scale, parse_text
 from tallybook.functions.text import is_blank, trim_field
@@ -59,11 +60,17 @@ def parse_records(lines: DataFrame, fields: Sequence[Field]) -> DataFrame:
 
 
 def table_records(table: DataFrame, order: str, columns: Mapping[str, Column]) -> DataFrame:
-    """Typed columns of a table as job records; ``order`` names a unique column that gives the record order."""
+    """Typed columns of a table as job records; ``order`` names a unique column that gives the record order.
+
+    A typed amount is written with the fraction digits of its type, so its scale is the same in every record and keys
+    with the scale are keys of the value.
+    """
     nothing = F.lit(None).cast("string")
-    return table.select(
+    records = table.select(
         F.col(order).alias(ORDER),
         *[column.alias(name) for name, column in columns.items()],
         nothing.alias(READ_ERROR),
         nothing.alias(RAW),
     )
+    decimals = [field for field in records.schema if isinstance(field.dataType, T.DecimalType)]
+    return records.withColumns({f"{field.name}_scale": F.lit(field.dataType.scale) for field in decimals})

@@ -87,12 +87,25 @@ def test_repeated_keys_counts_copies(table):
     assert found == {key: n for key, n in counts.items() if n > 1}
 
 
-def test_filler_key_may_be_a_real_key_too(spark):
-    """Rejected records and null keys add nothing to the key they are filed under."""
+@pytest.mark.parametrize("measure", [False, True])
+def test_null_parts_of_a_key_are_equal(spark, measure):
+    """Rejected records add nothing to any key; a null is a value of its own."""
     rows = [(1, "", 0, "BAD"), (2, None, 0, None), (3, "", 0, None), (4, "", None, None), (5, "", 0, None)]
+    rows += [(6, None, 0, None), (7, None, None, "BAD"), (8, None, None, None), (9, None, None, None), (10, "", None, None)]
     df = spark.createDataFrame(rows, "ord long, name string, number int, reason string")
-    assert found_repeats(mark_repeats(df, ["name", "number"], "ord")) == (5, {5: 3})
-    assert [tuple(row) for row in repeated_keys(df, ["name", "number"], "ord").collect()] == [("", 0, 3, 2)]
+    found = {5: 3, 6: 2, 9: 8, 10: 4}
+    assert found_repeats(mark_repeats(df, ["name", "number"], "ord", measure)) == (10, found)
+    kept = keep_first(df.where("reason IS NULL"), ["name", "number"], "ord")
+    assert sorted(row.ord for row in kept.collect()) == [2, 3, 4, 8]
+    assert expected(rows) == (found, [2, 3, 4, 8])
+
+
+@pytest.mark.parametrize("kind", ["binary", "array<int>", "struct<a:int>"])
+def test_keys_of_any_type(spark, kind):
+    value = {"binary": "binary('x')", "array<int>": "array(1, null)", "struct<a:int>": "struct(1 AS a)"}[kind]
+    df = spark.range(4).selectExpr("id AS ord", f"IF(id % 2 = 0, {value}, null) AS k", "CAST(null AS string) AS reason")
+    rows = mark_repeats(df, ["k"], "ord").collect()
+    assert {row.ord: row.first_ord for row in rows} == {0: None, 1: None, 2: 0, 3: 1}
 
 
 def test_outcome_does_not_depend_on_the_partitioning(spark):
