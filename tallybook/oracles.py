@@ -112,6 +112,21 @@ MOV_CSV = (
     )
 )
 
+ACCT_GAPS = ACCT.replace(
+    "'N' || CAST(c_nationkey % 5 AS VARCHAR) AS nombre",
+    "CASE WHEN c_custkey % 20 = 3 THEN ' ' ELSE 'N' || CAST(c_nationkey % 5 AS VARCHAR) END AS nombre",
+).replace(
+    "CAST(16 + (c_custkey % 9) * 12 AS INTEGER) AS edad",
+    "CASE WHEN c_custkey % 20 NOT IN (3, 5) THEN CAST(16 + (c_custkey % 9) * 12 AS INTEGER) END AS edad",
+).replace("CASE c_mktsegment WHEN", "CASE WHEN c_custkey % 20 = 7 THEN NULL ELSE CASE c_mktsegment WHEN").replace(
+    "ELSE 'prestamo' END AS tipo", "ELSE 'prestamo' END END AS tipo"
+)
+MOV_GAPS = (
+    MOV.replace("o_custkey AS cuenta_id", "CASE WHEN o_orderkey % 20 NOT IN (1, 2) THEN o_custkey END AS cuenta_id")
+    .replace("CAST(o_orderdate AS DATE) AS fecha", "CASE WHEN o_orderkey % 20 <> 2 THEN CAST(o_orderdate AS DATE) END AS fecha")
+    .replace("CASE WHEN o_orderstatus = 'P' THEN", "CASE WHEN o_orderkey % 20 = 5 THEN NULL WHEN o_orderstatus = 'P' THEN")
+)
+
 OUTCOME = """CASE WHEN reason IS NULL THEN 'ACCEPTED' WHEN reason = 'NOT_ELIGIBLE' THEN 'FILTERED'
   WHEN reason LIKE 'UNREADABLE%' THEN 'READ_ERROR' ELSE 'SKIPPED' END"""
 
@@ -339,4 +354,60 @@ UNION ALL
 SELECT 'annual_statements', 'COMPLETED', records_read, good, 0, skipped, NULL
 FROM ({MOV} SELECT count(*) AS records_read, count(*) FILTER (WHERE reason IS NULL) AS good,
       count(*) FILTER (WHERE reason IS NOT NULL) AS skipped FROM verdicts)""",
+    "run_all_with_missing_input": f"""SELECT 'daily_transactions' AS job, 'COMPLETED' AS status, records_read,
+  good AS records_written, CAST(0 AS BIGINT) AS records_filtered, skipped AS records_skipped,
+  CAST(NULL AS VARCHAR) AS failure
+FROM ({TX} SELECT count(*) AS records_read, count(*) FILTER (WHERE reason IS NULL) AS good,
+      count(*) FILTER (WHERE reason IS NOT NULL) AS skipped FROM verdicts)
+UNION ALL SELECT 'monthly_interest', 'FAILED', 0, 0, 0, 0, 'AnalysisException'
+UNION ALL
+SELECT 'annual_statements', 'COMPLETED', records_read, good, 0, skipped, NULL
+FROM ({MOV} SELECT count(*) AS records_read, count(*) FILTER (WHERE reason IS NULL) AS good,
+      count(*) FILTER (WHERE reason IS NOT NULL) AS skipped FROM verdicts)""",
+    "tx_published": f"{TX} SELECT * FROM accepted",
+    "tx_published_rejects": f"""{TX} SELECT 'daily_transactions' AS job, ord, {OUTCOME} AS outcome, reason,
+  {TX_DETAIL} AS detail, CAST(id AS VARCHAR) AS id, CAST(fecha AS VARCHAR) AS fecha, monto, tipo
+FROM verdicts WHERE reason IS NOT NULL""",
+    "tx_failed_run_rejects": f"""{TX} SELECT 'daily_transactions' AS job, ord, {OUTCOME} AS outcome, reason,
+  {TX_DETAIL} AS detail FROM verdicts WHERE reason IS NOT NULL""",
+    "acct_published": f"{ACCT} SELECT * FROM accepted",
+    "mov_published": f"{MOV} SELECT row_number() OVER (ORDER BY ord) AS id, * EXCLUDE (ord) FROM accepted",
+    "mov_published_accounts": f"""{MOV} SELECT cuenta_id, count(*) AS movimientos,
+CAST(sum(monto) AS DECIMAL(38,2)) AS total FROM accepted GROUP BY cuenta_id""",
+    "acct_published_counters": f"""{ACCT_GAPS}, counters AS (
+  SELECT 'read' AS counter, count(*) AS records FROM verdicts
+  UNION ALL SELECT 'accepted', count(*) FILTER (WHERE reason IS NULL) FROM verdicts
+  UNION ALL SELECT 'written', count(*) FROM accepted
+  UNION ALL SELECT 'filtered', count(*) FILTER (WHERE reason = 'NOT_ELIGIBLE') FROM verdicts
+  UNION ALL SELECT 'skipped', count(*) FILTER (WHERE reason <> 'NOT_ELIGIBLE') FROM verdicts
+  UNION ALL SELECT 'unreadable', 0
+  UNION ALL SELECT 'violations', 0
+  UNION ALL SELECT 'skipped ' || reason, count(*) FROM verdicts WHERE reason <> 'NOT_ELIGIBLE' GROUP BY reason)
+SELECT * FROM counters""",
+    "gate_read_error": f"""{CSV}, stop AS (
+  SELECT min(id) AS first_bad, count(*) AS bad FROM verdicts WHERE read_error IS NOT NULL)
+SELECT 'UnreadableInput' AS failure, max(bad) AS unreadable, CAST(0 AS BIGINT) AS violations,
+  count(*) FILTER (WHERE reason IS NULL AND id < first_bad) AS written
+FROM verdicts, stop""",
+    "gate_contract": f"""{TX}, stop AS (
+  SELECT min(id) AS first_bad, count(*) AS bad FROM accepted WHERE id % 1000 = 77)
+SELECT CASE WHEN max(bad) > 0 THEN 'ContractBroken' ELSE 'NoneType' END AS failure, CAST(0 AS BIGINT) AS unreadable,
+  max(bad) AS violations, count(*) FILTER (WHERE first_bad IS NULL OR id < first_bad) AS written
+FROM accepted, stop""",
+    "gate_primary_key": f"""{TX}, good AS (SELECT id, id % 4000 AS pk FROM ruled WHERE rule IS NULL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY pk ORDER BY id) AS n, count(*) OVER (PARTITION BY pk) AS c FROM good),
+stop AS (SELECT min(id) FILTER (WHERE n > 1) AS first_bad, count(DISTINCT pk) FILTER (WHERE c > 1) AS bad FROM ranked)
+SELECT CASE WHEN max(bad) > 0 THEN 'ContractBroken' ELSE 'NoneType' END AS failure, CAST(0 AS BIGINT) AS unreadable,
+  max(bad) AS violations, count(*) FILTER (WHERE first_bad IS NULL OR id < first_bad) AS written
+FROM ranked, stop""",
+    "acct_incomplete_rejects": f"""{ACCT_GAPS} SELECT ord, {OUTCOME} AS outcome, reason,
+  CASE WHEN reason = 'INCOMPLETE' THEN 'missing: ' || concat_ws(', ', CASE WHEN edad IS NULL THEN 'edad' END,
+    CASE WHEN trim(nombre) = '' THEN 'nombre' END, CASE WHEN tipo IS NULL THEN 'tipo' END)
+  ELSE {ACCT_DETAIL} END AS detail
+FROM verdicts WHERE reason IS NOT NULL""",
+    "mov_incomplete_rejects": f"""{MOV_GAPS} SELECT ord, {OUTCOME} AS outcome, reason,
+  CASE WHEN reason = 'INCOMPLETE' THEN 'missing: ' || concat_ws(', ', CASE WHEN cuenta_id IS NULL THEN 'cuenta_id' END,
+    CASE WHEN fecha IS NULL THEN 'fecha' END, CASE WHEN transaccion IS NULL THEN 'transaccion' END)
+  ELSE {MOV_DETAIL} END AS detail
+FROM verdicts WHERE reason IS NOT NULL""",
 }

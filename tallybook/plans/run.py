@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +11,11 @@ from pyspark.sql import types as T
 
 from tallybook.operators import rules as R
 from tallybook.operators.contracts import repeated_primary_keys
-from tallybook.operators.gates import MAX_REJECTS, GateFailure, before, check_counts, prefix_end
+from tallybook.operators.gates import MAX_REJECTS, before, check_counts, prefix_end
 from tallybook.operators.numbering import number_rows
 from tallybook.operators.sinks import Sink, reset, settle
 from tallybook.plans.job import Job, reject_log, table_rows
+from tallybook.session import release, run_folder
 
 COMPLETED = "COMPLETED"
 FAILED = "FAILED"
@@ -33,29 +34,39 @@ STATUS_SCHEMA = T.StructType(
     ]
 )
 
+LOG_SCHEMA = "job string, outcome string, reason string, detail string, record string"
+
 
 @dataclass(frozen=True)
 class JobResult:
     """What a run did.
 
     ``verdicts`` holds every record with its outcome, ``table`` and ``rejects`` what was published. After a
-    failure ``reports`` is empty; under atomic commit there is no table then, and ``rejects`` is unpublished.
+    failure ``reports`` is empty; under atomic commit there is no table then, and ``rejects`` is the log kept of
+    the failed run. A job that broke off with an error has neither counts nor verdicts.
     """
 
     job: str
     status: str
-    counts: Mapping[str, int]
-    verdicts: DataFrame
+    counts: Mapping[str, int] = field(default_factory=dict)
+    verdicts: DataFrame | None = None
     table: DataFrame | None = None
     rejects: DataFrame | None = None
     reports: Mapping[str, DataFrame] = field(default_factory=dict)
-    failure: GateFailure | None = None
+    failure: Exception | None = None
+    folder: str | None = None
 
     def require_success(self) -> JobResult:
         if self.failure is not None:
             raise self.failure
         return self
 
+    def release(self, spark: SparkSession) -> JobResult:
+        """Delete the intermediate data of the run, ``verdicts`` included."""
+        if self.folder is not None:
+            release(spark, self.folder)
+        return replace(self, verdicts=None, folder=None)
+
 
 def run_job(
     spark: SparkSession,
@@ -68,72 +79,89 @@ def run_job(
     """Publish the accepted rows and the skip log, unless a gate fails.
 
     The verdicts are written once to the shared folder, split by outcome; the counters, the gates and both
-    tables read them back. ``commit='atomic'`` publishes nothing on failure, ``'prefix'`` what came before the
-    record that failed the run. ``max_rejects=None`` lifts the reject limit.
+    tables read them back. ``commit='atomic'`` publishes nothing on failure and keeps the skip log apart,
+    ``'prefix'`` publishes what came before the record that failed the run. ``max_rejects=None`` lifts the reject
+    limit. ``counts['written']`` is counted from the published table.
     """
     if commit not in COMMITS:
         raise ValueError(f"commit must be one of {COMMITS}")
+    with run_folder(spark) as folder:
+        return replace(_run(spark, job, records, sink, max_rejects, commit), folder=folder)
+
+
+def _run(
+    spark: SparkSession, job: Job, records: DataFrame, sink: Sink, max_rejects: int | None, commit: str
+) -> JobResult:
     verdicts = settle(job.verdicts(records, measure=True), "verdicts", "outcome")
     counts = count_outcomes(verdicts, job.table.primary_key)
     failure = check_counts(counts, max_rejects)
     if failure is not None and commit == "atomic":
-        return JobResult(job.name, FAILED, counts, verdicts, rejects=reject_log(job.name, verdicts), failure=failure)
+        log = sink.keep_failed(reject_log(job.name, verdicts), job.table.name + REJECTS_SUFFIX)
+        return JobResult(job.name, FAILED, counts, verdicts, rejects=log, failure=failure)
 
     published = verdicts
     if failure is not None:
         published = before(verdicts, prefix_end(verdicts, job.table.primary_key, max_rejects))
     table, rejects = _publish(spark, job, published, sink)
+    counts = {**counts, "written": table.count()}
     if failure is not None:
-        return JobResult(
-            job.name, FAILED, {**counts, "written": table.count()}, verdicts, table, rejects, failure=failure
-        )
+        return JobResult(job.name, FAILED, counts, verdicts, table, rejects, failure=failure)
     reports = {name: report(table) for name, report in job.reports.items()}
-    return JobResult(job.name, COMPLETED, {**counts, "written": counts["accepted"]}, verdicts, table, rejects, reports)
+    return JobResult(job.name, COMPLETED, counts, verdicts, table, rejects, reports)
+
+
+Records = DataFrame | Callable[[], DataFrame]
 
 
 def run_all(
     spark: SparkSession,
-    runs: Sequence[tuple[Job, DataFrame]],
+    runs: Sequence[tuple[Job, Records]],
     sink: Sink,
     max_rejects: int | None | Mapping[str, int | None] = MAX_REJECTS,
     commit: str = "atomic",
-) -> tuple[DataFrame, dict[str, JobResult]]:
-    """Empty all tables, then run the jobs one after the other; a failed one does not stop the next.
+) -> tuple[DataFrame, list[JobResult]]:
+    """Run the jobs one after the other; one that fails, or whose input cannot be read, does not stop the next.
 
-    Returns one status row per job, and the results by job name.
+    Each run takes its records, or a function that opens them when their turn comes. A run that publishes nothing
+    leaves empty tables, as every run starts from empty ones. Returns one status row per run, and the results in order;
+    intermediate data is released, so these have no verdicts.
     """
-    for job, _ in runs:
-        reset(spark, sink, job.table.name, job.table.schema)
-    results = {}
+    results = []
     for job, records in runs:
         limit = max_rejects.get(job.name, MAX_REJECTS) if isinstance(max_rejects, Mapping) else max_rejects
-        results[job.name] = run_job(spark, job, records, sink, limit, commit)
+        with run_folder(spark) as folder:
+            try:
+                opened = records if isinstance(records, DataFrame) else records()
+                result = run_job(spark, job, opened, sink, limit, commit)
+            except Exception as error:  # the next jobs run whatever happened in this one
+                result = JobResult(job.name, FAILED, failure=error)
+        release(spark, folder)
+        if result.table is None:
+            reset(spark, sink, _schemas(job))
+        results.append(replace(result, verdicts=None, folder=None))
     rows = [
         (
             result.job,
             result.status,
-            result.counts["read"],
-            result.counts.get("written", 0),
-            result.counts["filtered"],
-            result.counts["skipped"],
+            *[result.counts.get(name, 0) for name in ("read", "written", "filtered", "skipped")],
             None if result.failure is None else type(result.failure).__name__,
         )
-        for result in results.values()
+        for result in results
     ]
     return spark.createDataFrame(rows, STATUS_SCHEMA), results
 
 
+def _schemas(job: Job) -> dict[str, T.StructType]:
+    return {job.table.name: job.table.schema, job.table.name + REJECTS_SUFFIX: T.StructType.fromDDL(LOG_SCHEMA)}
+
+
 def _publish(spark: SparkSession, job: Job, verdicts: DataFrame, sink: Sink) -> tuple[DataFrame, DataFrame]:
     rows = table_rows(job, verdicts)
     if job.table.generated:
         rows = number_rows(rows, "ord", job.table.generated)
-    sink.write(rows.select(*job.table.schema.fieldNames()), job.table.name)
-    log = reject_log(job.name, verdicts)
-    sink.write(log, job.table.name + REJECTS_SUFFIX)
-    return (
-        sink.read(spark, job.table.name, job.table.schema),
-        sink.read(spark, job.table.name + REJECTS_SUFFIX, log.schema),
-    )
+    log, name = reject_log(job.name, verdicts), job.table.name + REJECTS_SUFFIX
+    sink.publish(spark, {job.table.name: rows.select(*job.table.schema.fieldNames()), name: log})
+    return sink.read(spark, job.table.name, job.table.schema), sink.read(spark, name, log.schema)
 
 
 def count_outcomes(verdicts: DataFrame, primary_key: Sequence[str] = ()) -> dict[str, int]:

@@ -25,7 +25,7 @@ from tallybook.operators.sinks import FolderSink, settle
 from tallybook.plans import reports
 from tallybook.plans.job import Job, table_rows
 from tallybook.plans.jobs import RATES, annual_statements, daily_transactions, monthly_interest
-from tallybook.plans.run import COMPLETED, FAILED, count_outcomes, run_all
+from tallybook.plans.run import COMPLETED, FAILED, count_outcomes, run_all, run_job
 from tallybook.session import shared_folder
 from tallybook.sources import adapters
 from tallybook.sources.records import parse_records
@@ -352,14 +352,126 @@ def tx_commit_prefix(spark: SparkSession, folder: str) -> DataFrame:
     return table_rows(job, before(verdicts, end)).drop("ord")
 
 
-@query
-def run_all_(spark: SparkSession, folder: str) -> DataFrame:
-    """The three jobs in a row, written to tables; the first one fails at the default limit."""
-    runs = [
+def _three_runs(spark: SparkSession, folder: str) -> list:
+    return [
         (daily_transactions(), adapters.transactions(spark, folder)),
         (monthly_interest(), adapters.accounts(spark, folder)),
         (annual_statements(), adapters.movements(spark, folder)),
     ]
-    limits = {"monthly_interest": None, "annual_statements": None}
-    status, _ = run_all(spark, runs, FolderSink(shared_folder(spark, "tables")), limits)
+
+
+LIMITS = {"monthly_interest": None, "annual_statements": None}
+
+
+@query
+def run_all_(spark: SparkSession, folder: str) -> DataFrame:
+    """The three jobs in a row, written to tables; the first one fails at the default limit."""
+    return run_all(spark, _three_runs(spark, folder), _sink(spark), LIMITS)[0]
+
+
+@query
+def run_all_with_missing_input(spark: SparkSession, folder: str) -> DataFrame:
+    """The second input does not exist: that job fails, the others run."""
+    runs = _three_runs(spark, folder)
+    runs[1] = (monthly_interest(), lambda: adapters.accounts(spark, folder + "/nowhere"))
+    status, _ = run_all(spark, runs, _sink(spark), dict.fromkeys([job.name for job, _ in runs]))
     return status
+
+
+# Published tables, as readers find them
+
+
+def _sink(spark: SparkSession) -> FolderSink:
+    return FolderSink(shared_folder(spark, "tables"))
+
+
+def _published(spark: SparkSession, job: Job, records: DataFrame, **options):
+    """Run twice over an earlier version, so that what is read back went through a switch."""
+    sink = _sink(spark)
+    run_job(spark, job, records.limit(1), sink, None).release(spark)
+    return run_job(spark, job, records, sink, **{"max_rejects": None, **options}).release(spark)
+
+
+@query
+def tx_published(spark: SparkSession, folder: str) -> DataFrame:
+    return _published(spark, daily_transactions(), adapters.transactions(spark, folder)).table
+
+
+@query
+def tx_published_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """The skip log beside the table, with the record as it was read."""
+    log = _published(spark, daily_transactions(), adapters.transactions(spark, folder)).rejects
+    fields = [F.get_json_object("record", f"$.{name}").alias(name) for name in ("id", "fecha", "monto", "tipo")]
+    log = log.select("job", "ord", "outcome", "reason", "detail", *fields)
+    return log.withColumn("monto", F.col("monto").cast("decimal(15,2)"))
+
+
+@query
+def tx_failed_run_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """The skip log that a run keeps which failed at the default limit."""
+    result = _published(spark, daily_transactions(), adapters.transactions(spark, folder), max_rejects=MAX_REJECTS)
+    return result.rejects.select("job", "ord", "outcome", "reason", "detail")
+
+
+@query
+def acct_published(spark: SparkSession, folder: str) -> DataFrame:
+    return _published(spark, monthly_interest(), adapters.accounts(spark, folder)).table
+
+
+@query
+def mov_published(spark: SparkSession, folder: str) -> DataFrame:
+    return _published(spark, annual_statements(), adapters.movements(spark, folder)).table
+
+
+@query
+def mov_published_accounts(spark: SparkSession, folder: str) -> DataFrame:
+    return _published(spark, annual_statements(), adapters.movements(spark, folder)).reports["accounts"]
+
+
+@query
+def acct_published_counters(spark: SparkSession, folder: str) -> DataFrame:
+    """Counters of a run over records some of which are incomplete; ``written`` counts the published rows."""
+    counts = _published(spark, monthly_interest(), adapters.incomplete_accounts(spark, folder)).counts
+    return spark.createDataFrame(sorted(counts.items()), "counter string, records bigint")
+
+
+# Gates
+
+
+def _gate(spark: SparkSession, job: Job, records: DataFrame) -> DataFrame:
+    """How a run without a reject limit ends, and what a prefix commit publishes."""
+    result = run_job(spark, job, records, _sink(spark), None, "prefix")
+    rows = [(type(result.failure).__name__, result.counts["unreadable"], result.counts["violations"], result.counts["written"])]
+    result.release(spark)
+    return spark.createDataFrame(rows, "failure string, unreadable bigint, violations bigint, written bigint")
+
+
+@query
+def gate_read_error(spark: SparkSession, folder: str) -> DataFrame:
+    job = replace(daily_transactions(), table=replace(daily_transactions().table, primary_key=()))
+    return _gate(spark, job, job.read(spark, adapters.transaction_files(spark, folder)))
+
+
+@query
+def gate_contract(spark: SparkSession, folder: str) -> DataFrame:
+    """Amounts too large for the table."""
+    records = adapters.transactions(spark, folder)
+    large = F.when(F.col("id") % 1000 == 77, F.col("monto").cast("decimal(32,2)") + 10**14)
+    return _gate(spark, daily_transactions(), records.withColumn("monto", F.coalesce(large, "monto")))
+
+
+@query
+def gate_primary_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids that repeat after 4000 records."""
+    records = adapters.transactions(spark, folder).withColumn("id", F.col("id") % 4000)
+    return _gate(spark, replace(daily_transactions(), key=()), records)
+
+
+@query
+def acct_incomplete_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    return _rejects(monthly_interest(), adapters.incomplete_accounts(spark, folder))
+
+
+@query
+def mov_incomplete_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    return _rejects(annual_statements(), adapters.incomplete_movements(spark, folder))

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
 SCRATCH = "tallybook.scratch.dir"
 
+_RUN: ContextVar[str | None] = ContextVar("run folder", default=None)
+
 SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
@@ -34,7 +39,24 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     The folder is the one of ``spark.checkpoint.dir``; where that is unset, as in tests, the session setting
     ``tallybook.scratch.dir``. There is no default: a folder of one machine would lose data on a cluster.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH, None)
+    base = _RUN.get() or spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH, None)
     if not base:
         raise ValueError(f"set spark.checkpoint.dir or {SCRATCH} to a folder that all executors share")
     return f"{base.rstrip('/')}/tallybook-{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A shared folder for all intermediate data of a run, to be released as a whole."""
+    path = shared_folder(spark, "run")
+    token = _RUN.set(path)
+    try:
+        yield path
+    finally:
+        _RUN.reset(token)
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate data."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

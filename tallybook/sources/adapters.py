@@ -244,3 +244,17 @@ def movements(spark: SparkSession, folder: str) -> DataFrame:
 
 def _segment_kind() -> Column:
     return F.coalesce(from_mapping(F.col("c_mktsegment"), SEGMENT_KINDS, "string"), F.lit("prestamo"))
+
+
+def incomplete_accounts(spark: SparkSession, folder: str) -> DataFrame:
+    """The accounts, some without name, age or type."""
+    key = F.col("ord") % 20
+    gaps = {"nombre": F.when(key == 3, " ").otherwise(F.col("nombre")), "edad": F.when(~key.isin(3, 5), F.col("edad"))}
+    return accounts(spark, folder).withColumns({**gaps, "tipo": F.when(key != 7, F.col("tipo"))})
+
+
+def incomplete_movements(spark: SparkSession, folder: str) -> DataFrame:
+    """The movements, some without account, date or kind."""
+    key = F.col("ord") % 20
+    gaps = {"cuenta_id": F.when(~key.isin(1, 2), F.col("cuenta_id")), "fecha": F.when(key != 2, F.col("fecha"))}
+    return movements(spark, folder).withColumns({**gaps, "transaccion": F.when(key != 5, F.col("transaccion"))})

@@ -1,12 +1,15 @@
 from __future__ import annotations
 
-import tempfile
+import json
+from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallybook import annual_statements, daily_transactions, monthly_interest, run_all, run_job
 from tallybook.operators.gates import ContractBroken, RejectLimitExceeded, UnreadableInput
 from tallybook.operators.sinks import CatalogSink, FolderSink
+from tallybook.plans.jobs import TRANSACTIONS_TABLE
 
 GOOD = "{},2024-01-01,{},debito"
 BAD = "{},2024-01-01,1,otro"
@@ -22,10 +25,11 @@ def run(spark, csv, sink, lines, job=None, **options):
     return run_job(spark, job, job.read(spark, csv(lines)), sink, **options)
 
 
-def published(sink, name="transacciones_diarias"):
-    from pathlib import Path
-
-    return Path(sink.root, name).exists()
+def published(spark, sink, name="transacciones_diarias"):
+    try:
+        return sink.read(spark, name, TRANSACTIONS_TABLE.schema)
+    except LookupError:
+        return None
 
 
 def test_fifty_skips_pass(spark, csv, sink):
@@ -44,8 +48,8 @@ def test_the_next_skip_fails_and_nothing_is_written(spark, csv, sink):
     lines = [GOOD.format(1000, 5), *[BAD.format(i) for i in range(51)], GOOD.format(2000, 6)]
     result = run(spark, csv, sink, lines)
     assert result.status == "FAILED" and result.table is None and result.reports == {}
-    assert not published(sink)
-    assert result.rejects.count() == 51
+    assert published(spark, sink) is None
+    assert result.rejects.count() == 51 and "_failed" in result.rejects.inputFiles()[0]
     with pytest.raises(RejectLimitExceeded):
         result.require_success()
 
@@ -84,7 +88,7 @@ def test_filtered_records_do_not_count(spark, csv, sink):
 def test_failures_that_no_limit_lifts(spark, csv, sink, line, failure):
     lines = [GOOD.format(1, 5), GOOD.format(2, 6), line, GOOD.format(3, 7)]
     result = run(spark, csv, sink, lines, max_rejects=None)
-    assert isinstance(result.failure, failure) and not published(sink)
+    assert isinstance(result.failure, failure) and published(spark, sink) is None
     kept = run(spark, csv, sink, lines, max_rejects=None, commit="prefix")
     assert sorted(row.id for row in kept.table.collect()) == [1, 2]
 
@@ -112,7 +116,11 @@ def test_a_second_run_replaces_the_first(spark, csv, sink):
 
 
 def test_tables_of_the_catalog(spark, csv):
+    run(spark, csv, CatalogSink(), [GOOD.format(7, 5)])
     result = run(spark, csv, CatalogSink(), [GOOD.format(1, 5), BAD.format(2)])
+    CatalogSink().expire(spark, "transacciones_diarias")
+    versions = [table.name for table in spark.catalog.listTables() if table.name.startswith("transacciones_diarias__")]
+    assert len(versions) == 1 and [row.id for row in result.table.collect()] == [1]
     assert [row.id for row in spark.table("transacciones_diarias").collect()] == [1]
     assert result.reports["report"].count() == 1
     assert spark.table("transacciones_diarias_rechazos").first().reason == "BAD_TYPE"
@@ -132,8 +140,64 @@ def test_a_failed_job_does_not_stop_the_next(spark, csv, sink):
         ("monthly_interest", "COMPLETED", 2, 1, 1, 0, None),
         ("annual_statements", "COMPLETED", 2, 1, 0, 1, None),
     ]
-    assert spark.read.parquet(f"{sink.root}/transacciones_diarias").count() == 0
-    assert results["monthly_interest"].reports["report"].count() == 1
+    assert published(spark, sink).count() == 0
+    assert results[1].reports["report"].count() == 1
+    assert [result.job for result in results] == ["daily_transactions", "monthly_interest", "annual_statements"]
+
+
+def broken(df):
+    """The rows with a column that fails when it is evaluated."""
+    return df.withColumn("detail", F.when(F.col("reason").isNotNull(), F.raise_error(F.lit("no space"))))
+
+
+def test_a_failed_write_leaves_the_old_table_and_its_log(spark, csv, sink, monkeypatch):
+    from tallybook.plans import run as plans_run
+
+    run(spark, csv, sink, [GOOD.format(1, 5), BAD.format(2)])
+    real = plans_run.reject_log
+    monkeypatch.setattr(plans_run, "reject_log", lambda name, verdicts: broken(real(name, verdicts)))
+    with pytest.raises(Exception, match="no space"):
+        run(spark, csv, sink, [GOOD.format(3, 5), BAD.format(4)])
+    assert [row.id for row in published(spark, sink).collect()] == [1]
+    log = sink.read(spark, "transacciones_diarias_rechazos", "record string")
+    assert [json.loads(row.record)["id"] for row in log.collect()] == [2]
+
+
+def test_an_error_in_one_run_does_not_stop_the_next(spark, csv, sink, tmp_path):
+    job = daily_transactions()
+    good = csv([GOOD.format(1, 5)], "g.csv")
+    failing = replace(job, values={**job.values, "observacion": F.raise_error(F.lit("no")).cast("string")})
+    runs = [
+        (job, lambda: job.read(spark, str(tmp_path / "nowhere.csv"))),
+        (failing, lambda: failing.read(spark, good)),
+        (job, lambda: job.read(spark, good)),
+    ]
+    status, results = run_all(spark, runs, sink)
+    assert [row.status for row in status.collect()] == ["FAILED", "FAILED", "COMPLETED"]
+    assert [row.failure for row in status.collect()][0] == "AnalysisException" and len(results) == 3
+    assert [row.id for row in published(spark, sink).collect()] == [1]
+
+
+def test_runs_release_their_intermediate_data(spark, csv, sink):
+    from pathlib import Path
+
+    base = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(base.glob("tallybook-*"))
+    job = daily_transactions()
+    path = csv([GOOD.format(1, 5), BAD.format(2)])
+    run_all(spark, [(job, lambda: job.read(spark, path))], sink)
+    records = job.read(spark, path, stage=False)
+    run_job(spark, job, records, sink).release(spark)
+    assert set(base.glob("tallybook-*")) == before
+
+
+def test_old_versions_go_after_the_switch(spark, csv, sink):
+    from pathlib import Path
+
+    for at in range(3):
+        result = run(spark, csv, sink, [GOOD.format(at, 5)])
+    assert len(list(Path(sink.root, "transacciones_diarias").iterdir())) == 1
+    assert [row.id for row in result.table.collect()] == [2]
 
 
 def test_commit_is_checked(spark, csv, sink):
@@ -141,14 +205,12 @@ def test_commit_is_checked(spark, csv, sink):
         run(spark, csv, sink, [GOOD.format(1, 5)], commit="some")
 
 
-def test_shared_folder_needs_a_setting_on_a_cluster(spark):
+def test_shared_folder_needs_a_setting(spark):
     from tallybook.session import shared_folder
 
-    class Cluster:
+    class Bare:
         conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
-        sparkContext = type("Context", (), {"master": "yarn"})
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(Cluster, "x")
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    assert shared_folder(spark, "x").startswith(base)
+        shared_folder(Bare, "x")
+    assert shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
