@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from tallybook.operators.numbering import number_rows
 from tallybook.operators.repeats import mark_repeats
 from tallybook.operators.rules import ACCEPTED, READ_ERROR, SKIPPED
 
@@ -44,17 +45,18 @@ def prefix_end(verdicts: DataFrame, primary_key: Sequence[str], max_rejects: int
     """The position of the record that fails the run, null when none does.
 
     That is the least of: the first unreadable record, the first skip beyond the limit, the first accepted
-    record that breaks the contract or repeats a primary key. At most ``max_rejects + 1`` rows reach the driver.
+    record that breaks the contract or repeats a primary key. One position of each kind reaches the driver.
     """
     ends = []
     stops = (F.col("outcome") == READ_ERROR) | F.col("violation").isNotNull()
-    ends += _first(verdicts.where(stops), 1)
+    ends += _first(verdicts.where(stops))
     if max_rejects is not None:
-        ends += _first(verdicts.where(F.col("outcome") == SKIPPED), max_rejects + 1)[max_rejects:]
+        skips = number_rows(verdicts.where(F.col("outcome") == SKIPPED).select("ord"), "ord", "place")
+        ends += _first(skips.where(F.col("place") == max_rejects + 1))
     if primary_key:
         accepted = verdicts.where(F.col("outcome") == ACCEPTED).select("ord", "reason", *primary_key)
         repeats = mark_repeats(accepted, primary_key, "ord", measure=True).where(F.col("first_ord").isNotNull())
-        ends += _first(repeats, 1)
+        ends += _first(repeats)
     return min(ends, default=None)
 
 
@@ -65,8 +67,8 @@ def before(df: DataFrame, end: object | None) -> DataFrame:
     return df.where(F.col("ord") < _literal(end))
 
 
-def _first(df: DataFrame, n: int) -> list:
-    return [row.ord for row in df.select("ord").orderBy("ord").limit(n).collect()]
+def _first(df: DataFrame) -> list:
+    return [row.ord for row in df.select("ord").orderBy("ord").limit(1).collect()]
 
 
 def _literal(position: object):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The column names and orders of the three reports below are those that results must carry.
 WIDE_MONEY = "decimal(38,2)"
 
 

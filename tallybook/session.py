@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -45,6 +46,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/tallybook-{purpose}-{uuid.uuid4().hex}"
 
 
+def use_local_scratch(spark: SparkSession) -> None:
+    """Name a fresh temporary folder for a local session that names none, as tests do; a cluster must set its own."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH, None)
+    master = spark.sparkContext.master
+    if not named and (master == "local" or master.startswith("local[")):
+        spark.conf.set(SCRATCH, tempfile.mkdtemp(prefix="tallybook-"))
+
+
 @contextmanager
 def run_folder(spark: SparkSession) -> Iterator[str]:
     """A shared folder for all intermediate data of a run, to be released as a whole."""
