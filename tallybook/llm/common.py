@@ -63,8 +63,9 @@ def without_rows(documents: DataFrame, dropped: DataFrame) -> DataFrame:
 
     Rows without doc_id are never dropped: nothing names them.
     """
-    keys = dropped.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    keys = keys.where("_id is not null").distinct()
+    keys = dropped.select(F.col("doc_id").alias("_dropped_id"), F.col("text_key").alias("_dropped_key"))
+    keys = keys.where("_dropped_id is not null").distinct()
     if keys.count() <= BROADCAST_KEYS:
         keys = F.broadcast(keys)
-    return documents.join(keys, (documents["doc_id"] == F.col("_id")) & (text_key() == F.col("_key")), "left_anti")
+    same = (documents["doc_id"] == F.col("_dropped_id")) & (text_key() == F.col("_dropped_key"))
+    return documents.join(keys, same, "left_anti")

@@ -60,7 +60,7 @@ def _prepared(documents: DataFrame, digest: Digest) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     points = F.char_length(text).alias("points")
     rows = rows.select("doc_id", normalised(text).alias("norm"), points, text_key().alias("text_key"))
-    salt = F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.rand(1))), F.lit(SALTS)).cast("int")
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
     return rows.select(
         "doc_id", "norm", "points", "text_key", digest(F.col("norm")).alias("digest"), salt.alias("salt")
     )
