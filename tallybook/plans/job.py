@@ -14,7 +14,7 @@ from tallybook.operators.repeats import keep_first, mark_repeats
 from tallybook.operators.rules import Rule
 from tallybook.operators.sinks import settle
 from tallybook.sources.delimited import ORDER, scan_delimited
-from tallybook.sources.records import RAW, READ_ERROR, Field, parse_records
+from tallybook.sources.records import RAW, READ_ERROR, SCALE, Field, parse_records
 
 
 @dataclass(frozen=True)
@@ -43,6 +43,10 @@ class Job:
         records = parse_records(scan_delimited(spark, path, [item.name for item in self.fields]), self.fields)
         return settle(records, "records") if stage else records
 
+    def repeat_key(self, rows: DataFrame) -> list[str]:
+        """The columns that make a repeat; scales of amounts only where the records have them."""
+        return [name for name in self.key if name in rows.columns or not name.endswith(SCALE)]
+
     def classified(self, records: DataFrame) -> DataFrame:
         """Records with ``reason``, before repeats are looked for; no shuffle."""
         unreadable = F.col(READ_ERROR).isNotNull()
@@ -70,7 +74,7 @@ class Job:
         """
         rows = self.classified(records)
         if self.key:
-            rows = mark_repeats(rows, self.key, ORDER, measure)
+            rows = mark_repeats(rows, self.repeat_key(rows), ORDER, measure)
         else:
             rows = rows.withColumn("first_ord", F.lit(None).cast("string"))
         repeats = F.col("first_ord").isNotNull()
@@ -99,7 +103,7 @@ class Job:
         """The table rows alone, for callers that want no rejects: filters first, one pruned shuffle."""
         rows = self.valid(records)
         if self.key:
-            rows = keep_first(rows, self.key, ORDER)
+            rows = keep_first(rows, self.repeat_key(rows), ORDER)
         return rows.select(
             ORDER, *[column.stored(self.values[column.name]).alias(column.name) for column in self.table.given]
         )
@@ -118,8 +122,9 @@ class Job:
         rows = rows.withColumn("outcome", outcome)
         if not self.key:
             return rows.groupBy("outcome", "reason").agg(F.count(F.lit(1)).alias("records"))
-        key = [F.when(F.col("reason").isNull(), F.col(name)).alias(name) for name in self.key]
-        groups = rows.select("outcome", "reason", *key).groupBy("outcome", "reason", *self.key)
+        names = self.repeat_key(rows)
+        key = [F.when(F.col("reason").isNull(), F.col(name)).alias(name) for name in names]
+        groups = rows.select("outcome", "reason", *key).groupBy("outcome", "reason", *names)
         groups = groups.agg(F.count(F.lit(1)).alias("copies"))
         totals = groups.groupBy("outcome", "reason").agg(
             F.sum("copies").alias("records"), F.count(F.lit(1)).alias("keys")

@@ -18,7 +18,7 @@ from tallybook.operators.lookup import add_from_table, from_mapping
 from tallybook.operators.rules import FILTERED, Rule, missing
 from tallybook.plans import reports
 from tallybook.plans.job import Job
-from tallybook.sources.records import Field
+from tallybook.sources.records import SCALE, Field
 
 # Type names, limits, rates and texts that results must carry exactly.
 TRANSACTION_TYPES = ("debito", "credito")
@@ -75,7 +75,7 @@ STATEMENTS_TABLE = TableContract(
     generated="id",
 )
 
-# 'literal' keys tell 700 from 700.00 in text; in a typed table all amounts have one scale, and both are the same.
+# 'literal' keys tell 700 from 700.00 in text; records of a typed table have no scales.
 AMOUNT_KEYS = ("literal", "numeric")
 
 
@@ -201,4 +201,4 @@ def annual_statements() -> Job:
 def _amount_key(name: str, amount_key: str) -> tuple[str, ...]:
     if amount_key not in AMOUNT_KEYS:
         raise ValueError(f"amount_key must be one of {AMOUNT_KEYS}")
-    return (name, f"{name}_scale") if amount_key == "literal" else (name,)
+    return (name, name + SCALE) if amount_key == "literal" else (name,)

@@ -70,7 +70,7 @@ def tx_summary(spark: SparkSession, folder: str) -> DataFrame:
 def tx_dedup_first(spark: SparkSession, folder: str) -> DataFrame:
     """First record per key alone, all others dropped."""
     job, records = daily_transactions(), adapters.transactions(spark, folder)
-    firsts = keep_first(job.valid(records), job.key, "ord")
+    firsts = keep_first(job.valid(records), job.repeat_key(records), "ord")
     return firsts.select("id", "fecha", "monto", F.col("kind").alias("tipo"))
 
 
@@ -78,7 +78,7 @@ def tx_dedup_first(spark: SparkSession, folder: str) -> DataFrame:
 def tx_dedup_skew_safe(spark: SparkSession, folder: str) -> DataFrame:
     """The same rows by aggregate and join, which also finds the repeats."""
     job, records = daily_transactions(), adapters.transactions(spark, folder)
-    marked = mark_repeats(job.classified(records), job.key, "ord")
+    marked = mark_repeats(job.classified(records), job.repeat_key(records), "ord")
     firsts = marked.where(F.col("reason").isNull() & F.col("first_ord").isNull())
     return firsts.select("id", "fecha", "monto", F.col("kind").alias("tipo"))
 

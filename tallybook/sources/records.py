@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallybook.functions.parse import amount_scale, parse_text
 from tallybook.functions.text import is_blank, trim_field
@@ -15,6 +14,7 @@ from tallybook.sources.delimited import BROKEN_LINE, ORDER
 
 READ_ERROR = "read_error"
 RAW = "raw"
+SCALE = "_scale"
 
 
 @dataclass(frozen=True)
@@ -39,7 +39,7 @@ def parse_records(lines: DataFrame, fields: Sequence[Field]) -> DataFrame:
     # Parsing one struct per line and unfolding it keeps Spark from repeating the parsers inside every filter
     # on their results.
     values = [field.parse(F.col(field.name)).alias(f"_{field.name}") for field in fields]
-    values += [amount_scale(F.col(field.name)).alias(f"{field.name}_scale") for field in fields if field.amount]
+    values += [amount_scale(F.col(field.name)).alias(field.name + SCALE) for field in fields if field.amount]
     parsed = texts.select("*", F.inline(F.array(F.struct(*values))))
     checks = [F.when(F.col(BROKEN_LINE).isNotNull(), "UNREADABLE_LINE")]
     for field in fields:
@@ -53,7 +53,7 @@ def parse_records(lines: DataFrame, fields: Sequence[Field]) -> DataFrame:
     return judged.select(
         ORDER,
         *[F.col(f"_{name}").alias(name) for name in names],
-        *[f"{field.name}_scale" for field in fields if field.amount],
+        *[field.name + SCALE for field in fields if field.amount],
         READ_ERROR,
         F.when(F.col(READ_ERROR).isNotNull(), bad_record).alias(RAW),
     )
@@ -62,15 +62,12 @@ def parse_records(lines: DataFrame, fields: Sequence[Field]) -> DataFrame:
 def table_records(table: DataFrame, order: str, columns: Mapping[str, Column]) -> DataFrame:
     """Typed columns of a table as job records; ``order`` names a unique column that gives the record order.
 
-    A typed amount is written with the fraction digits of its type, so its scale is the same in every record and keys
-    with the scale are keys of the value.
+    They have no scales of amounts: all values of a typed column are written with the same fraction digits.
     """
     nothing = F.lit(None).cast("string")
-    records = table.select(
+    return table.select(
         F.col(order).alias(ORDER),
         *[column.alias(name) for name, column in columns.items()],
         nothing.alias(READ_ERROR),
         nothing.alias(RAW),
     )
-    decimals = [field for field in records.schema if isinstance(field.dataType, T.DecimalType)]
-    return records.withColumns({f"{field.name}_scale": F.lit(field.dataType.scale) for field in decimals})

@@ -12,7 +12,6 @@ os.environ.setdefault("SPARK_LOCAL_IP", "127.0.0.1")
 
 from tallybook.session import get_session  # noqa: E402
 
-SAMPLE = Path("/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")

@@ -6,8 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SAMPLE
+from tallybook.oracles import ORACLES
+from tallybook.queries import QUERIES
 
+SAMPLE = "/root/testdata/sf0.001"
 TABLES = ("events", "customer", "orders", "lineitem", "part")
 
 
@@ -20,12 +22,13 @@ def sql():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, sql, name):
-    df = entry.queries()[name](spark, str(SAMPLE))
+    df = entry.queries()[name](spark, SAMPLE)
     columns = sorted(df.columns)
     result = sql.execute(entry.oracle_sql()[name])
     names = [column[0] for column in result.description]
