@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.operators.sinks import settle
 
-EDGES = "node long, other long"
+SALTS = 16
 
 
 def forest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -35,37 +35,31 @@ def forest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def connected(edges: DataFrame) -> DataFrame:
     """``(node, label)`` for every node of ``edges`` (node, other); the label is the smallest node it is connected to.
 
-    Alternating star contraction: each round hangs the neighbours of every node under the smallest one, first the
-    greater neighbours, then the smaller ones, until all trees are stars. Rounds grow with the logarithm of the path
-    lengths. Every round is written to the shared folder, so a lost executor costs one round. Degrees may be large:
-    the minimum is combined before its shuffle, and the join back is one that Spark splits at skewed keys.
+    Edges lead from a node to a smaller one. Each round hangs a node, and its other smaller neighbours, under the
+    smallest of them, and then moves every edge on to the smallest neighbour of its end, until all trees are stars.
+    Path lengths about halve with each round. Every round is written to the shared folder, so a lost executor costs
+    one round. A node has few smaller neighbours; a great many nodes may share one, so they look it up by salt.
     """
-    edges = settle(edges.where("node != other").distinct(), "edges")
-    seen = None
+    low, high = F.least("node", "other").alias("other"), F.greatest("node", "other").alias("node")
+    edges = settle(edges.where("node != other").select(high, low).distinct(), "edges")
     while True:
-        size = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("node", "other").cast("decimal(38,0)"))).first()
-        if size == seen:
+        own = Window.partitionBy("node")
+        hung = edges.select("node", "other", F.min("other").over(own).alias("low"), F.count("other").over(own).alias("ways"))
+        under = F.struct("node", F.col("low").alias("other"), (F.col("ways") > 1).alias("moved"))
+        beside = F.struct(F.col("other").alias("node"), F.col("low").alias("other"), F.lit(True).alias("moved"))
+        hung = hung.select(F.inline(F.array(under, beside))).where("node != other")
+        hung = hung.groupBy("node", "other").agg(F.bool_or("moved").alias("moved"))
+
+        ends = hung.groupBy("node").agg(F.min("other").alias("end"))
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+        ends = ends.select(F.col("node").alias("other"), "end", salts)
+        salted = hung.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+        on = salted.join(ends, ["other", "salt"], "left")
+        moved = F.col("moved") | F.col("end").isNotNull()
+        on = on.select("node", F.coalesce("end", "other").alias("other"), moved.alias("moved"))
+        edges = settle(on.groupBy("node", "other").agg(F.bool_or("moved").alias("moved")), "edges")
+        if not edges.agg(F.bool_or("moved")).first()[0]:
             break
-        seen = size
-        edges = settle(_small_star(_large_star(edges)), "edges")
+        edges = edges.drop("moved")
     children = edges.select("node", F.col("other").alias("label"))
     return children.unionByName(children.select(F.col("label").alias("node"), "label").distinct())
-
-
-def _smallest(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("node").agg(F.min("other").alias("low"))
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Neighbours greater than a node move to the smallest of the node and its neighbours."""
-    both = edges.unionByName(edges.select(F.col("other").alias("node"), F.col("node").alias("other")))
-    low = _smallest(both).select("node", F.least("node", "low").alias("low"))
-    moved = both.where(F.col("other") > F.col("node")).join(low, "node")
-    return moved.select(F.col("other").alias("node"), F.col("low").alias("other")).distinct()
-
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Smaller neighbours of a node, and the node, move to the smallest of them. All edges lead to smaller nodes."""
-    moved = edges.join(_smallest(edges), "node")
-    pairs = F.array(F.struct(F.col("other").alias("node"), F.col("low").alias("other")), F.struct("node", F.col("low").alias("other")))
-    return moved.select(F.inline(pairs)).where("node != other").distinct()
