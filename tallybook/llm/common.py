@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,9 @@ LOWER = bytes(byte + 32 if 0x41 <= byte <= 0x5A else byte for byte in range(256)
 
 Batches = Iterator[pa.RecordBatch]
 
+# Text that a task works on at once.
+BATCH_BYTES = 8 << 20
+
 
 def with_columns(df: DataFrame, **defaults: str) -> DataFrame:
     """Only the named columns, cast to the given types; a column that is missing is null."""
@@ -40,6 +45,19 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [value or b"" for value in column.to_pylist()]
 
 
+def slices(batches: Batches, most_bytes: int, name: str = "text") -> Batches:
+    """The batches cut so that none holds much more than ``most_bytes`` in a column, unless one value does."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes.astype(np.int64))
+        first = 0
+        while first < len(ends):
+            before = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + most_bytes, side="right")))
+            yield batch.slice(first, last - first)
+            first = last
+
+
 def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system and the path in it of a folder given as a path or a URI (``file:/x`` included)."""
     if uri.startswith("file:") and not uri.startswith("file://"):

@@ -37,11 +37,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import BLANKS, LOWER, Batches, text_key, texts_of, with_columns, without_rows
+from tallybook.llm.common import BATCH_BYTES, BLANKS, LOWER, Batches, slices, text_key, texts_of, with_columns, without_rows
 from tallybook.llm.components import connected, forest
 from tallybook.operators.sinks import settle
 
 RANGE_BYTES = 4 << 20
+KEYS_BYTES = 12 << 20  # of text whose keys a task combines
 SALTS = 64
 BLOCK_SETS = 2000
 BLOCK_ENTRIES = 4 << 20
@@ -225,7 +226,7 @@ def _candidates(documents: DataFrame, like: Similarity, ranges: int) -> DataFram
     """``FOUND`` rows: of kind doc, one per document, and of kind edge, between nodes that share a part."""
 
     def read(batches: Batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, KEYS_BYTES):
             sets = shingle_sets(texts_of(batch), like.words)
             sizes = np.array([len(grams) for grams in sets], np.int64)
             digests = [digest_of(grams) if len(grams) else None for grams in sets]
@@ -367,18 +368,19 @@ def _link_blocks(like: Similarity):
         sets = [np.frombuffer(grams, U64) for grams in table.column("grams").to_pylist()]
         label = table.column("label")
         known = None if label.null_count else label.to_numpy()
-        reps = table.column("rep").to_numpy()
-        found = block_components(sets, like, known)
-        low = np.full(len(sets), np.iinfo(np.int64).max)
-        np.minimum.at(low, found, reps)
-        return pa.table(
-            {"digest": table.column("digest"), "node": pa.array(reps), "other": pa.array(low[found])},
-            schema=pa.schema([("digest", pa.binary()), ("node", pa.int64()), ("other", pa.int64())]),
-        )
+        return _smallest_reps(table, block_components(sets, like, known))
 
     return run
 
 
+def _smallest_reps(table: pa.Table, found: np.ndarray) -> pa.Table:
+    reps = table.column("rep").to_numpy()
+    low = np.full(len(reps), np.iinfo(np.int64).max)
+    np.minimum.at(low, found, reps)
+    schema = pa.schema([("digest", pa.binary()), ("node", pa.int64()), ("other", pa.int64())])
+    return pa.table([table.column("digest"), pa.array(reps), pa.array(low[found])], schema=schema)
+
+
 LINKED_DDL = "digest binary, node long, other long"
 
 
@@ -416,7 +418,7 @@ def _linked(docs: DataFrame, members: DataFrame, like: Similarity, block_sets: i
     """``(digest, component)`` of the sets in blocks."""
 
     def read(batches: Batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, BATCH_BYTES):
             sets = shingle_sets(texts_of(batch), like.words)
             fits = pa.array([digest_of(s) == d for s, d in zip(sets, batch.column("digest").to_pylist())], pa.bool_())
             grams = pa.array([s.tobytes() for s in sets], pa.binary())
@@ -434,53 +436,74 @@ def _linked(docs: DataFrame, members: DataFrame, like: Similarity, block_sets: i
     sets = texts.mapInArrow(read, "digest binary, rep long, block long, sets long, tasks long, grams binary")
     sets = settle(sets, "sets")
 
-    link = _link_blocks(like)
     whole = sets.where("tasks = 1").select("block", "rep", "digest", "grams", F.lit(None).cast("long").alias("label"))
-    out = settle(whole.groupBy("block").applyInArrow(link, LINKED_DDL), "linked").select("digest", F.col("other").alias("component"))
+    out = settle(whole.groupBy("block").applyInArrow(_link_blocks(like), LINKED_DDL), "linked").select("digest", F.col("other").alias("component"))
     large = sets.where("tasks > 1")
     if not large.isEmpty():
-        out = out.unionByName(_large_blocks(large, link))
+        out = out.unionByName(_large_blocks(large, like))
     none = F.col("component") == -(1 << 63)
     return out.select("digest", F.when(~none, F.col("component")).alias("component")).dropDuplicates(["digest"])
 
 
-def _large_blocks(sets: DataFrame, link) -> DataFrame:
-    """Blocks that one task must not hold: first parts with some sets in common, then what is left between parts."""
+def _large_blocks(sets: DataFrame, like: Similarity) -> DataFrame:
+    """Blocks that one task must not hold: first parts with some sets in common, then what is left between parts.
+
+    The shared sets of a block are the same in each of its parts. Whatever is connected in some part to the largest
+    component that they form by themselves is connected; what is not, a few sets as a rule, is compared with all.
+    """
     deal = F.pmod(F.xxhash64("digest"), F.col("tasks"))
     shared = F.pmod(F.xxhash64("digest", F.lit(1)), F.greatest(F.lit(1), F.floor(F.col("sets") / SHARED_SETS))) == 0
     parts = F.when(shared, F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1)).otherwise(F.array(deal))
-    dealt = sets.withColumn("part", F.explode(parts)).withColumn("label", F.lit(None).cast("long"))
-    first = dealt.groupBy("block", "part").applyInArrow(_regrouped(link), LINKED_DDL)
-    first = settle(first.select("digest", "node", "other"), "linked")
-    labels = _labels(sets, first)
-
-    # of the components of a block, the largest; sets outside it are few as a rule
-    counts = labels.groupBy("block", "label").agg(F.count(F.lit(1)).alias("size"))
-    main = counts.groupBy("block").agg(F.max(F.struct("size", "label")).alias("top"), F.sum("size").alias("all"))
-    main = main.select("block", F.col("top.label").alias("main"), (F.col("all") - F.col("top.size")).alias("strays"))
-    placed = sets.join(labels.select("digest", "label"), "digest").join(main.where("strays > 0"), "block")
+    dealt = sets.withColumn("label", F.when(shared, F.lit(1).cast("long"))).withColumn("part", F.explode(parts))
+    first = dealt.groupBy("block", "part").applyInArrow(_link_parts(like), f"{LINKED_DDL}, stray long")
+    first = settle(first, "linked")
+
+    strays = first.groupBy("digest").agg(F.min("stray").alias("stray"))
+    placed = sets.join(strays, "digest")
+    counts = placed.groupBy("block").agg(F.sum("stray").alias("strays")).where("strays > 0")
+    placed = placed.join(counts, "block").withColumn("part", deal)
     lanes = F.ceil(F.col("strays") * F.col("tasks") / F.col("sets")).cast("long")
-    placed = placed.withColumn("lanes", F.greatest(F.lit(1).cast("long"), lanes)).withColumn("part", deal)
+    placed = placed.withColumn("lanes", F.greatest(F.lit(1).cast("long"), lanes))
+    stray = F.col("stray") == 1
+    # the connected sets share one label, every stray has one of its own
+    placed = placed.withColumn("label", F.when(stray, F.xxhash64("digest")).otherwise(F.lit(0).cast("long")))
+    every_lane = F.sequence(F.lit(0).cast("long"), F.col("lanes") - 1)
+    every_part = F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1)
     lane = F.pmod(F.xxhash64("digest", F.lit(2)), F.col("lanes"))
-    stray = F.col("label") != F.col("main")
-    every_lane = placed.withColumn("lane", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lanes") - 1)))
-    every_part = placed.where(stray).withColumn("lane", lane)
-    every_part = every_part.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1)))
-    pairs = every_lane.unionByName(every_part)
-    second = pairs.groupBy("block", "part", "lane").applyInArrow(_regrouped(link), LINKED_DDL)
+    across = F.transform(every_lane, lambda at: F.struct(F.col("part").alias("part"), at.alias("lane")))
+    along = F.transform(every_part, lambda at: F.struct(at.alias("part"), lane.alias("lane")))
+    places = F.when(stray, F.array_distinct(F.concat(across, along))).otherwise(across)
+    pairs = placed.withColumn("at", F.explode(places)).select("block", "rep", "digest", "grams", "label", "at.part", "at.lane")
+    second = pairs.groupBy("block", "part", "lane").applyInArrow(_regrouped(_link_blocks(like)), LINKED_DDL)
     second = settle(second, "linked")
-    labels = _labels(sets, first.unionByName(second))
-    return labels.select("digest", F.col("label").alias("component"))
+    edges = first.select("node", "other").unionByName(second.select("node", "other"))
+    nodes = sets.select("digest", F.col("rep").alias("node"))
+    labels = nodes.join(connected(edges), "node", "left")
+    return labels.select("digest", F.coalesce("label", "node").alias("component"))
 
 
 def _regrouped(link):
     return lambda table: link(table.select(["block", "rep", "digest", "grams", "label"]))
 
 
-def _labels(sets: DataFrame, edges: DataFrame) -> DataFrame:
-    labels = connected(edges.select("node", "other"))
-    nodes = sets.select("digest", "block", F.col("rep").alias("node"))
-    return nodes.join(labels, "node", "left").select("digest", "block", F.coalesce("label", "node").alias("label"))
+def _link_parts(like: Similarity):
+    """The links of a part, and which sets it does not connect to the largest component of the shared sets."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = dict(zip(table.column("digest").to_pylist(), range(len(table))))
+        table = table.take(list(rows.values())).sort_by("digest")
+        shared = np.flatnonzero(table.column("label").is_valid().to_numpy())
+        sets = [np.frombuffer(grams, U64) for grams in table.column("grams").to_pylist()]
+        found = block_components(sets, like)
+        stray = np.ones(len(sets), np.int64)
+        if len(shared):
+            core = block_components([sets[at] for at in shared], like)
+            largest = np.bincount(core).argmax()
+            stray = (found != found[shared[core == largest][0]]).astype(np.int64)
+        linked = _smallest_reps(table, found)
+        return linked.append_column("stray", pa.array(stray))
+
+    return run
 
 
 def one_of_each(documents: DataFrame, like: Similarity) -> DataFrame:
