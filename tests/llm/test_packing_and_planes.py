@@ -151,3 +151,18 @@ def test_odd_rows_through_files(odd, odd_pairs, none):
     assert [s[0] for s in starts] == [sum(s[1] for s in starts[:n]) for n in range(len(starts))]
     assert [s[2:] for s in starts] == sorted(s[2:] for s in starts)
     assert round_trip(none, PATH).count() == 0
+
+
+@pytest.mark.parametrize("most", [1, 4, 6, 1000])
+def test_slices_hold_all_rows_and_few_bytes(most):
+    import pyarrow as pa
+
+    from tallybook.llm.common import slices
+
+    texts = ["a" * 5, None, "b" * 100, "", "c", "d" * 3, "é"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    parts = list(slices(iter([batch, batch.slice(0, 0)]), most))
+    assert [text for part in parts for text in part.column("text").to_pylist()] == texts
+    for part in parts:
+        sizes = [len((text or "").encode()) for text in part.column("text").to_pylist()]
+        assert sum(sizes) <= most or sum(size > 0 for size in sizes) == 1
