@@ -3,6 +3,11 @@
 The stages drop toxic documents, exact copies, near copies (five-word shingles, a Jaccard similarity of 0.8 or more; the
 smallest doc_id of each group stays) and documents with benchmark passages, and pack what is left. All but the last
 return the columns of ``documents``.
+
+Defined results: null, empty and blank texts are scored like a text without toxic words, are copies of each other (one
+stays, the longest, then that with the smallest id), have no near copies and no passages, and are packed as an end id
+alone. Of wholly equal rows one stays. Rows without doc_id are never dropped as copies, since nothing names them.
+Columns beyond those of ``documents`` pass through. An empty table gives an empty one at every stage.
 """
 
 from __future__ import annotations

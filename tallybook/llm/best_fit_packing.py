@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import Batches, with_columns
+from tallybook.llm.common import BATCH_BYTES, Batches, slices, with_columns
 from tallybook.llm.tokens import encoder
 from tallybook.operators.sinks import settle
 
@@ -44,7 +44,7 @@ def pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_i
     def cut(batches: Batches) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
         end = end_id.to_bytes(4, "little")
-        for batch in batches:
+        for batch in slices(batches, BATCH_BYTES):
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = encode(text or "") + end

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import Batches, texts_of, with_columns
+from tallybook.llm.common import BATCH_BYTES, Batches, slices, texts_of, with_columns
 
 WINDOW = 10
 SHARD_BYTES = 4 << 20
@@ -121,7 +121,7 @@ def scanned(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, shar
 def _scan(shared, size: int):
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(shared.value, size)
-        for batch in batches:
+        for batch in slices(batches, BATCH_BYTES):
             rows = []
             for text, old in zip(texts_of(batch), batch.column("_hits").to_pylist()):
                 n_words, first, last, found = find(text, automaton)

@@ -43,7 +43,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import LOWER, Batches, remainder, texts_of, with_columns
+from tallybook.llm.common import LOWER, Batches, remainder, slices, texts_of, with_columns
 from tallybook.operators.sinks import settle
 
 FREQUENT = 1024
@@ -56,6 +56,7 @@ TRAIN_SHARE = 32
 ROUNDS = 2
 RATE = 0.01
 SLOT_BYTES = 8 << 20
+BATCH_BYTES = 24 << 20  # of text that shares one list of words
 WEIGHT_PARTS = 16
 END = b"\n"  # no word holds a line break
 LOG10 = math.log(10)
@@ -121,7 +122,7 @@ def _tokenise(slots: int):
     """Rows of kind doc (a: word numbers), vocab (a: place of each word by hash, b: its shape by hash) and ask."""
 
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, BATCH_BYTES):
             words, name = Words(), uuid.uuid4().hex
             texts = texts_of(batch)
             held_out = batch.column("held_out").to_pylist()

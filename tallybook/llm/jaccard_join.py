@@ -42,10 +42,10 @@ from tallybook.llm.components import connected, forest
 from tallybook.operators.sinks import settle
 
 RANGE_BYTES = 4 << 20
-KEYS_BYTES = 12 << 20  # of text whose keys a task combines
+KEYS_BYTES = 8 << 20  # of text whose keys a task combines
 SALTS = 64
 BLOCK_SETS = 2000
-BLOCK_ENTRIES = 4 << 20
+BLOCK_ENTRIES = 1 << 20
 SHARED_SETS = 32
 
 U64 = np.uint64
@@ -298,11 +298,11 @@ class Incidence:
     def __init__(self, sets: list[np.ndarray], like: Similarity):
         self.like = like
         self.sizes = np.array([len(grams) for grams in sets], np.int64)
-        values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
         shared = count > 1
-        owner = np.repeat(np.arange(len(sets)), self.sizes)
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), self.sizes)
         kept = shared[column]
-        self.columns = (np.cumsum(shared) - 1)[column[kept]]
+        self.columns = (np.cumsum(shared) - 1)[column[kept]].astype(np.int32)
         self.bounds = np.searchsorted(owner[kept], np.arange(len(sets) + 1))
         self.mark = np.zeros(int(shared.sum()) + 1, bool)
 

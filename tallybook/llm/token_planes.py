@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import Batches, open_folder, with_columns
+from tallybook.llm.common import BATCH_BYTES, Batches, open_folder, slices, with_columns
 from tallybook.llm.tokens import encoder
 from tallybook.operators.sinks import settle
 from tallybook.session import shared_folder
@@ -187,7 +187,7 @@ def write_planes(
     def encode(batches: Batches) -> Iterator[pa.RecordBatch]:
         encoded = encoder(tokenizer)
         end = end_id.to_bytes(4, "little")
-        for batch in batches:
+        for batch in slices(batches, BATCH_BYTES):
             ids = [encoded.encode(text or "") + end for text in batch.column("text").to_pylist()]
             if encoded.vocabulary <= 1 << 16:  # half the bytes to shuffle
                 ids = [np.frombuffer(value, "<u4").astype("<u2").tobytes() for value in ids]

@@ -4,7 +4,7 @@
 vocabulary that drops white space, a text is the sequence of its blank-free chunks, so each distinct chunk is encoded
 once and remembered, full stops and commas apart. Chunks of letters followed by signs, nearly all of them, go to the
 merge model as one or two parts; anything else goes through the tokenizer itself. The memory is emptied when it
-reaches ``REMEMBERED`` entries, about 200 MB.
+reaches ``REMEMBERED`` entries, about 150 MB.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from functools import lru_cache
 
 from tokenizers import Tokenizer
 
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 
 # The parts a tokenizer file must have for its texts to be encoded chunk by chunk.
 NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]

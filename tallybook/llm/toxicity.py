@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import LOWER, Batches, remainder, texts_of, with_columns
+from tallybook.llm.common import BATCH_BYTES, LOWER, Batches, remainder, slices, texts_of, with_columns
 
 WINDOW_WORDS = 6
 TOXIC_TEXTS, ORDINARY_TEXTS = 2000, 6000
@@ -208,7 +208,7 @@ def _scored(documents: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
         held = shared.value
-        for batch in batches:
+        for batch in slices(batches, BATCH_BYTES):
             scores = [
                 held.score(features(differences(text, held.ordinary, held.toxic), held.threshold))
                 for text in texts_of(batch)
