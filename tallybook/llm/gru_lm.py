@@ -11,9 +11,9 @@ letters beyond ASCII, closing sign). Then
 with the class's own N' tokens and V' words; all unseen words of a class share the last part, so a text of any words has
 a probability.
 
-Training. Every batch trains on the training documents whose hash falls in the share of the round (one in
-``TRAIN_SHARE``), by truncated backpropagation over windows of ``WINDOW`` tokens, and the weights of all batches are
-averaged by tokens after each round. What is trained on grows with the input, as do the counts.
+Training. One pass over all training documents, dealt by hash to ``TRAIN_SHARE`` shares and these in turn to ``ROUNDS``
+rounds. Every batch trains on its documents of the round's shares, by truncated backpropagation over windows of
+``WINDOW`` tokens, and the weights of all batches are averaged by tokens after each round.
 
 Scoring. Lanes of documents run side by side; the state is carried from window to window until a document ends, so the
 score is the log-likelihood of the complete document, of any length.
@@ -443,6 +443,13 @@ def log_likelihoods(network: Network, documents: list[np.ndarray], lanes: int =
     return out
 
 
+def _add_rows(table: np.ndarray, places: np.ndarray, rows: np.ndarray) -> None:
+    """Adds each row at its place; places may repeat."""
+    order = np.argsort(places, kind="stable")
+    starts = np.flatnonzero(np.diff(places[order], prepend=-1))
+    table[places[order[starts]]] += np.add.reduceat(rows[order], starts, axis=0)
+
+
 def train(network: Network, documents: list[np.ndarray], lanes: int = TRAIN_LANES, rate: float = RATE) -> Network:
     """One pass of truncated backpropagation, with the state carried from window to window (Adam steps)."""
     inputs, wanted, _, running = lane_tables(documents, lanes)
@@ -479,7 +486,7 @@ def train(network: Network, documents: list[np.ndarray], lanes: int = TRAIN_LANE
             later = (slope * keep + carried @ arrays["recurrent"].T) * live
             touched.append(now)
             changes.append(own)
-        np.add.at(gradients["inputs"], np.concatenate(touched), np.concatenate(changes))
+        _add_rows(gradients["inputs"], np.concatenate(touched), np.concatenate(changes))
         for name, value in arrays.items():
             slope = gradients[name] / len(codes)
             first[name] += 0.1 * (slope - first[name])
@@ -493,7 +500,7 @@ PARTS = "part int, lane int, tokens double, weights binary"
 
 
 def _train_round(coded: DataFrame, network: Network, turn: int) -> Network:
-    """Train on the documents of a share in every task, and average the weights by tokens."""
+    """Train on the documents of the round's shares in every task, and average the weights by tokens."""
     shared = coded.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
@@ -522,7 +529,8 @@ def _train_round(coded: DataFrame, network: Network, turn: int) -> Network:
             }
         )
 
-    sums = coded.where(F.col("share") == turn).select("codes").mapInArrow(run, PARTS)
+    own = (F.col("share") >= 0) & (F.pmod("share", F.lit(ROUNDS)) == turn)
+    sums = coded.where(own).select("codes").mapInArrow(run, PARTS)
     sums = sums.groupBy("part", "lane").applyInArrow(add, PARTS).groupBy("part").applyInArrow(add, PARTS)
     parts = sorted((row.part, row.tokens, row.weights) for row in sums.collect())  # one network
     if not parts:

@@ -146,6 +146,17 @@ def test_training_raises_the_likelihood(network):
     assert log_likelihoods(network, texts).sum() == before  # the given network is left alone
 
 
+@pytest.mark.parametrize("share", [0, 1, 2, 17, gru_lm.TRAIN_SHARE - 1])
+def test_the_rounds_visit_every_share_and_no_held_out_document(spark, network, share):
+    codes = bytes(np.arange(40, dtype=np.uint16))
+    for own, learned in ((share, True), (-1, False)):
+        coded = spark.createDataFrame([(own, codes)] * 3, "share int, codes binary")
+        after = network
+        for turn in range(gru_lm.ROUNDS):
+            after = gru_lm._train_round(coded, after, turn)
+        assert np.array_equal(after.flat(), network.flat()) != learned
+
+
 def test_shapes():
     assert shape(b"\n") == SHAPES - 1
     words = [b"a", b"abc.", b"abcdefgh,", b"abcdefghijklm!", "é".encode(), "straße".encode(), b"\xff"]
