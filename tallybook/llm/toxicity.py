@@ -9,7 +9,7 @@ a window threshold, and their mean; the threshold and the weights of the four ar
 neither dictionary has seen, to give the probability of label 1.
 
 Learning uses a bounded sample of labelled rows: at most ``TOXIC_TEXTS`` and ``ORDINARY_TEXTS`` in the order of a hash of
-the id, and at most ``SAMPLE_BYTES`` of text. Dictionaries have at most ``TOXIC_WORDS`` and ``ORDINARY_WORDS`` words.
+the id, and at most ``SAMPLE_BYTES`` of text; a text that does not fit is left out, the next ones may fit. Dictionaries have at most ``TOXIC_WORDS`` and ``ORDINARY_WORDS`` words.
 Scoring reads all of every text.
 
 Defined results: null, empty and blank texts have no windows, their features are 0, and they get the score that goes
@@ -188,17 +188,18 @@ def fit(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     docs = with_columns(documents, doc_id="long", text="string").where(remainder("doc_id", 4) != 2)
     sized = docs.where("text is not null").select("doc_id", F.octet_length("text").alias("bytes")).join(known, "doc_id")
     order = F.xxhash64("doc_id", F.lit("toxicity"))
+    fitting = sized.where(F.col("bytes") <= SAMPLE_BYTES // 2)
     chosen, total = {}, 0
     for label, most in ((1, TOXIC_TEXTS), (0, ORDINARY_TEXTS)):
         total = 0
-        for row in sized.where(F.col("toxic") == label).orderBy(order, "doc_id", "bytes").limit(most).collect():
-            total += row.bytes
-            if total > SAMPLE_BYTES // 2:
-                break
-            chosen[row.doc_id] = label
+        for row in fitting.where(F.col("toxic") == label).orderBy(order, "doc_id", "bytes").limit(most).collect():
+            if total + row.bytes <= SAMPLE_BYTES // 2:  # a text that does not fit is left out, the next may fit
+                total += row.bytes
+                chosen[row.doc_id] = label
     if not chosen:
         return learn([])
     ids = documents.sparkSession.createDataFrame(list(chosen), "long").toDF("doc_id")
+    docs = docs.where(F.octet_length("text") <= SAMPLE_BYTES // 2)
     rows = docs.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).orderBy(order, "doc_id").collect()
     return learn([(row.text.encode(), chosen[row.doc_id]) for row in rows])
 

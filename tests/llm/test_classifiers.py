@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallybook.llm import language_id, license_scan, toxicity
 from tallybook.llm.license_scan import LEAST_DICE, licenses, words_of
@@ -144,6 +145,18 @@ def test_toxicity_of_odd_rows_and_without_labels(spark, odd, none, labelled):
     assert kept.columns == odd.columns
 
 
+def test_a_text_that_does_not_fit_leaves_the_others_in_the_sample(labelled, monkeypatch):
+    documents, labels = labelled
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 2 * 400_000)
+    known = labels.where(toxicity.remainder("doc_id", 4) != 2)
+    order = F.xxhash64("doc_id", F.lit("toxicity"))
+    first = [known.where(F.col("toxic") == label).orderBy(order).first().doc_id for label in (0, 1)]
+    long = F.when(F.col("doc_id").isin(first), F.repeat(F.lit("word "), 100_000)).otherwise(F.col("text"))
+    rows = toxicity.toxicity(documents.withColumn("text", long), labels).join(labels, "doc_id").collect()
+    held = [row for row in rows if row.held_out]
+    assert sum(row.predicted == row.toxic for row in held) / len(held) > 0.95
+
+
 def test_copies_do_not_teach_words():
     texts = [b"alpha beta gamma delta"] * 9 + [b"alpha beta gamma other words here"]
     assert toxicity.without_copies(texts)[0] == texts[0] and len(toxicity.without_copies(texts)) <= 2
