@@ -6,11 +6,12 @@ words of ordinary texts; the toxic one holds the words, or beginnings of words,
 often than ordinary ones, and then the same ordinary words, so that ordinary language costs the same under both and a
 difference comes from toxic words. A text is described by its largest difference, the sum and the share of those above
 a window threshold, and their mean; the threshold and the weights of the four are calibrated on labelled texts that
-neither dictionary has seen, to give the probability of label 1.
+neither dictionary has seen, to give the probability of label 1; the constant is then moved from the odds of label 1
+among those to its odds among all labelled texts, so that a score means the same however many were sampled.
 
 Learning uses a bounded sample of labelled rows: at most ``TOXIC_TEXTS`` and ``ORDINARY_TEXTS`` in the order of a hash of
-the id, and at most ``SAMPLE_BYTES`` of text; a text that does not fit is left out, the next ones may fit. Dictionaries have at most ``TOXIC_WORDS`` and ``ORDINARY_WORDS`` words.
-Scoring reads all of every text.
+the id, and at most ``SAMPLE_BYTES`` of text; a text that does not fit is left out, the next ones may fit. Dictionaries
+have at most ``TOXIC_WORDS`` and ``ORDINARY_WORDS`` words. Scoring reads all of every text.
 
 Defined results: null, empty and blank texts have no windows, their features are 0, and they get the score that goes
 with that. Labels of one id that disagree count as toxic; null labels and labels without a text are ignored. Without
@@ -166,9 +167,9 @@ def calibrate(gains: list[np.ndarray], toxic: np.ndarray) -> tuple[int, np.ndarr
     return best
 
 
-def learn(rows: list[tuple[bytes, int]]) -> ToxicityModel:
-    """Two thirds of the texts make the dictionaries, the rest calibrate."""
-    share = sum(label for _, label in rows) / len(rows) if rows else 0.0
+def learn(rows: list[tuple[bytes, int]], counts: dict[int, int]) -> ToxicityModel:
+    """Two thirds of the texts make the dictionaries, the rest calibrate; ``counts`` are those of all labelled texts."""
+    share = counts.get(1, 0) / sum(counts.values()) if counts else 0.0
     parts = {label: without_copies([text for text, own in rows if own == label]) for label in (0, 1)}
     if min(map(len, parts.values())) < 3:
         power = math.log(share / (1 - share)) if 0 < share < 1 else math.inf if share else -math.inf
@@ -178,6 +179,8 @@ def learn(rows: list[tuple[bytes, int]]) -> ToxicityModel:
     left = [(text, label) for label, texts in parts.items() for text in texts[: len(texts) // 3]]
     gains = [differences(text, ordinary, toxic) for text, _ in left]
     threshold, weights, constant, _ = calibrate(gains, np.array([label for _, label in left], np.float64))
+    sampled = Counter(label for _, label in left)  # the sample has both labels in a mix of its own
+    constant += math.log(counts[1] / counts[0]) - math.log(sampled[1] / sampled[0])
     return ToxicityModel(ordinary, toxic, threshold, tuple(weights.tolist()), constant)
 
 
@@ -196,12 +199,13 @@ def fit(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
             if total + row.bytes <= SAMPLE_BYTES // 2:  # a text that does not fit is left out, the next may fit
                 total += row.bytes
                 chosen[row.doc_id] = label
+    counts = {row.toxic: row.texts for row in sized.groupBy("toxic").agg(F.count_distinct("doc_id").alias("texts")).collect()}
     if not chosen:
-        return learn([])
+        return learn([], counts)
     ids = documents.sparkSession.createDataFrame(list(chosen), "long").toDF("doc_id")
     docs = docs.where(F.octet_length("text") <= SAMPLE_BYTES // 2)
     rows = docs.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).orderBy(order, "doc_id").collect()
-    return learn([(row.text.encode(), chosen[row.doc_id]) for row in rows])
+    return learn([(row.text.encode(), chosen[row.doc_id]) for row in rows], counts)
 
 
 def _scored(documents: DataFrame, model: ToxicityModel) -> DataFrame:

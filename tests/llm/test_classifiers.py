@@ -157,6 +157,24 @@ def test_a_text_that_does_not_fit_leaves_the_others_in_the_sample(labelled, monk
     assert sum(row.predicted == row.toxic for row in held) / len(held) > 0.95
 
 
+def test_scores_follow_the_share_of_all_labels_not_that_of_the_sample(labelled, monkeypatch):
+    documents, labels = labelled
+    calls, calibrate = [], toxicity.calibrate
+
+    def recorded(gains, toxic):
+        calls.append((toxic.mean(), *calibrate(gains, toxic)))
+        return calls[-1][1:]
+
+    monkeypatch.setattr(toxicity, "calibrate", recorded)
+    monkeypatch.setattr(toxicity, "ORDINARY_TEXTS", 100)
+    model = toxicity.fit(documents, labels)
+    share = labels.where(toxicity.remainder("doc_id", 4) != 2).agg(F.avg("toxic")).first()[0]
+    (sampled, _, _, constant, _) = calls[0]
+    assert sampled > 2 * share
+    wanted = constant + np.log(share / (1 - share)) - np.log(sampled / (1 - sampled))
+    assert abs(model.constant - wanted) < 1e-6
+
+
 def test_copies_do_not_teach_words():
     texts = [b"alpha beta gamma delta"] * 9 + [b"alpha beta gamma other words here"]
     assert toxicity.without_copies(texts)[0] == texts[0] and len(toxicity.without_copies(texts)) <= 2
