@@ -399,11 +399,15 @@ def components(documents: DataFrame, like: Similarity = Similarity(), block_sets
     )
     classes = settle(classes, "classes")
     blocks = connected(found.where("kind = 'edge'").select("node", "other"))
-    members = settle(classes.join(blocks, "node").select("rep", "digest", "n_shingles", "label"), "members")
+    members = settle(classes.join(blocks, "node").select("rep", "node", "digest", "n_shingles", "label"), "members")
     linked = _linked(docs, members, like, block_sets)
-    ids = classes.join(linked, "digest", "left").select(
-        "digest", "salts", F.coalesce("component", "rep").alias("component_id")
-    )
+    # the smallest doc_id of each component, which its sets look up by salt; a set without any doc_id has no part in it
+    tied = settle(classes.select("digest", "rep").join(linked, "digest"), "tied")
+    every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    least = tied.groupBy("component").agg(F.min("rep").alias("least")).select("component", "least", every)
+    tied = tied.withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(SALTS)).cast("int"))
+    tied = tied.join(least, ["component", "salt"]).select("digest", "least")
+    ids = classes.join(tied, "digest", "left").select("digest", "salts", F.coalesce("least", "rep").alias("component_id"))
 
     # back to the documents by (digest, salt): the copies of one set are spread over the salts
     bits = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda salt: F.getbit(F.col("salts"), salt) == 1)
@@ -415,7 +419,7 @@ def components(documents: DataFrame, like: Similarity = Similarity(), block_sets
 
 
 def _linked(docs: DataFrame, members: DataFrame, like: Similarity, block_sets: int) -> DataFrame:
-    """``(digest, component)`` of the sets in blocks."""
+    """``(digest, component)`` of the sets in blocks; a set's node is its ``rep`` here, as many may have no doc_id."""
 
     def read(batches: Batches) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, BATCH_BYTES):
@@ -428,10 +432,10 @@ def _linked(docs: DataFrame, members: DataFrame, like: Similarity, block_sets: i
     sizes = members.groupBy("label").agg(F.count(F.lit(1)).alias("sets"), F.sum("n_shingles").alias("entries"))
     tasks = F.greatest(F.ceil(F.col("sets") / block_sets), F.ceil(F.col("entries") / BLOCK_ENTRIES)).cast("long")
     sizes = sizes.where("sets > 1").select("label", "sets", tasks.alias("tasks"))
-    wanted = members.join(sizes, "label").select("rep", "digest", F.col("label").alias("block"), "sets", "tasks")
+    wanted = members.join(sizes, "label").select("rep", "node", "digest", F.col("label").alias("block"), "sets", "tasks")
     # always by shuffle: the members grow with the input
     texts = docs.join(wanted.hint("merge"), docs["doc_id"].eqNullSafe(wanted["rep"])).select(
-        "text", "digest", F.coalesce("rep", F.lit(-(1 << 63))).alias("rep"), "block", "sets", "tasks"
+        "text", "digest", F.col("node").alias("rep"), "block", "sets", "tasks"
     )
     sets = texts.mapInArrow(read, "digest binary, rep long, block long, sets long, tasks long, grams binary")
     sets = settle(sets, "sets")
@@ -441,8 +445,7 @@ def _linked(docs: DataFrame, members: DataFrame, like: Similarity, block_sets: i
     large = sets.where("tasks > 1")
     if not large.isEmpty():
         out = out.unionByName(_large_blocks(large, like))
-    none = F.col("component") == -(1 << 63)
-    return out.select("digest", F.when(~none, F.col("component")).alias("component")).dropDuplicates(["digest"])
+    return out.dropDuplicates(["digest"])
 
 
 def _large_blocks(sets: DataFrame, like: Similarity) -> DataFrame:

@@ -122,6 +122,13 @@ def test_large_blocks_are_split_without_losing_links(documents, prose):
         assert found_components(documents(pairs), block_sets=block_sets) == brute_components(pairs, Similarity())
 
 
+@pytest.mark.parametrize("block_sets", [2000, 5])
+def test_near_copies_without_an_id_link_the_others_and_take_no_component_over(documents, prose, block_sets):
+    first, second = near_copies(prose, 7, 24, 60, 2), near_copies(prose, 8, 24, 60, 2)
+    pairs = [(None if at % 3 == 0 else at, text) for at, text in enumerate([*first, *second])]
+    assert found_components(documents(pairs), block_sets=block_sets) == brute_components(pairs, Similarity())
+
+
 def test_near_copies_of_odd_rows(odd, odd_pairs, none):
     assert found_components(odd) == brute_components(odd_pairs, Similarity())
     assert found_components(none) == []
