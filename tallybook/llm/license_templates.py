@@ -50,6 +50,12 @@ option) any later version. This program is distributed in the hope that it will
 without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public
 License for more details."""
 
+_GPL_2_HEADER = """This program is free software; you can redistribute it and/or modify it under the terms of the GNU
+General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your
+option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
+without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public
+License for more details."""
+
 _MPL_HEADER = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL
 was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
 
@@ -72,6 +78,8 @@ TEMPLATES = (
     ("GPL-3.0", _GPL_HEADER),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "Licensed under the GNU General Public License, version 3."),
+    ("GPL-2.0", _GPL_2_HEADER),
+    ("GPL-2.0", "Licensed under the GNU General Public License, version 2."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),

@@ -50,6 +50,15 @@ def test_licences_equal_brute_force(documents, prose):
     assert len({row.license for row in rows}) > 12
 
 
+def test_notices_of_gpl_2_are_not_reported_as_gpl_3(documents, prose):
+    header = next(text for name, text in TEMPLATES if name == "GPL-3.0" and "version 3 of" in text)
+    short = "Licensed under the GNU General Public License, version 3."
+    notices = [text.replace("version 3", f"version {number}") for text in (header, short) for number in (2, 3)]
+    pairs = [(at, f"{prose(at, 9)} {notice} {prose(at, 15)}") for at, notice in enumerate(notices)]
+    rows = licenses(documents(pairs)).orderBy("doc_id").collect()
+    assert [row.license for row in rows] == ["GPL-2.0", "GPL-3.0"] * 2
+
+
 def test_licences_of_odd_rows(odd, odd_pairs, none):
     rows = licenses(odd).collect()
     assert len(rows) == len(odd_pairs) and all(row.license is None and row.licenses == [] for row in rows)
