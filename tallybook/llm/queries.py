@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybook.llm import conversation_repair
 from tallybook.llm.best_fit_packing import packed_documents
 from tallybook.llm.decontamination import contamination
 from tallybook.llm.exact_dedup import exact_duplicates
@@ -184,3 +185,104 @@ def op5_gru_lm(spark: SparkSession, folder: str) -> DataFrame:
 def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = licenses(_table(spark, folder, "documents"))
     return found.withColumn("licenses", F.array_join("licenses", ","))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = conversation_repair.damaged(_table(spark, folder, "conversations"))
+    return conversation_repair.repair(rows).summary
+
+
+ORACLES["op13_conversation_repair"] = """
+    WITH RECURSIVE given AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+        FROM conversations
+    ),
+    hashed AS (
+        SELECT *, xor(list_reduce(
+                list_prepend(CAST(4294967295 AS BIGINT),
+                             list_transform(range(1, length(key) + 1), lambda i: CAST(ascii(key[i]) AS BIGINT))),
+                lambda c, b: list_reduce(
+                    list_prepend(xor(c, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+                    lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, CAST(3988292384 AS BIGINT)) ELSE x >> 1 END)),
+            CAST(4294967295 AS BIGINT)) % 20 AS kind
+        FROM given
+    ),
+    damaged AS (
+        SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+               CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM (SELECT *, unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM hashed)
+    ),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place FROM damaged
+    ),
+    faulty AS (
+        SELECT conv_id, turn, role, text, place, role[1] AS letter,
+               lag(role[1]) OVER (PARTITION BY conv_id ORDER BY place) || role[1] AS neighbours,
+               CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 'duplicate'
+                    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' END AS fault
+        FROM placed
+    ),
+    counted AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+               count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+               count(*) FILTER (fault = 'truncated') AS truncated,
+               count(*) FILTER (neighbours NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+        FROM faulty GROUP BY conv_id
+    ),
+    walk AS (
+        -- cheapest cost, audit and lines after nothing (e), a system (s), a user (u) and an assistant turn (a)
+        SELECT conv_id, CAST(0 AS BIGINT) AS place,
+               {'c': CAST(0 AS BIGINT), 'a': '', 't': CAST([] AS VARCHAR[])} AS e,
+               {'c': CAST(1000000000 AS BIGINT), 'a': '', 't': CAST([] AS VARCHAR[])} AS s,
+               {'c': CAST(1000000000 AS BIGINT), 'a': '', 't': CAST([] AS VARCHAR[])} AS u,
+               {'c': CAST(1000000000 AS BIGINT), 'a': '', 't': CAST([] AS VARCHAR[])} AS a
+        FROM (SELECT DISTINCT conv_id FROM given)
+        UNION ALL
+        SELECT conv_id, place,
+               {'c': e.c + 3, 'a': e.a || 'D', 't': e.t},
+               list_sort([{'c': s.c + 3, 'a': s.a || 'D', 't': s.t},
+                          {'c': e.c + keeps_s, 'a': e.a || 'K', 't': list_append(e.t, line)}])[1],
+               list_sort([{'c': u.c + 3, 'a': u.a || 'D', 't': u.t},
+                          {'c': e.c + as_u, 'a': e.a || edit_u, 't': list_append(e.t, line_u)},
+                          {'c': s.c + as_u, 'a': s.a || edit_u, 't': list_append(s.t, line_u)},
+                          {'c': a.c + as_u, 'a': a.a || edit_u, 't': list_append(a.t, line_u)}])[1],
+               list_sort([{'c': a.c + 3, 'a': a.a || 'D', 't': a.t},
+                          {'c': u.c + as_a, 'a': u.a || edit_a, 't': list_append(u.t, line_a)}])[1]
+        FROM (
+            SELECT conv_id, place, line, line_u, line_a, edit_u, edit_a, keeps_s, as_u, as_a, e, s, u,
+                   list_sort([a, {'c': u.c + 2, 'a': u.a || 'I', 't': list_append(u.t, 'assistant:')}])[1] AS a
+            FROM (
+                SELECT f.conv_id, f.place, e, s, a, role || ':' || text AS line,
+                       CASE WHEN letter = 'u' THEN role ELSE 'user' END || ':' || text AS line_u,
+                       CASE WHEN letter = 'a' THEN role ELSE 'assistant' END || ':' || text AS line_a,
+                       CASE WHEN letter = 'u' THEN 'K' ELSE 'R' END AS edit_u,
+                       CASE WHEN letter = 'a' THEN 'K' ELSE 'R' END AS edit_a,
+                       CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000000 WHEN fault = 'truncated' THEN 1 ELSE 0 END AS must,
+                       must + CASE WHEN letter = 's' THEN 0 ELSE 1000000000 END AS keeps_s,
+                       must + CASE WHEN letter = 'u' THEN 0 ELSE 2 END AS as_u,
+                       must + CASE WHEN letter = 'a' THEN 0 ELSE 2 END AS as_a,
+                       list_sort([u, {'c': e.c + 2, 'a': e.a || 'I', 't': list_append(e.t, 'user:')},
+                                  {'c': s.c + 2, 'a': s.a || 'I', 't': list_append(s.t, 'user:')},
+                                  {'c': a.c + 2, 'a': a.a || 'I', 't': list_append(a.t, 'user:')}])[1] AS u
+                FROM walk w JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.place = w.place + 1
+            )
+        )
+    ),
+    ends AS (
+        SELECT conv_id, place, e, s, a, list_sort([u, {'c': e.c + 2, 'a': e.a || 'I', 't': list_append(e.t, 'user:')},
+                                                   {'c': s.c + 2, 'a': s.a || 'I', 't': list_append(s.t, 'user:')}])[1] AS u
+        FROM walk
+    ),
+    best AS (
+        SELECT conv_id, place, list_sort([e, a, {'c': u.c + 2, 'a': u.a || 'I', 't': list_append(u.t, 'assistant:')}])[1] AS way
+        FROM ends
+    )
+    SELECT b.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, way.c AS cost, way.a AS audit,
+           sha256(array_to_string(way.t, chr(10))) AS repaired_sha256
+    FROM best b LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM b.conv_id
+    WHERE b.place = coalesce(n, 0)
+"""
