@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import conversation_repair
+from tallybook.llm import conversation_repair, hard_negatives, vector_copies
 from tallybook.llm.best_fit_packing import packed_documents
 from tallybook.llm.decontamination import contamination
 from tallybook.llm.exact_dedup import exact_duplicates
@@ -187,6 +187,45 @@ def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("licenses", F.array_join("licenses", ","))
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = hard_negatives.relabelled(hard_negatives.participants(_table(spark, folder, "embeddings")))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op11_hard_negatives"] = """
+    WITH given AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    pairs AS (
+        SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+               CAST(list_inner_product(a.vec, r.vec) AS BIGINT) AS score
+        FROM given a JOIN given r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id AND len(a.vec) = len(r.vec)
+    ),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    ),
+    negatives AS (
+        SELECT anchor_id, positive_id, positive_score, n.vec_id AS negative_id, n.score AS negative_score,
+               row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.vec_id) AS rank
+        FROM positives p JOIN pairs n USING (anchor_id)
+        WHERE NOT n.same AND 30 * positive_score <= 100 * n.score AND 100 * n.score <= 90 * positive_score
+    )
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+    FROM negatives WHERE rank <= 10
+"""
+
+
+@query
+def op12_itq_near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_copies.near_copies(_table(spark, folder, "embeddings"))
+
+
 @query
 def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     rows = conversation_repair.damaged(_table(spark, folder, "conversations"))
