@@ -4,11 +4,14 @@ The join is a sparse matrix product of documents by n-grams, done in blocks that
 
 1. Sets. Each text becomes a sorted set of 64-bit n-gram hashes; equal sets are one class from here on.
 2. Blocks. Two linked sets differ in few n-grams, a number bounded by their sizes. The hash range is cut into more
-   parts than that number, so some parts are equal in both sets; documents that share a whole part (a bounded number
-   of parts each, the largest) are candidates. Sizes decide the number of parts: a set takes part with the bound of
-   its own size class and with that of the next one, so that it meets every set it may link to, and no other sizes.
-   Shared parts are reduced to a spanning forest, in the task that reads the texts and then per range of part keys, so
-   a part that a third of all documents share costs one row per batch. Components of this graph are the blocks.
+   parts than that number, so a third of the parts, empty ones included, are equal in both sets. Sizes decide the number of
+   parts: a set takes part with the bound of its own size class and with that of the next one, so that it meets every set
+   it may link to, and no other sizes. Every part is counted over all documents. A set whose parts occur elsewhere in too
+   few cases links to nothing and ends here. Of the others only the rarest parts count, as many as must hold a shared one
+   whichever parts are shared: passages that many documents have are left out so. Documents that share such a part are
+   candidates. Counts are combined in the task that reads the texts and then per range of part keys, and shared parts are
+   reduced to a spanning forest in the same two steps, so a part that a third of all documents share costs one row per
+   batch. Components of this graph are the blocks.
 3. Product. Within a block, the overlaps of one document with all documents not yet reached are one sparse
    matrix-vector product, over the documents whose sizes allow a link; those with enough overlap are reached, and are
    multiplied next. So every link that matters for the components is tested on the full sets, and a group of n copies
@@ -34,6 +37,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -140,61 +144,68 @@ class Similarity:
             firsts.append(firsts[-1] * self.den // self.num + 1)
         return firsts
 
-    def most_different(self, size: int) -> int:
-        """The most n-grams by which two linked sets of at most ``size`` can differ, both ways together."""
-        return 2 * size * (self.den - self.num) // (self.den + self.num)
+    def bounds(self, largest: int) -> np.ndarray:
+        """The first size of each class up to that of ``largest`` and of two more."""
+        firsts = self.size_classes(largest)
+        firsts.append(firsts[-1] * self.den // self.num + 1)
+        return np.array(firsts, np.int64)
+
+    def parts(self, first_above: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+        """Of a size class whose sizes are below ``first_above``: the number of parts, and how many may differ."""
+        different = 2 * (first_above - 1) * (self.den - self.num) // (self.den + self.num)
+        return different + 1 + different // 2, different
 
     def part_keys(self, grams: np.ndarray, number: int, first_above: int) -> np.ndarray:
-        """Keys of the parts of a set under size class ``number``, whose sizes are below ``first_above``.
+        """Keys of all parts of a set under size class ``number``, whose sizes are below ``first_above``, empty ones too.
 
         With ``parts`` parts and at most ``different`` differing n-grams, ``parts - different`` parts are equal in a
-        linked set. Parts up to a size are left out while they number fewer than that, in each set by itself: an equal
-        part that is above the greater of both limits remains.
+        linked set.
         """
-        different = self.most_different(first_above - 1)
-        parts = different + 1 + different // 2
+        parts, _ = self.parts(first_above)
         part = (((grams >> U64(32)) * U64(parts)) >> U64(32)).astype(np.int64)  # ascending, as the grams are
         begins = np.flatnonzero(np.diff(part, prepend=-1))
-        sizes = np.diff(np.append(begins, len(part)))
-        by_size = np.bincount(sizes, minlength=2)
-        by_size[0] = parts - len(begins)
-        too_many = np.flatnonzero(np.cumsum(by_size) >= parts - different)
-        keep = sizes >= too_many[0]
-        sums = np.add.reduceat(mixed(grams), begins)[keep]
-        held, sizes = part[begins][keep], sizes[keep]
-        if too_many[0] == 0:  # so few n-grams that the equal parts may all be empty ones
-            empty = np.setdiff1d(np.arange(parts), held)
-            held, sizes = np.append(held, empty), np.append(sizes, np.zeros_like(empty))
-            sums = np.append(sums, np.zeros(len(empty), U64))
-        salt = mixed(held.astype(U64) * STEP + U64(number))
-        return mixed(sums + salt * U64(2) + sizes.astype(U64))
-
-
-SLOTS = pa.schema(
+        sums = np.zeros(parts, U64)
+        sums[part[begins]] = np.add.reduceat(mixed(grams), begins)
+        salt = mixed(np.arange(parts, dtype=U64) * STEP + U64(number))
+        return mixed(sums + salt * U64(2))
+
+
+# Rows of documents, and of batches of documents on their way to ranges of keys (slots) and back. ``keys`` are the upper
+# ``KEY_BYTES`` bytes of part keys; two different ones that agree in these cost a comparison, no more.
+KEY_BYTES = 6
+ROWS = pa.schema(
     [
+        ("kind", pa.string()),
         ("slot", pa.int64()),
+        ("batch", pa.int64()),
         ("keys", pa.binary()),
+        ("counts", pa.binary()),
+        ("owners", pa.binary()),
         ("nodes", pa.binary()),
-        ("doc_id", pa.int64()),
-        ("n_shingles", pa.int64()),
-        ("digest", pa.binary()),
-        ("text_key", pa.int64()),
-        ("other", pa.int64()),
-    ]
-)
-SLOTS_DDL = "slot long, keys binary, nodes binary, doc_id long, n_shingles long, digest binary, text_key long, other long"
-FOUND = pa.schema(
-    [
-        ("kind", pa.string()),
+        ("sizes", pa.binary()),
         ("doc_id", pa.int64()),
         ("n_shingles", pa.int64()),
         ("digest", pa.binary()),
         ("text_key", pa.int64()),
         ("node", pa.int64()),
-        ("other", pa.int64()),
     ]
 )
-FOUND_DDL = "kind string, doc_id long, n_shingles long, digest binary, text_key long, node long, other long"
+ROWS_DDL = (
+    "kind string, slot long, batch long, keys binary, counts binary, owners binary, nodes binary, sizes binary, "
+    "doc_id long, n_shingles long, digest binary, text_key long, node long"
+)
+EDGES = pa.schema([("slot", pa.int64()), ("keys", pa.binary()), ("nodes", pa.binary()), ("node", pa.int64()), ("other", pa.int64())])
+EDGES_DDL = "slot long, keys binary, nodes binary, node long, other long"
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    keys = np.zeros((len(data) // KEY_BYTES, 8), np.uint8)
+    keys[:, :KEY_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, KEY_BYTES)
+    return keys.view("<u8").ravel()
 
 
 def _batch(schema: pa.Schema, length: int, **columns) -> pa.RecordBatch:
@@ -222,74 +233,155 @@ def _shared_keys(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, ...]:
     return keys[first], nodes[first], *forest(nodes[apart], lead[apart])
 
 
-def _candidates(documents: DataFrame, like: Similarity, ranges: int) -> DataFrame:
-    """``FOUND`` rows: of kind doc, one per document, and of kind edge, between nodes that share a part."""
+def _slots_of(keys: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The slots that ascending keys fall into, with where each begins and ends."""
+    slots = (keys >> U64(8 * KEY_BYTES - 32)) * U64(ranges) >> U64(32)
+    begins = np.flatnonzero(np.diff(slots.astype(np.int64), prepend=-1))
+    return slots[begins].astype(np.int64), begins, np.append(begins[1:], len(keys))
 
-    def read(batches: Batches) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, KEYS_BYTES):
+
+def _read(like: Similarity, ranges: int):
+    """Rows of kind doc; of kind own, what a batch keeps of its sets; of kind ask, its distinct part keys by slot."""
+
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        for at, batch in enumerate(slices(batches, KEYS_BYTES)):
+            number = (task << 32) + at  # the same when the task runs again
             sets = shingle_sets(texts_of(batch), like.words)
             sizes = np.array([len(grams) for grams in sets], np.int64)
             digests = [digest_of(grams) if len(grams) else None for grams in sets]
-            nodes = np.array([int.from_bytes(d[:8], "little", signed=True) if d else 0 for d in digests], np.int64)
-            yield _batch(
-                SLOTS,
-                len(sets),
-                slot=ranges + np.arange(len(sets)) % ranges,
-                doc_id=batch.column("doc_id"),
-                n_shingles=sizes,
-                digest=digests,
-                text_key=batch.column("text_key"),
-            )
-            firsts = like.size_classes(int(sizes.max(initial=1)))
+            lane = ranges + (task * 1009 + at) % ranges
+            docs = {"doc_id": batch.column("doc_id"), "text_key": batch.column("text_key")}
+            own = {"kind": ["doc"] * len(sets), "slot": np.full(len(sets), lane)}
+            nodes = pa.array([int.from_bytes(d[:8], "little", signed=True) if d else None for d in digests], pa.int64())
+            yield _batch(ROWS, len(sets), n_shingles=sizes, digest=digests, node=nodes, **own, **docs)
+            places = np.array(list({digest: place for place, digest in enumerate(digests) if digest}.values()), np.int64)
+            if not len(places):
+                continue
+            sizes = sizes[places]
+            nodes = nodes.take(pa.array(places)).to_numpy()
+            firsts = like.bounds(int(sizes.max()))
             classes = np.searchsorted(firsts, sizes, side="right") - 1
-            firsts = firsts + like.size_classes(firsts[-1] * 2)[len(firsts) :]
             keys, owners = [], []
-            for at in {digest: place for place, digest in enumerate(digests) if digest}.values():
-                for number in (classes[at], classes[at] + 1):
-                    keys.append(like.part_keys(sets[at], int(number), firsts[number + 1]))
-                    owners.append(np.full(len(keys[-1]), nodes[at]))
-            if not keys:
-                continue
-            found = _shared_keys(np.concatenate(keys), np.concatenate(owners))
-            keys, owners, node, other = found
-            slots = (keys >> U64(32)) * U64(ranges) >> U64(32)  # ascending, as the keys are
-            bounds = np.flatnonzero(np.diff(slots.astype(np.int64), prepend=-1))
-            ends = np.append(bounds[1:], len(keys))
-            yield _batch(
-                SLOTS,
-                len(bounds),
-                slot=slots[bounds].astype(np.int64),
-                keys=[keys[a:b].tobytes() for a, b in zip(bounds, ends)],
-                nodes=[owners[a:b].tobytes() for a, b in zip(bounds, ends)],
-            )
-            # edges take the way of the documents, with the two nodes in the id columns
-            yield _batch(SLOTS, len(node), slot=ranges + np.arange(len(node)) % ranges, doc_id=node, other=other)
-
-    def combine(table: pa.Table) -> pa.Table:
+            for owner, (place, first) in enumerate(zip(places.tolist(), classes.tolist())):
+                for step in (0, 1):
+                    keys.append(like.part_keys(sets[place], first + step, int(firsts[first + step + 1])))
+                    owners.append(np.full(len(keys[-1]), 2 * owner + step, np.uint32))
+            keys, owners = np.concatenate(keys) >> U64(64 - 8 * KEY_BYTES), np.concatenate(owners)
+            order = np.argsort(keys, kind="stable")
+            keys, owners = keys[order], owners[order]
+            starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            counts = np.minimum(np.diff(np.append(starts, len(keys))), 255).astype(np.uint8)
+            kept = {"owners": [owners.tobytes()], "counts": [np.diff(np.append(starts, len(keys))).astype(np.uint32).tobytes()]}
+            kept |= {"nodes": [nodes.tobytes()], "sizes": [sizes.tobytes()]}
+            yield _batch(ROWS, 1, kind=["own"], slot=[lane], batch=[number], **kept)
+            keys = keys[starts]
+            slots, begins, ends = _slots_of(keys, ranges)
+            cuts = list(zip(begins.tolist(), ends.tolist()))
+            asked = {"keys": [packed_keys(keys[a:b]) for a, b in cuts], "counts": [counts[a:b].tobytes() for a, b in cuts]}
+            yield _batch(ROWS, len(slots), kind=["ask"] * len(slots), slot=slots, batch=[number] * len(slots), **asked)
+
+    return run
+
+
+def _count(ranges: int):
+    """Per slot: for every batch, the order of magnitude of each of its keys' counts, 0 for keys of one set, and the others' keys."""
+
+    def run(table: pa.Table) -> pa.Table:
         if table.column("slot")[0].as_py() >= ranges:
-            edge = table.column("other").is_valid()
-            docs, edges = table.filter(pc.invert(edge)), table.filter(edge)
-            digests = docs.column("digest").to_pylist()
-            nodes = [int.from_bytes(d[:8], "little", signed=True) if d else None for d in digests]
-            ids = {name: docs.column(name).combine_chunks() for name in ("doc_id", "n_shingles", "text_key")}
-            parts = [
-                _batch(FOUND, len(docs), kind=["doc"] * len(docs), digest=digests, node=nodes, **ids),
+            return table
+        asked = [unpacked_keys(data) for data in table.column("keys").to_pylist()]
+        own = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8)
+        keys, back = np.unique(np.concatenate(asked), return_inverse=True)
+        totals = np.bincount(back, weights=own, minlength=len(keys)).astype(np.int64)
+        grades = np.frexp(totals - 1)[1].astype(np.uint8)  # 0 for 1, then 1 for 2, 2 for 3 and 4, ...
+        grades = grades[back]
+        ends = np.cumsum([len(part) for part in asked]).tolist()
+        begins = [0, *ends[:-1]]
+        return pa.Table.from_batches(
+            [
                 _batch(
-                    FOUND,
-                    len(edges),
-                    kind=["edge"] * len(edges),
-                    node=edges.column("doc_id").combine_chunks(),
-                    other=edges.column("other").combine_chunks(),
-                ),
+                    ROWS,
+                    len(asked),
+                    kind=["reply"] * len(asked),
+                    slot=table.column("slot").combine_chunks(),
+                    batch=table.column("batch").combine_chunks(),
+                    counts=[grades[a:b].tobytes() for a, b in zip(begins, ends)],
+                    keys=[packed_keys(part[grades[a:b] > 0]) for part, a, b in zip(asked, begins, ends)],
+                )
             ]
-            return pa.Table.from_batches(parts)
-        keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), U64)
+        )
+
+    return run
+
+
+def rarest_shared(like: Similarity, sizes: np.ndarray, owners: np.ndarray, keys: np.ndarray, grades: np.ndarray) -> np.ndarray:
+    """Places of the keys that make candidates. ``owners`` are 2 * set, plus 1 for the next size class; grade 0 is not shared.
+
+    Of its parts, in the order of (grade, key), a set needs the first ``different + 1``: a linked set, which has at least
+    ``parts - different`` parts equal, shares one of those that are the first in the same order in both.
+    """
+    firsts = like.bounds(int(sizes.max(initial=1)))
+    classes = np.searchsorted(firsts, sizes, side="right") - 1
+    above = np.stack((firsts[classes + 1], firsts[classes + 2]), axis=1).ravel()
+    parts, different = like.parts(above)
+    shared = np.flatnonzero(grades > 0)
+    shared = shared[np.lexsort((keys[shared], grades[shared], owners[shared]))]
+    held = np.bincount(owners[shared], minlength=len(above))
+    wanted = different + 1 - (parts - held)
+    rank = np.arange(len(shared)) - (np.cumsum(held) - held)[owners[shared]]
+    return shared[rank < wanted[owners[shared]]]
+
+
+def _choose(like: Similarity, ranges: int):
+    """Per batch: the keys that make candidates, one node each, by slot, and edges between the nodes of one key."""
+
+    def run(table: pa.Table) -> pa.Table:
+        kept = table.filter(pc.equal(table.column("kind"), "own"))
+        replies = table.filter(pc.equal(table.column("kind"), "reply")).sort_by("slot")
+        times = np.frombuffer(kept.column("counts")[0].as_py(), np.uint32)
+        owners = np.frombuffer(kept.column("owners")[0].as_py(), np.uint32).astype(np.int64)
+        nodes = np.frombuffer(kept.column("nodes")[0].as_py(), np.int64)
+        sizes = np.frombuffer(kept.column("sizes")[0].as_py(), np.int64)
+        grades = np.frombuffer(b"".join(replies.column("counts").to_pylist()), np.uint8)
+        keys = np.zeros(len(grades), U64)
+        keys[grades > 0] = unpacked_keys(b"".join(replies.column("keys").to_pylist()))
+        keys, grades = np.repeat(keys, times), np.repeat(grades, times)
+        chosen = rarest_shared(like, sizes, owners, keys, grades)
+        keys, holders, node, other = _shared_keys(keys[chosen], nodes[owners[chosen] // 2])
+        slots, begins, ends = _slots_of(keys, ranges)
+        cuts = list(zip(begins.tolist(), ends.tolist()))
+        asked = {"keys": [packed_keys(keys[a:b]) for a, b in cuts], "nodes": [holders[a:b].tobytes() for a, b in cuts]}
+        edges = _batch(EDGES, len(node), slot=ranges + np.arange(len(node)) % ranges, node=node, other=other)
+        return pa.Table.from_batches([_batch(EDGES, len(slots), slot=slots, **asked), edges])
+
+    return run
+
+
+def _join_slot(ranges: int):
+    """Edges between the nodes of each key over all batches; edges found before pass through."""
+
+    def run(table: pa.Table) -> pa.Table:
+        if table.column("slot")[0].as_py() >= ranges:
+            return table.select(["node", "other"])
+        keys = unpacked_keys(b"".join(table.column("keys").to_pylist()))
         nodes = np.frombuffer(b"".join(table.column("nodes").to_pylist()), np.int64)
         _, _, node, other = _shared_keys(keys, nodes)
-        return pa.Table.from_batches([_batch(FOUND, len(node), kind=["edge"] * len(node), node=node, other=other)])
+        return pa.table({"node": pa.array(node, pa.int64()), "other": pa.array(other, pa.int64())})
+
+    return run
 
-    rows = documents.select("doc_id", "text", text_key().alias("text_key")).mapInArrow(read, SLOTS_DDL)
-    return rows.groupBy("slot").applyInArrow(combine, FOUND_DDL)
+
+def _candidates(documents: DataFrame, like: Similarity, ranges: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of the documents with their digests, and edges between the nodes of candidates."""
+    rows = documents.select("doc_id", "text", text_key().alias("text_key")).mapInArrow(_read(like, ranges), ROWS_DDL)
+    found = settle(rows.groupBy("slot").applyInArrow(_count(ranges), ROWS_DDL), "candidates", "kind")
+    docs = found.where("kind = 'doc'").select("doc_id", "n_shingles", "digest", "text_key", "node")
+    batches = found.where("kind in ('own', 'reply')")
+    batches = batches.select("kind", "slot", "batch", "keys", "counts", "owners", "nodes", "sizes")
+    chosen = batches.groupBy("batch").applyInArrow(_choose(like, ranges), EDGES_DDL)
+    edges = chosen.groupBy("slot").applyInArrow(_join_slot(ranges), "node long, other long")
+    return docs, edges
 
 
 class Incidence:
@@ -389,8 +481,8 @@ def components(documents: DataFrame, like: Similarity = Similarity(), block_sets
     docs = with_columns(documents, doc_id="long", text="string")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, -(-total // RANGE_BYTES))
-    found = settle(_candidates(docs, like, ranges), "candidates", "kind")
-    rows = found.where("kind = 'doc'").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    rows, edges = _candidates(docs, like, ranges)
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
 
     # one row per distinct set; rep is the smallest doc_id, and stands for the set
     salted = rows.where("digest is not null").groupBy("digest", "node", "n_shingles", "salt").agg(F.min("doc_id").alias("rep"))
@@ -398,26 +490,32 @@ def components(documents: DataFrame, like: Similarity = Similarity(), block_sets
         F.min("rep").alias("rep"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("salts")
     )
     classes = settle(classes, "classes")
-    blocks = connected(found.where("kind = 'edge'").select("node", "other"))
+    blocks = connected(edges)
     members = settle(classes.join(blocks, "node").select("rep", "node", "digest", "n_shingles", "label"), "members")
     linked = _linked(docs, members, like, block_sets)
     # the smallest doc_id of each component, which its sets look up by salt; a set without any doc_id has no part in it
     tied = settle(classes.select("digest", "rep").join(linked, "digest"), "tied")
-    every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    least = tied.groupBy("component").agg(F.min("rep").alias("least")).select("component", "least", every)
+    # lists that grow with the input are joined by shuffle: their size after exploding is no estimate of Spark's
     tied = tied.withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(SALTS)).cast("int"))
+    used = F.bit_or(F.expr("shiftleft(1L, salt)")).alias("salts")
+    least = tied.groupBy("component").agg(F.min("rep").alias("least"), used)
+    least = least.select("component", "least", _in_use("salts")).hint("merge")
     tied = tied.join(least, ["component", "salt"]).select("digest", "least")
     ids = classes.join(tied, "digest", "left").select("digest", "salts", F.coalesce("least", "rep").alias("component_id"))
 
     # back to the documents by (digest, salt): the copies of one set are spread over the salts
-    bits = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda salt: F.getbit(F.col("salts"), salt) == 1)
-    spread = ids.select("digest", "component_id", F.explode(bits).alias("salt"))
+    spread = ids.select("digest", "component_id", _in_use("salts")).hint("merge")
     of_sets = rows.where("digest is not null").join(spread, ["digest", "salt"])
     without = rows.where("digest is null").withColumn("component_id", F.col("doc_id"))
     wanted = ("doc_id", "n_shingles", "component_id", "text_key")
     return of_sets.select(*wanted).unionByName(without.select(*wanted))
 
 
+def _in_use(bits: str):
+    """A row for each salt whose bit is set."""
+    return F.explode(F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda salt: F.getbit(F.col(bits), salt) == 1)).alias("salt")
+
+
 def _linked(docs: DataFrame, members: DataFrame, like: Similarity, block_sets: int) -> DataFrame:
     """``(digest, component)`` of the sets in blocks; a set's node is its ``rep`` here, as many may have no doc_id."""
 
