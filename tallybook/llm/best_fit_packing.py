@@ -1,13 +1,15 @@
 """Best-fit packing of token pieces into sequences, in rounds over a tree of groups.
 
-Every document is encoded once and cut into pieces. A round deals the open bins (at first one per piece) to groups of
-about ``GROUP_ITEMS`` items; each group packs its items best-fit, largest first. Bins with at most ``slack`` free
-places are final. The others go on as single items to the next round, in which several groups are merged. The rounds
-end when one group is left, or when merging would not make fewer groups: a group already holds thousands of items
-then, and a larger one would not pack better. No task ever holds more than the pieces of one group.
+Every document is encoded once and cut into pieces, which are numbered. A round deals its items, at first the pieces, to
+groups of about ``GROUP_ITEMS``; each group packs its items best-fit, largest first. Bins with at most ``slack`` free places
+are final. Underfull bins go on to the next round, in which up to ``FAN_IN`` groups are merged: those at most half full as
+single items, those that hardly anything fits beside by their pieces. Small items fill what others leave, so each group
+keeps back its smallest ones, ``HELD_SHARE`` of its tokens, until the last round, which packs all that is left. The last
+round comes when one group is left, or when a round has closed less than a tenth of its items; its groups hold at most
+``FAN_IN`` times ``GROUP_ITEMS`` items, so no task ever holds more.
 
 Defined results: a null or empty text is one piece, the end id alone. Repeated rows and repeated ids are packed as often
-as they occur. A null id stays null. An empty table gives an empty result. Other columns are ignored.
+as they occur, dealt to groups by their numbers. A null id stays null. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,9 +32,11 @@ END_ID = 1
 SLACK = 16
 GROUP_ITEMS = 5000
 FAN_IN = 8
+HELD_SHARE = 0.1
+STALLED = 0.9
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-PLACED = f"{PIECES}, sequence_id long, offset long, open boolean"
+PLACED = f"{PIECES}, row long, item long, offset long, open boolean"
 
 # A sequence id holds the round, the group and the place of the bin in its group.
 GROUP_BITS, BIN_BITS = 31, 26
@@ -92,48 +96,58 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def pack(parts: DataFrame, capacity: int = CAPACITY, slack: int = SLACK, group_items: int = GROUP_ITEMS) -> DataFrame:
-    """``PIECES`` rows with ``sequence_id`` and ``offset``; parts are written to the shared folder round by round."""
-    todo = parts.withColumns({"sequence_id": F.lit(None).cast("long"), "offset": F.lit(0).cast("long")})
-    groups = _groups(parts.count(), group_items)
+    """``PIECES`` rows with ``sequence_id`` and ``offset``; parts are written to the shared folder round by round.
+
+    An item is a bin of earlier rounds or, with a negative number, a piece by itself.
+    """
+    todo = settle(parts.withColumn("row", F.monotonically_increasing_id()), "pieces")
+    todo = todo.withColumns({"item": -1 - F.col("row"), "offset": F.lit(0).cast("long")})
+    items = todo.count()
+    groups, stalled, step = _groups(items, group_items), False, 0
     done: DataFrame | None = None
-    step = 0
     while True:
-        last = groups == 1
-        by = F.coalesce(F.col("sequence_id"), F.xxhash64("doc_id", "piece", "start", "ids_crc32"))
-        packed = todo.withColumn("part", F.pmod(F.xxhash64(by), F.lit(groups)))
-        packed = packed.groupBy("part").applyInPandas(_packer(step, capacity, slack), PLACED)
+        last = groups == 1 or stalled
+        packed = todo.withColumn("part", F.pmod(F.xxhash64("item", F.lit(step)), F.lit(groups)))
+        packed = packed.groupBy("part").applyInPandas(_packer(step, capacity, slack, last), PLACED)
         packed = settle(packed, "packed", "open")
-        closed = packed if last else packed.where(~F.col("open"))
+        closed = packed.where(~F.col("open"))
         done = closed if done is None else done.unionByName(closed)
         if last:
             break
         todo = packed.where("open").drop("open")
-        merged = max(-(-groups // FAN_IN), _groups(todo.where("offset = 0").count(), group_items))
-        if merged >= groups:
-            done = done.unionByName(packed.where("open"))
-            break
-        groups, step = merged, step + 1
-    return done.drop("open")
+        left = todo.where("offset = 0").count()
+        stalled = left > STALLED * items
+        merged = _groups(left, FAN_IN * group_items) if stalled else _groups(left, group_items)
+        groups, items, step = merged if stalled else max(-(-groups // FAN_IN), merged), left, step + 1
+    return done.withColumnRenamed("item", "sequence_id").drop("open", "row")
 
 
 def _groups(items: int, group_items: int) -> int:
     return max(1, -(-items // group_items))
 
 
-def _packer(step: int, capacity: int, slack: int):
+def _packer(step: int, capacity: int, slack: int, last: bool):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         group = int(frame.pop("part").iloc[0])
-        frame = frame.sort_values(["sequence_id", "doc_id", "piece", "ids_crc32"], kind="stable", na_position="first")
-        frame = frame.reset_index(drop=True)
-        if step:
-            item = np.cumsum(np.diff(frame["sequence_id"].to_numpy(np.int64), prepend=-1) != 0) - 1
-        else:
-            item = np.arange(len(frame))
-        sizes = np.bincount(item, weights=frame["length"].to_numpy()).astype(np.int64)
-        place, offset, filled = best_fit(sizes, capacity)
-        frame["sequence_id"] = ((step << GROUP_BITS | group) << BIN_BITS) + place[item]
-        frame["offset"] += offset[item]
-        frame["open"] = filled[place[item]] < capacity - slack
+        frame = frame.sort_values(["item", "offset"], kind="stable").reset_index(drop=True)
+        ids = frame["item"].to_numpy(np.int64)
+        number = np.cumsum(np.append(True, ids[1:] != ids[:-1])) - 1
+        sizes = np.bincount(number, weights=frame["length"].to_numpy()).astype(np.int64)
+        held = np.zeros(len(sizes), bool)
+        if not last:
+            smallest = np.argsort(sizes, kind="stable")
+            held[smallest[np.cumsum(sizes[smallest]) <= HELD_SHARE * sizes.sum()]] = True
+        packing = np.flatnonzero(~held)
+        bins, offsets = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+        bins[packing], offsets[packing], filled = best_fit(sizes[packing], capacity)
+        waits = held[number]
+        full = filled[bins[number]]
+        is_open = waits | (full < capacity - slack) & (not last)
+        by_piece = is_open & ~waits & (2 * full > capacity)
+        placed = ((step << GROUP_BITS | group) << BIN_BITS) + bins[number]
+        frame["item"] = np.where(waits, ids, np.where(by_piece, -1 - frame["row"].to_numpy(np.int64), placed))
+        frame["offset"] = np.where(by_piece, 0, frame["offset"].to_numpy(np.int64) + np.where(waits, 0, offsets[number]))
+        frame["open"] = is_open
         return frame
 
     return run
@@ -141,4 +155,4 @@ def _packer(step: int, capacity: int, slack: int):
 
 def packed_documents(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """All documents packed: one row per piece, with its sequence and its place there."""
-    return pack(settle(pieces(documents, tokenizer, capacity, end_id), "pieces"), capacity)
+    return pack(pieces(documents, tokenizer, capacity, end_id), capacity)
