@@ -1,9 +1,10 @@
 """Near copies among vectors of one label, by cosine, through binary codes learned by iterative quantisation.
 
 Codes. Unit vectors of a bounded sample (``SAMPLE_ROWS`` rows and ``SAMPLE_BYTES``, taken in the order of a hash of the vector)
-give a mean, principal axes and rotations of these: each starts at random and is improved in turns with the signs that it
-gives, until bits are balanced and lose little. A vector's code is the signs of its rotated coordinates. The learned model is
-all that the sample decides; every vector gets a code and is searched for.
+give principal axes and rotations of these: each starts at random and is improved in turns with the signs that it gives, so
+that its planes keep clear of the vectors. A vector's code is the signs of its rotated coordinates. The axes go through the
+origin: with the mean taken off, as it is where codes need balance alone, vectors that all lie close to their mean would
+get codes of noise. The learned model is all that the sample decides; every vector gets a code and is searched for.
 
 Retrieval. The code is cut into substrings of ``width`` bits, a table each. Vectors that agree in a whole substring, label and
 length are candidates. ``width`` grows with the logarithm of the number of vectors, and ``tables`` follows from it: at the
@@ -69,22 +70,22 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
-def iterative_quantisation(centred: np.ndarray, rotation: np.ndarray, turns: int = TURNS) -> np.ndarray:
+def iterative_quantisation(rows: np.ndarray, rotation: np.ndarray, turns: int = TURNS) -> np.ndarray:
     """The rotation that brings the rows nearest to their own signs: signs and rotation are improved in turns."""
     for _ in range(turns):
-        signs = np.where(centred @ rotation >= 0, 1.0, -1.0)
-        left, _, right = np.linalg.svd(centred.T @ signs)
+        signs = np.where(rows @ rotation >= 0, 1.0, -1.0)
+        left, _, right = np.linalg.svd(rows.T @ signs)
         rotation = left @ right
     return rotation
 
 
 @dataclass(frozen=True)
 class Coder:
-    """Mean and projection by length of vectors; a length that was not learned has random rotations, drawn alike everywhere."""
+    """A projection by length of vectors; a length that was not learned has random rotations, drawn alike everywhere."""
 
     width: int
     tables: int
-    learned: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
+    learned: dict[int, np.ndarray] = field(default_factory=dict)
 
     @classmethod
     def learn(cls, sample: list[np.ndarray], width: int, tables: int) -> Coder:
@@ -96,13 +97,11 @@ class Coder:
             if len(rows) < LEAST_SAMPLE:
                 continue
             vectors = unit(np.array(rows, np.float64))
-            mean = vectors.mean(axis=0)
-            bits = min(size, MOST_BITS)
-            _, axes = np.linalg.eigh(np.cov(vectors - mean, rowvar=False).reshape(size, size))
-            axes = axes[:, ::-1][:, :bits]
-            centred = (vectors - mean) @ axes
-            learned = [axes @ iterative_quantisation(centred, start) for start in coder.starts(size)]
-            coder.learned[size] = mean, np.concatenate(learned, axis=1)
+            _, axes = np.linalg.eigh(vectors.T @ vectors)
+            axes = axes[:, ::-1][:, : min(size, MOST_BITS)]
+            turned = vectors @ axes
+            learned = [axes @ iterative_quantisation(turned, start) for start in coder.starts(size)]
+            coder.learned[size] = np.concatenate(learned, axis=1)
         return coder
 
     def starts(self, size: int) -> Iterator[np.ndarray]:
@@ -111,18 +110,17 @@ class Coder:
         for _ in range(-(-self.width * self.tables // bits)):
             yield np.linalg.qr(random.normal(size=(bits, bits)))[0]
 
-    def model(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+    def projection(self, size: int) -> np.ndarray:
         if size not in self.learned:
             axes = np.eye(size)[:, : min(size, MOST_BITS)]
             if size > MOST_BITS:
                 axes = np.linalg.qr(np.random.default_rng(size + 1).normal(size=(size, MOST_BITS)))[0]
-            self.learned[size] = np.zeros(size), np.concatenate([axes @ start for start in self.starts(size)], axis=1)
+            self.learned[size] = np.concatenate([axes @ start for start in self.starts(size)], axis=1)
         return self.learned[size]
 
     def keys(self, vectors: np.ndarray) -> np.ndarray:
         """The substrings of each row's code, a table per column."""
-        mean, projection = self.model(vectors.shape[1])
-        bits = (unit(vectors) - mean) @ projection >= 0
+        bits = unit(vectors) @ self.projection(vectors.shape[1]) >= 0
         bits = bits[:, : self.width * self.tables].reshape(len(vectors), self.tables, self.width)
         return (bits * (1 << np.arange(self.width, dtype=np.int64))).sum(axis=2)
 
