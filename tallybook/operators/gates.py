@@ -13,6 +13,9 @@ from tallybook.operators.rules import ACCEPTED, READ_ERROR, SKIPPED
 
 MAX_REJECTS = 50
 
+# Up to this limit the skips before a position are found by a top-n, which holds that many positions in one task.
+TOP_SKIPS = 100_000
+
 
 class GateFailure(Exception):
     """A run that must not be published."""
@@ -51,8 +54,7 @@ def prefix_end(verdicts: DataFrame, primary_key: Sequence[str], max_rejects: int
     stops = (F.col("outcome") == READ_ERROR) | F.col("violation").isNotNull()
     ends += _first(verdicts.where(stops))
     if max_rejects is not None:
-        skips = number_rows(verdicts.where(F.col("outcome") == SKIPPED).select("ord"), "ord", "place")
-        ends += _first(skips.where(F.col("place") == max_rejects + 1))
+        ends += _skip_beyond(verdicts.where(F.col("outcome") == SKIPPED).select("ord"), max_rejects)
     if primary_key:
         accepted = verdicts.where(F.col("outcome") == ACCEPTED).select("ord", "reason", *primary_key)
         repeats = mark_repeats(accepted, primary_key, "ord", measure=True).where(F.col("first_ord").isNotNull())
@@ -60,6 +62,14 @@ def prefix_end(verdicts: DataFrame, primary_key: Sequence[str], max_rejects: int
     return min(ends, default=None)
 
 
+def _skip_beyond(skips: DataFrame, limit: int) -> list:
+    """The position of the first skip beyond the limit, if there are so many."""
+    if limit >= TOP_SKIPS:
+        return _first(number_rows(skips, "ord", "place").where(F.col("place") == limit + 1))
+    last = skips.orderBy("ord").limit(limit + 1).agg(F.max("ord").alias("ord"), F.count(F.lit(1)).alias("skips")).first()
+    return [last.ord] if last.skips > limit else []
+
+
 def before(df: DataFrame, end: object | None) -> DataFrame:
     """The rows before a position."""
     if end is None:

@@ -22,6 +22,11 @@ HOT_KEY_BYTES = 1000
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 << 20
 
+# More repeated keys are broadcast as bits of their hashes, 16 per key and at most these (32 MB); beyond half as many keys
+# as bits, most records would hit one by chance.
+BITS_PER_KEY = 16
+MOST_BITS = 1 << 28
+
 
 def repeated_keys(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
     """Keys of more than one record, with the first record (``first_ord``) and the number of ``copies``.
@@ -40,7 +45,8 @@ def mark_repeats(df: DataFrame, key: Sequence[str], order: str, measure: bool =
     """Add ``first_ord`` to records that repeat an earlier one; null for all others.
 
     Only records whose ``reason`` is null take part. With ``measure`` the repeated keys are stored and counted
-    first: as long as they are few, which is the rule for ledgers, the records themselves are not shuffled.
+    first: as long as they are few, which is the rule for ledgers, the records themselves are not shuffled; if they are
+    many, only records that may have such a key are (``_join_by_bitmap``).
     """
     repeated = repeated_keys(df, key, order)
     if not measure:
@@ -49,9 +55,40 @@ def mark_repeats(df: DataFrame, key: Sequence[str], order: str, measure: bool =
     size = repeated.agg(F.count(F.lit(1)).alias("rows"), F.sum(_key_bytes(key)).alias("bytes")).first()
     if size.rows <= BROADCAST_ROWS and (size.bytes or 0) <= BROADCAST_BYTES:
         return _join_by_broadcast(df, key, order, repeated)
+    if size.rows <= MOST_BITS // 2:
+        return _join_by_bitmap(df, key, order, repeated, size.rows)
     return _join_by_shuffle(df, key, order, repeated)
 
 
+def mark_repeats_by_bitmap(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
+    """``mark_repeats`` for a table with many repeated keys among far more records."""
+    repeated = settle(repeated_keys(df, key, order), "keys")
+    return _join_by_bitmap(df, key, order, repeated, repeated.count())
+
+
+def _join_by_bitmap(df: DataFrame, key: Sequence[str], order: str, repeated: DataFrame, keys: int) -> DataFrame:
+    """Shuffle only the records whose key has its bit set among those of the repeated keys.
+
+    A bit that is set by the hash of another key costs a shuffled record, no more. The other records are read a second
+    time instead, which needs no order or exchange.
+    """
+    bits = 1 << min(max(15, (BITS_PER_KEY * max(keys, 1) - 1).bit_length()), MOST_BITS.bit_length() - 1)
+    place = F.pmod(F.xxhash64(*key), F.lit(bits))
+    places = repeated.select(place.alias("_place"))
+    maps = places.groupBy(F.bitmap_bucket_number("_place").alias("_bucket"))
+    maps = maps.agg(F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bits"))
+    rows = df.withColumn("_place", F.when(F.col("reason").isNull(), place))
+    rows = rows.join(F.broadcast(maps), F.bitmap_bucket_number("_place") == F.col("_bucket"), "left")
+    position = F.bitmap_bit_position("_place")
+    byte = F.substring("_bits", (F.floor(position / 8) + 1).cast("int"), F.lit(1))
+    bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (position % 8).cast("int"))
+    rows = rows.withColumn("_may_repeat", F.coalesce(bit == 1, F.lit(False)))
+    may = rows.where("_may_repeat").select(*df.columns)
+    cannot = rows.where("not _may_repeat").select(*df.columns)
+    marked = _join_by_shuffle(may, key, order, repeated)
+    return marked.unionByName(cannot.withColumn("first_ord", F.lit(None).cast(marked.schema["first_ord"].dataType)))
+
+
 def _join_by_broadcast(df: DataFrame, key: Sequence[str], order: str, repeated: DataFrame) -> DataFrame:
     firsts = F.broadcast(_renamed(repeated, key, "_key_"))
     rows = df.join(firsts, _same_key(key, "_key_") & F.col("reason").isNull(), "left")

@@ -136,6 +136,28 @@ class CatalogSink(FolderSink):
 
 Sink = FolderSink
 
+MONTH = "mes"
+
+
+def publish_months(rows: DataFrame, path: str, date: str) -> None:
+    """Write rows into a table at ``path`` that is partitioned by the month of ``date``, in place of what it has of these months.
+
+    Months that the rows do not have are left as they are. Rows of a month go to as many tasks as their number asks for,
+    not to one. Spark replaces month by month: a reader may meet some months old and some new, which ``FolderSink`` rules
+    out at the price of writing whole tables.
+    """
+    dated = rows.withColumn(MONTH, F.date_format(date, "yyyy-MM"))
+    # a rebalance splits large months and gathers small ones; a shuffle by month would put a hot month into one task
+    dated = dated.hint("rebalance", MONTH)
+    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+
+
+def read_months(spark: SparkSession, path: str, schema: T.StructType, first: str, last: str) -> DataFrame:
+    """The rows of the months from ``first`` to ``last`` (``yyyy-MM``), from their folders alone."""
+    held = T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])
+    table = spark.read.schema(held).parquet(path)
+    return table.where(F.col(MONTH).between(first, last)).drop(MONTH)
+
 
 def reset(spark: SparkSession, sink: Sink, tables: Mapping[str, T.StructType]) -> None:
     """Publish empty tables in place of those there are."""

@@ -245,6 +245,7 @@ ORACLES: dict[str, str] = {
     "tx_outcome_counts": f"{TX} {OUTCOME_COUNTS}",
     "tx_summary": f"{TX} SELECT count(*) AS total, count(*) FILTER (WHERE anomalia) AS anomalias FROM accepted",
     "tx_dedup_first": f"{TX} SELECT id, fecha, monto, tipo FROM accepted",
+    "tx_dedup_bitmap": f"{TX} SELECT id, fecha, monto, tipo FROM accepted",
     "tx_dedup_skew_safe": f"{TX} SELECT id, fecha, monto, tipo FROM accepted",
     "tx_hot_key_repeats": f"""{TX}, by_kind AS (
   SELECT id, kind AS tipo, min(id) OVER (PARTITION BY kind) AS first_ord FROM ruled WHERE rule IS NULL)
@@ -339,6 +340,47 @@ FROM gates""",
     "tx_commit_prefix": f"""{TX}, skips AS (
   SELECT id, row_number() OVER (ORDER BY id) AS n FROM verdicts WHERE reason IS NOT NULL)
 SELECT * FROM accepted WHERE id < coalesce((SELECT id FROM skips WHERE n = 51), 9223372036854775807)""",
+    "csv_commit_prefix": f"""{TX_TEXT}
+placed AS (
+  SELECT *, lower(trim(tipo)) AS kind,
+         min(id) OVER (PARTITION BY lower(trim(tipo)) IN ('debito', 'credito'), fecha, amount, lower(trim(tipo))) AS first_id
+  FROM texts),
+judged AS (SELECT *, coalesce(kind NOT IN ('debito', 'credito'), TRUE) OR id > first_id AS skipped FROM placed),
+skips AS (SELECT id, row_number() OVER (ORDER BY id) AS n FROM judged WHERE skipped)
+SELECT id, fecha, monto, kind AS tipo, monto <= 0 AS anomalia,
+       CASE WHEN monto < 0 THEN 'Monto negativo detectado' WHEN monto = 0 THEN 'Monto cero detectado' ELSE 'OK' END AS observacion
+FROM judged WHERE NOT skipped AND id < coalesce((SELECT id FROM skips WHERE n = 51), 9223372036854775807)""",
+    "tx_caller_rules": f"""WITH {TX_SOURCE},
+ruled AS (
+  SELECT *, lower(trim(tipo)) AS kind,
+         CASE WHEN id IS NULL OR fecha IS NULL OR monto IS NULL OR tipo IS NULL OR trim(tipo) = '' THEN 'INCOMPLETE'
+              WHEN monto > 100 THEN 'TOO_LARGE'
+              WHEN lower(trim(tipo)) NOT IN ('debito', 'credito') THEN 'BAD_TYPE'
+              WHEN dayofweek(fecha) IN (0, 6) THEN 'WEEKEND' END AS rule
+  FROM tx),
+placed AS (SELECT *, min(id) OVER (PARTITION BY rule IS NULL, fecha, monto, kind) AS first_id FROM ruled),
+verdicts AS (SELECT *, CASE WHEN rule IS NULL AND id > first_id THEN 'DUPLICATE' ELSE rule END AS reason FROM placed)
+SELECT id AS ord, CASE WHEN reason IS NULL THEN 'ACCEPTED' WHEN reason = 'WEEKEND' THEN 'FILTERED' ELSE 'SKIPPED' END AS outcome,
+       reason, CASE reason WHEN 'TOO_LARGE' THEN 'amount: ' || CAST(monto AS VARCHAR) ELSE {TX_DETAIL} END AS detail,
+       CASE WHEN reason IS NULL THEN monto END AS monto
+FROM verdicts""",
+    "tx_default_flag": f"""{TX} SELECT id, fecha, monto, tipo, id % 3 <> 0 AND anomalia AS anomalia, observacion
+FROM accepted""",
+    "tx_refused_records": f"""WITH {TX_SOURCE},
+given AS (
+  SELECT id AS ord, id % 700 AS id, fecha, tipo, id % 100 = 77 AS large,
+         CAST(monto AS DECIMAL(32,2)) + CASE WHEN id % 100 = 77 THEN 100000000000000 ELSE 0 END AS monto,
+         CASE WHEN id IS NULL OR fecha IS NULL OR monto IS NULL OR tipo IS NULL OR trim(tipo) = '' THEN 'INCOMPLETE'
+              WHEN lower(trim(tipo)) NOT IN ('debito', 'credito') THEN 'BAD_TYPE' END AS rule
+  FROM tx),
+firsts AS (SELECT *, min(ord) FILTER (rule IS NULL) OVER (PARTITION BY id) AS first_ord FROM given)
+SELECT 'daily_transactions' AS job, ord, CASE WHEN rule IS NULL THEN 'write' ELSE 'process' END AS phase,
+       CASE WHEN rule IS NULL THEN 'REFUSED' ELSE 'SKIPPED' END AS outcome,
+       coalesce(rule, CASE WHEN large THEN 'OVERFLOW' ELSE 'REPEATED_KEY' END) AS reason,
+       CASE WHEN rule = 'BAD_TYPE' THEN 'type: ' || tipo WHEN rule IS NULL AND large THEN 'column: monto'
+            WHEN rule IS NULL THEN 'repeats the key of the record at ' || CAST(first_ord AS VARCHAR) END AS detail,
+       id, CAST(fecha AS VARCHAR) AS fecha, CAST(monto AS DECIMAL(32,2)) AS monto
+FROM firsts WHERE rule IS NOT NULL OR large OR ord > first_ord""",
     "run_all": f"""SELECT 'daily_transactions' AS job,
   CASE WHEN skipped > 50 THEN 'FAILED' ELSE 'COMPLETED' END AS status, records_read,
   CASE WHEN skipped > 50 THEN 0 ELSE good END AS records_written, CAST(0 AS BIGINT) AS records_filtered,
@@ -372,6 +414,9 @@ FROM verdicts WHERE reason IS NOT NULL""",
   {TX_DETAIL} AS detail FROM verdicts WHERE reason IS NOT NULL""",
     "acct_published": f"{ACCT} SELECT * FROM accepted",
     "mov_published": f"{MOV} SELECT row_number() OVER (ORDER BY ord) AS id, * EXCLUDE (ord) FROM accepted",
+    "mov_republished_months": f"""{MOV} SELECT strftime(fecha, '%Y-%m') AS mes, clasificacion, count(*) AS movimientos,
+  CAST(sum(monto + CASE WHEN fecha >= DATE '1995-07-01' THEN 1 ELSE 0 END) AS DECIMAL(38,2)) AS total
+FROM accepted WHERE year(fecha) = 1995 GROUP BY ALL""",
     "mov_published_accounts": f"""{MOV} SELECT cuenta_id, count(*) AS movimientos,
 CAST(sum(monto) AS DECIMAL(38,2)) AS total FROM accepted GROUP BY cuenta_id""",
     "acct_published_counters": f"""{ACCT_GAPS}, counters AS (

@@ -68,8 +68,8 @@ class Job:
     def verdicts(self, records: DataFrame, measure: bool = False) -> DataFrame:
         """Every record once: ``ord, outcome, reason, detail, record, violation`` and the table columns.
 
-        The table columns are null for records that are not accepted; ``detail`` and ``record`` are null for
-        those that are. ``measure`` counts the repeated keys first (see ``mark_repeats``); without it the
+        The table columns are null for records that are not accepted. ``detail`` is null for those that are, ``record``
+        for those of them that keep the table contract. ``measure`` counts the repeated keys first (see ``mark_repeats``); without it the
         method is lazy.
         """
         rows = self.classified(records)
@@ -86,13 +86,14 @@ class Job:
         detail = F.when(repeats, F.concat(F.lit("repeats the record at "), F.col("first_ord").cast("string")))
         detail = F.coalesce(detail, R.detail(self.rules, F.col("reason")))
         record = F.coalesce(F.col(RAW), F.to_json(F.struct(*[item.name for item in self.fields])))
+        violation = F.when(accepted, self.table.breach(self.values))
         return rows.select(
             ORDER,
             "outcome",
             "reason",
             detail.alias("detail"),
-            F.when(~accepted, record).alias("record"),
-            F.when(accepted, self.table.breach(self.values)).alias("violation"),
+            F.when(~accepted | violation.isNotNull(), record).alias("record"),
+            violation.alias("violation"),
             *[
                 F.when(accepted, column.stored(self.values[column.name])).alias(column.name)
                 for column in self.table.given
@@ -141,10 +142,48 @@ class Job:
         return totals.select(F.inline(F.array(first, again))).where("records > 0")
 
 
+# When a record left the run: while it was read, by a rule, or on its way into the table.
+READ, PROCESS, WRITE = "read", "process", "write"
+REFUSED = "REFUSED"
+REPEATED_KEY = "REPEATED_KEY"
+LOG_COLUMNS = (ORDER, "phase", "outcome", "reason", "detail", "record")
+
+
 def reject_log(job: str, verdicts: DataFrame) -> DataFrame:
-    return verdicts.where(F.col("outcome") != R.ACCEPTED).select(
-        F.lit(job).alias("job"), ORDER, "outcome", "reason", "detail", "record"
+    """Everything that is not accepted, with the phase it left in."""
+    phase = F.when(F.col("outcome") == R.READ_ERROR, READ).otherwise(PROCESS)
+    rows = verdicts.where(F.col("outcome") != R.ACCEPTED).withColumn("phase", phase)
+    return rows.select(F.lit(job).alias("job"), *LOG_COLUMNS)
+
+
+def write_rejects(job: Job, verdicts: DataFrame) -> DataFrame:
+    """Accepted records that the table refuses: for breaking its contract, else for repeating the key of an earlier one.
+
+    ``reason`` is the first rule that a record breaks, ``detail`` the column or the record whose key it repeats, and
+    ``record`` what was read or, for a repeated key, the row as it would be written. Every record has one entry.
+    """
+    accepted = verdicts.where(F.col("outcome") == R.ACCEPTED)
+    broken = F.col("violation").isNotNull()
+    rule, column = (F.split_part("violation", F.lit(":"), F.lit(part)) for part in (1, 2))
+    log = accepted.where(broken).select(
+        ORDER, rule.alias("reason"), F.concat(F.lit("column: "), column).alias("detail"), "record"
     )
+    key = job.table.primary_key
+    if key:
+        row = F.to_json(F.struct(*[column.name for column in job.table.given]))
+        named = accepted.select(ORDER, "reason", broken.alias("broken"), *key, row.alias("row"))
+        repeats = mark_repeats(named, key, ORDER, measure=True).where(F.col("first_ord").isNotNull() & ~F.col("broken"))
+        text = F.concat(F.lit("repeats the key of the record at "), F.col("first_ord").cast("string"))
+        log = log.unionByName(
+            repeats.select(ORDER, F.lit(REPEATED_KEY).alias("reason"), text.alias("detail"), F.col("row").alias("record"))
+        )
+    log = log.withColumns({"phase": F.lit(WRITE), "outcome": F.lit(REFUSED)})
+    return log.select(F.lit(job.name).alias("job"), *LOG_COLUMNS)
+
+
+def skip_log(job: Job, verdicts: DataFrame) -> DataFrame:
+    """The whole log of a run: what was not read, what a rule rejected, what the table refuses."""
+    return reject_log(job.name, verdicts).unionByName(write_rejects(job, verdicts))
 
 
 def table_rows(job: Job, verdicts: DataFrame) -> DataFrame:

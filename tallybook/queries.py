@@ -18,14 +18,14 @@ from tallybook.operators.contracts import (
     repeated_primary_keys,
 )
 from tallybook.operators.gates import MAX_REJECTS, before, check_counts, prefix_end
-from tallybook.operators.numbering import number_rows
-from tallybook.operators.repeats import keep_first, mark_repeats
-from tallybook.operators.rules import ACCEPTED
-from tallybook.operators.sinks import FolderSink, settle
+from tallybook.operators.numbering import number_rows, number_scanned
+from tallybook.operators.repeats import keep_first, mark_repeats, mark_repeats_by_bitmap
+from tallybook.operators.rules import ACCEPTED, FILTERED, Rule
+from tallybook.operators.sinks import FolderSink, publish_months, read_months, settle
 from tallybook.plans import reports
 from tallybook.plans.job import Job, table_rows
 from tallybook.plans.jobs import RATES, annual_statements, daily_transactions, monthly_interest
-from tallybook.plans.run import COMPLETED, FAILED, count_outcomes, run_all, run_job
+from tallybook.plans.run import COMPLETED, FAILED, count_outcomes, run_all, run_files, run_job
 from tallybook.session import shared_folder
 from tallybook.sources import adapters
 from tallybook.sources.records import parse_records
@@ -83,6 +83,15 @@ def tx_dedup_skew_safe(spark: SparkSession, folder: str) -> DataFrame:
     return firsts.select("id", "fecha", "monto", F.col("kind").alias("tipo"))
 
 
+@query
+def tx_dedup_bitmap(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows once more: only records that may repeat, by a bit of their key's hash, are shuffled."""
+    job, records = daily_transactions(), adapters.transactions(spark, folder)
+    marked = mark_repeats_by_bitmap(job.classified(records), job.repeat_key(records), "ord")
+    firsts = marked.where(F.col("reason").isNull() & F.col("first_ord").isNull())
+    return firsts.select("id", "fecha", "monto", F.col("kind").alias("tipo"))
+
+
 @query
 def tx_hot_key_repeats(spark: SparkSession, folder: str) -> DataFrame:
     """Repeats of (type) alone: two keys hold all valid records, so each is hot."""
@@ -99,6 +108,28 @@ def tx_literal_key_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return job.accepted(records).select("id", "fecha", "monto", "tipo")
 
 
+@query
+def tx_caller_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Rules that a caller adds: one rejects, one leaves records out without counting them as rejects."""
+    amount = F.col("monto")
+    more = (
+        Rule("TOO_LARGE", amount > 100, detail=F.concat(F.lit("amount: "), amount.cast("string"))),
+        Rule("WEEKEND", F.dayofweek("fecha").isin(1, 7), FILTERED),
+    )
+    job = daily_transactions()
+    job = replace(job, rules=(job.rules[0], more[0], *job.rules[1:], more[1]))
+    return job.verdicts(adapters.transactions(spark, folder)).select("ord", "outcome", "reason", "detail", "monto")
+
+
+@query
+def tx_default_flag(spark: SparkSession, folder: str) -> DataFrame:
+    """A job that leaves the flag of some rows open: the table's default takes its place."""
+    job = daily_transactions()
+    unknown = F.col("id") % 3 == 0
+    job = replace(job, values={**job.values, "anomalia": F.when(~unknown, job.values["anomalia"])})
+    return job.accepted(adapters.transactions(spark, folder)).drop("ord")
+
+
 # Monthly interest
 
 
@@ -278,10 +309,10 @@ def csv_acct_outcome_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def csv_mov_statement_ids(spark: SparkSession, folder: str) -> DataFrame:
-    """Annual statements from delimited files, numbered in line order."""
+    """Annual statements from delimited files, numbered in line order without a shuffle of the rows."""
     job = annual_statements()
-    rows = job.accepted(job.read(spark, adapters.movement_files(spark, folder)))
-    return number_rows(rows, "ord", "id").drop("ord")
+    rows = job.accepted(job.read(spark, adapters.movement_files(spark, folder), stage=False))
+    return number_scanned(rows, "ord", "id").drop("ord")
 
 
 @query
@@ -352,6 +383,13 @@ def tx_commit_prefix(spark: SparkSession, folder: str) -> DataFrame:
     return table_rows(job, before(verdicts, end)).drop("ord")
 
 
+@query
+def csv_commit_prefix(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from files, which are opened in order and no further than the run can still pass."""
+    files = adapters.readable_transaction_files(spark, folder)
+    return run_files(spark, daily_transactions(), files, _sink(spark), commit="prefix", slice_files=1).release(spark).table
+
+
 def _three_runs(spark: SparkSession, folder: str) -> list:
     return [
         (daily_transactions(), adapters.transactions(spark, folder)),
@@ -413,6 +451,18 @@ def tx_failed_run_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return result.rejects.select("job", "ord", "outcome", "reason", "detail")
 
 
+@query
+def tx_refused_records(spark: SparkSession, folder: str) -> DataFrame:
+    """The log of a run that the table fails: rejected records, amounts too large for it, and ids that repeat."""
+    records = adapters.transactions(spark, folder)
+    large = F.when(F.col("id") % 100 == 77, F.col("monto").cast("decimal(32,2)") + 10**14)
+    records = records.withColumns({"monto": F.coalesce(large, "monto"), "id": F.col("id") % 700})
+    result = run_job(spark, replace(daily_transactions(), key=()), records, _sink(spark), None)
+    record = F.from_json("record", "id bigint, fecha string, monto decimal(32,2)").alias("record")
+    log = result.release(spark).rejects.select("job", "ord", "phase", "outcome", "reason", "detail", record)
+    return log.select("job", "ord", "phase", "outcome", "reason", "detail", "record.*")
+
+
 @query
 def acct_published(spark: SparkSession, folder: str) -> DataFrame:
     return _published(spark, monthly_interest(), adapters.accounts(spark, folder)).table
@@ -423,6 +473,20 @@ def mov_published(spark: SparkSession, folder: str) -> DataFrame:
     return _published(spark, annual_statements(), adapters.movements(spark, folder)).table
 
 
+@query
+def mov_republished_months(spark: SparkSession, folder: str) -> DataFrame:
+    """Statements by month: the second half of 1995 is published again with other amounts, a report reads that year."""
+    rows = annual_statements().accepted(adapters.movements(spark, folder))
+    path = shared_folder(spark, "months")
+    publish_months(rows, path, "fecha")
+    again = rows.where(F.col("fecha").between("1995-07-01", "1995-12-31"))
+    publish_months(again.withColumn("monto", (F.col("monto") + 1).cast("decimal(15,2)")), path, "fecha")
+    year = read_months(spark, path, rows.schema, "1995-01", "1995-12")
+    month = F.date_format("fecha", "yyyy-MM").alias("mes")
+    totals = (F.count(F.lit(1)).alias("movimientos"), F.sum("monto").cast("decimal(38,2)").alias("total"))
+    return year.groupBy(month, "clasificacion").agg(*totals)
+
+
 @query
 def mov_published_accounts(spark: SparkSession, folder: str) -> DataFrame:
     return _published(spark, annual_statements(), adapters.movements(spark, folder)).reports["accounts"]

@@ -74,6 +74,13 @@ def transaction_files(spark: SparkSession, folder: str) -> str:
     return _write_lines(text.select("ord", line.alias("line")), "transactions", "id,fecha,monto,tipo")
 
 
+def readable_transaction_files(spark: SparkSession, folder: str) -> str:
+    """The transactions as delimited files in record order, every line readable; some types are not known."""
+    text = transaction_text(spark, folder)
+    line = F.concat_ws(",", "id", "fecha", "monto", F.coalesce("tipo", F.lit("")))
+    return _write_lines(text.select("ord", line.alias("line")), "readable", "id,fecha,monto,tipo")
+
+
 def wide_amount_files(spark: SparkSession, folder: str) -> str:
     """The transactions with amounts of more digits than a table column holds, on either side of the point."""
     key = F.col("ord") % 8

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,3 +42,9 @@ def scan_delimited(spark: SparkSession, path: str | Sequence[str], columns: Sequ
         F.monotonically_increasing_id().alias("row"),
     )
     return lines.select(order.alias(ORDER), *columns, BROKEN_LINE)
+
+
+def input_files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """The files that a scan of ``path`` reads, in the order of their records."""
+    lines = spark.read.text(path if isinstance(path, str) else list(path))
+    return [unquote(file) for file in sorted(lines.inputFiles())]  # records are ordered by the path as Spark writes it
