@@ -12,17 +12,19 @@ with the class's own N' tokens and V' words; all unseen words of a class share t
 a probability.
 
 Training. One pass over all training documents, dealt by hash to ``TRAIN_SHARE`` shares and these in turn to ``ROUNDS``
-rounds. Every batch trains on its documents of the round's shares, by truncated backpropagation over windows of
-``WINDOW`` tokens, and the weights of all batches are averaged by tokens after each round.
+rounds. A round deals its documents by hash to units of about ``UNIT_BYTES`` of text. Each unit trains by itself, by truncated
+backpropagation over windows of ``WINDOW`` tokens, and the weights of all units are averaged by tokens after each round. Units
+and the order within them follow from the documents alone, so the network does not depend on how the table is read.
 
-Scoring. Lanes of documents run side by side; the state is carried from window to window until a document ends, so the
-score is the log-likelihood of the complete document, of any length.
+Scoring. The documents of a unit run side by side in lanes; the state is carried from window to window until a document
+ends, so the score is the log-likelihood of the complete document, of any length. A lane is a cursor into the unit's codes:
+besides these, memory holds one window of all lanes.
 
 Documents of the remainder 2 of crc32(doc_id) mod 7 take no part in counts or training. Words are compared by 64-bit
 hashes.
 
 Defined results: a null or empty text is the end token alone. Repeated rows are counted and scored as often as they
-occur. Without training documents all counts are 0 and the model is the uniform one over its classes. An empty table
+occur; rows without doc_id are dealt to units by their place in the table. Without training documents all counts are 0 and the model is the uniform one over its classes. An empty table
 gives an empty result.
 """
 
@@ -30,7 +32,6 @@ from __future__ import annotations
 
 import heapq
 import math
-import uuid
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,6 +41,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,17 +49,21 @@ from tallybook.llm.common import LOWER, Batches, remainder, slices, texts_of, wi
 from tallybook.operators.sinks import settle
 
 FREQUENT = 1024
-CLASS_WORDS = 32
+CLASS_WORDS = 64
 SHAPES = 65  # the last is that of the end token, if that is not among the frequent ones
 STATE = 24
 WINDOW = 16
-TRAIN_LANES, SCORE_LANES = 128, 512
+TRAIN_LANES, SCORE_LANES = 192, 512
+TRAIN_PIECE = 1024
 TRAIN_SHARE = 32
 ROUNDS = 2
-RATE = 0.01
+RATE = 0.015
 SLOT_BYTES = 8 << 20
 BATCH_BYTES = 24 << 20  # of text that shares one list of words
+UNIT_BYTES = 24 << 20  # of text whose documents meet in one task, to be scored or, a round of them at a time, to train
+UNIT_DOCUMENTS = 100_000
 WEIGHT_PARTS = 16
+LANE_UNITS = 64  # networks that a task adds up
 END = b"\n"  # no word holds a line break
 LOG10 = math.log(10)
 
@@ -122,8 +128,9 @@ def _tokenise(slots: int):
     """Rows of kind doc (a: word numbers), vocab (a: place of each word by hash, b: its shape by hash) and ask."""
 
     def run(batches: Batches) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, BATCH_BYTES):
-            words, name = Words(), uuid.uuid4().hex
+        task = TaskContext.get().partitionId()
+        for at, batch in enumerate(slices(batches, BATCH_BYTES)):
+            words, name = Words(), f"{task}.{at}"
             texts = texts_of(batch)
             held_out = batch.column("held_out").to_pylist()
             blobs, learned = [], [np.empty(0, np.uint32)]
@@ -331,6 +338,15 @@ class Network:
             at += size
         return Network(arrays, self.frequent)
 
+    def over(self, flat: np.ndarray) -> Network:
+        """A network whose arrays are views of ``flat``."""
+        arrays, at = {}, 0
+        for name in sorted(self.arrays):
+            size = self.arrays[name].size
+            arrays[name] = flat[at : at + size].reshape(self.arrays[name].shape)
+            at += size
+        return Network(arrays, self.frequent)
+
     def class_of(self, codes: np.ndarray) -> np.ndarray:
         return np.where(codes < FREQUENT, codes // CLASS_WORDS, self.word_classes + codes - FREQUENT)
 
@@ -403,135 +419,186 @@ def lanes_of(sizes: list[int], lanes: int) -> list[list[int]]:
     return sorted(held, key=lambda lane: -sum(sizes[at] for at in lane))
 
 
-def lane_tables(documents: list[np.ndarray], lanes: int) -> tuple[np.ndarray, ...]:
-    """Per step and lane: input code, wanted code, document; and how many lanes are still running at each step."""
-    dealt = lanes_of([len(codes) for codes in documents], lanes)
-    lengths = [sum(len(documents[at]) for at in lane) for lane in dealt]
-    steps = max(lengths, default=0)
-    inputs = np.full((steps, len(dealt)), START, np.int32)
-    wanted = np.zeros((steps, len(dealt)), np.int32)
-    owner = np.zeros((steps, len(dealt)), np.int32)
-    for lane, own in enumerate(dealt):
-        at = 0
-        for document in own:
-            codes = documents[document]
-            wanted[at : at + len(codes), lane] = codes
-            inputs[at + 1 : at + len(codes), lane] = codes[:-1]
-            owner[at : at + len(codes), lane] = document
-            at += len(codes)
-    running = np.searchsorted(-np.array(lengths), -np.arange(steps), side="left")
-    return inputs, wanted, owner, running
+class Lanes:
+    """Documents laid end to end in lanes that run side by side, longest first; positions are places in ``codes``."""
+
+    def __init__(self, documents: list[np.ndarray], lanes: int):
+        dealt = lanes_of([len(codes) for codes in documents], lanes)
+        self.order = [document for lane in dealt for document in lane]
+        lengths = np.array([len(documents[document]) for document in self.order], np.int64)
+        self.begins = np.cumsum(lengths) - lengths
+        self.codes = np.concatenate([documents[document] for document in self.order] or [np.empty(0, np.uint16)]).astype(np.uint16)
+        self.inputs = np.empty_like(self.codes)
+        self.inputs[1:] = self.codes[:-1]
+        self.inputs[self.begins] = START
+        self.sizes = np.array([sum(len(documents[document]) for document in lane) for lane in dealt], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.steps = int(self.sizes.max(initial=0))
+
+    def window(self, begin: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of the tokens of a window, step by step, and where each step ends among them."""
+        steps = np.arange(begin, min(begin + width, self.steps))
+        running = np.searchsorted(-self.sizes, -steps, side="left")
+        parts = [self.starts[:lanes] + step for step, lanes in zip(steps, running)]
+        return np.concatenate(parts), np.cumsum(running)
+
+
+def forward(network: Network, inputs: np.ndarray, ends: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
+    """States after each token of a window, and what training needs: states before, gates, proposals, recurrent parts."""
+    own = network.arrays["inputs"][inputs]
+    live = (inputs != START).astype(state.dtype)[:, None]
+    recurrent = network.arrays["recurrent"]
+    before, after, part, proposal = (np.empty((len(inputs), STATE), own.dtype) for _ in range(4))
+    gates = np.empty((len(inputs), 2 * STATE), own.dtype)
+    first = 0
+    for last in ends.tolist():
+        at = slice(first, last)
+        held = np.multiply(state[: last - first], live[at], out=before[at])
+        carried = held @ recurrent
+        both = carried[:, : 2 * STATE]
+        both += own[at, : 2 * STATE]
+        both *= 0.5
+        gate = np.tanh(both, out=gates[at])
+        gate *= 0.5
+        gate += 0.5
+        part[at] = carried[:, 2 * STATE :]
+        new = np.multiply(gate[:, :STATE], part[at], out=proposal[at])
+        new += own[at, 2 * STATE :]
+        np.tanh(new, out=new)
+        state = np.subtract(held, new, out=after[at])
+        state *= gate[:, STATE:]
+        state += new
+        first = last
+    return after, before, gates, proposal, part, live
 
 
 def log_likelihoods(network: Network, documents: list[np.ndarray], lanes: int = SCORE_LANES, window: int = 64) -> np.ndarray:
     """Natural log-likelihood of each complete document without the share of rare words in their classes."""
-    inputs, wanted, owner, running = lane_tables(documents, lanes)
+    run = Lanes(documents, lanes)
+    logs = np.zeros(len(run.codes), np.float32)
+    state = np.zeros((len(run.sizes), STATE), np.float32)
+    for begin in range(0, run.steps, window):
+        places, ends = run.window(begin, window)
+        states, *_ = forward(network, run.inputs[places], ends, state)
+        logs[places], _ = network.log_likelihood(states, run.codes[places].astype(np.int64))
+        state = states[len(states) - int(np.diff(ends, prepend=0)[-1]) :]
     out = np.zeros(len(documents))
-    state = np.zeros((inputs.shape[1], STATE), np.float32)
-    for begin in range(0, len(inputs), window):
-        states, codes, owners = [], [], []
-        for at in range(begin, min(begin + window, len(inputs))):
-            active = int(running[at])
-            now = inputs[at, :active]
-            before = state[:active] * (now != START)[:, None]
-            state = network.step(now, before.astype(np.float32))[0]
-            states.append(state)
-            codes.append(wanted[at, :active])
-            owners.append(owner[at, :active])
-        logs, _ = network.log_likelihood(np.concatenate(states), np.concatenate(codes))
-        out += np.bincount(np.concatenate(owners), weights=logs, minlength=len(documents))
+    if len(logs):
+        out[run.order] = np.add.reduceat(logs, run.begins, dtype=np.float64)
     return out
 
 
 def _add_rows(table: np.ndarray, places: np.ndarray, rows: np.ndarray) -> None:
     """Adds each row at its place; places may repeat."""
     order = np.argsort(places, kind="stable")
-    starts = np.flatnonzero(np.diff(places[order], prepend=-1))
+    starts = np.flatnonzero(np.diff(places[order].astype(np.int64), prepend=-1))
     table[places[order[starts]]] += np.add.reduceat(rows[order], starts, axis=0)
 
 
+def backward(network: Network, codes: np.ndarray, inputs: np.ndarray, ends: np.ndarray, state: np.ndarray, gradients: dict):
+    """Adds the gradients of the log-likelihood of a window's tokens; returns the states after its last step."""
+    after, before, gates, proposal, part, live = forward(network, inputs, ends, state)
+    _, back = network.log_likelihood(after, codes, gradients)
+    reset, keep = gates[:, :STATE], gates[:, STATE:]
+    by_keep = (before - proposal) * keep * (1 - keep)
+    by_proposal = (1 - keep) * (1 - proposal * proposal)
+    by_reset = part * reset * (1 - reset)
+    own, carried = (np.empty((len(inputs), 3 * STATE), back.dtype) for _ in range(2))
+    across = np.ascontiguousarray(network.arrays["recurrent"].T)
+    begins = np.concatenate(([0], ends[:-1]))
+    later = np.zeros((0, STATE), back.dtype)
+    for first, last in zip(begins[::-1].tolist(), ends[::-1].tolist()):
+        at = slice(first, last)
+        slope = back[at]
+        slope[: len(later)] += later
+        to_proposal = np.multiply(slope, by_proposal[at], out=own[at, 2 * STATE :])
+        np.multiply(to_proposal, by_reset[at], out=own[at, :STATE])
+        np.multiply(slope, by_keep[at], out=own[at, STATE : 2 * STATE])
+        carried[at, : 2 * STATE] = own[at, : 2 * STATE]
+        np.multiply(to_proposal, reset[at], out=carried[at, 2 * STATE :])
+        later = carried[at] @ across
+        later += slope * keep[at]
+        later *= live[at]
+    gradients["recurrent"] += before.T @ carried
+    _add_rows(gradients["inputs"], inputs, own)
+    return after[int(begins[-1]) :]
+
+
 def train(network: Network, documents: list[np.ndarray], lanes: int = TRAIN_LANES, rate: float = RATE) -> Network:
-    """One pass of truncated backpropagation, with the state carried from window to window (Adam steps)."""
-    inputs, wanted, _, running = lane_tables(documents, lanes)
-    network = network.filled(network.flat().copy())
-    arrays = network.arrays
-    first = {name: np.zeros_like(value) for name, value in arrays.items()}
-    second = {name: np.zeros_like(value) for name, value in arrays.items()}
-    state = np.zeros((inputs.shape[1], STATE), np.float32)
-    for turn, begin in enumerate(range(0, len(inputs), WINDOW), 1):
-        steps, held = range(begin, min(begin + WINDOW, len(inputs))), []
-        for at in steps:
-            now = inputs[at, : int(running[at])]
-            live = (now != START)[:, None].astype(np.float32)
-            before = state[: len(now)] * live
-            state, *parts = network.step(now, before)
-            held.append((now, live, before, state, *parts))
-        gradients = {name: np.zeros_like(value) for name, value in arrays.items()}
-        codes = np.concatenate([wanted[at, : int(running[at])] for at in steps])
-        states = np.concatenate([entry[3] for entry in held])
-        _, back = network.log_likelihood(states, codes, gradients)
-        ends = np.cumsum([len(entry[0]) for entry in held])
-        later = np.zeros((0, STATE), np.float32)
-        touched, changes = [], []
-        for number in range(len(held) - 1, -1, -1):
-            now, live, before, _, reset, keep, proposal, part = held[number]
-            slope = back[ends[number] - len(now) : ends[number]].copy()
-            slope[: len(later)] += later
-            to_keep = slope * (before - proposal) * keep * (1 - keep)
-            to_proposal = slope * (1 - keep) * (1 - proposal * proposal)
-            to_reset = to_proposal * part * reset * (1 - reset)
-            own = np.concatenate((to_reset, to_keep, to_proposal), axis=1)
-            carried = np.concatenate((to_reset, to_keep, to_proposal * reset), axis=1)
-            gradients["recurrent"] += before.T @ carried
-            later = (slope * keep + carried @ arrays["recurrent"].T) * live
-            touched.append(now)
-            changes.append(own)
-        _add_rows(gradients["inputs"], np.concatenate(touched), np.concatenate(changes))
-        for name, value in arrays.items():
-            slope = gradients[name] / len(codes)
-            first[name] += 0.1 * (slope - first[name])
-            second[name] += 0.01 * (slope * slope - second[name])
-            mean, spread = first[name] / (1 - 0.9**turn), second[name] / (1 - 0.99**turn)
-            value += rate * mean / (np.sqrt(spread) + 1e-6)
+    """One pass of truncated backpropagation, with the state carried from window to window (Adam steps).
+
+    Documents longer than ``TRAIN_PIECE`` train as pieces of that length, so that no lane runs on by itself.
+    """
+    pieces = [codes[at : at + TRAIN_PIECE] for codes in documents for at in range(0, len(codes), TRAIN_PIECE)]
+    run = Lanes(pieces, lanes)
+    full = len(run.sizes) * WINDOW
+    flat = network.flat().copy()
+    network = network.over(flat)
+    slopes, first, second = np.zeros_like(flat), np.zeros_like(flat), np.zeros_like(flat)
+    gradients = network.over(slopes).arrays
+    state = np.zeros((len(run.sizes), STATE), np.float32)
+    for turn, begin in enumerate(range(0, run.steps, WINDOW), 1):
+        places, ends = run.window(begin, WINDOW)
+        slopes[:] = 0
+        state = backward(network, run.codes[places].astype(np.int64), run.inputs[places], ends, state, gradients)
+        slopes /= len(places)
+        first += 0.1 * (slopes - first)
+        second += 0.01 * (slopes * slopes - second)
+        step = rate * len(places) / full  # lanes that have ended leave less to learn from
+        flat += step / (1 - 0.9**turn) * first / (np.sqrt(second / (1 - 0.99**turn)) + 1e-6)
     return network
 
 
 PARTS = "part int, lane int, tokens double, weights binary"
+TRAINED = "unit long, part int, tokens double, weights binary"
 
 
-def _train_round(coded: DataFrame, network: Network, turn: int) -> Network:
-    """Train on the documents of the round's shares in every task, and average the weights by tokens."""
-    shared = coded.sparkSession.sparkContext.broadcast(network)
+def _unit_documents(table: pa.Table) -> tuple[pa.Table, list[np.ndarray]]:
+    """The rows of a unit in an order that follows from them, and their codes."""
+    codes = table.column("codes").to_pylist()
+    ids = table.column("doc_id").to_pylist() if "doc_id" in table.column_names else [None] * len(codes)
+    order = sorted(range(len(codes)), key=lambda at: (xxhash.xxh3_64_intdigest(codes[at]), ids[at] is not None, ids[at] or 0))
+    return table.take(order), [np.frombuffer(codes[at], np.uint16) for at in order]
+
+
+def _add(table: pa.Table) -> pa.Table:
+    """Sums of a part over the rows of a lane, in an order that does not hang on how they arrive."""
+    rows = sorted(zip(table.column("tokens").to_pylist(), table.column("weights").to_pylist()))
+    weights = sum(np.frombuffer(data) for _, data in rows)
+    tokens = sum(tokens for tokens, _ in rows)
+    row = {"part": table.column("part")[:1], "lane": table.column("lane")[:1]}
+    return pa.table({**row, "tokens": pa.array([tokens], pa.float64()), "weights": pa.array([weights.tobytes()], pa.binary())})
 
-    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
-        for number, batch in enumerate(batches):
-            documents = [np.frombuffer(data, np.uint16) for data in batch.column("codes").to_pylist()]
-            if not documents:
-                continue
-            tokens = float(sum(map(len, documents)))
-            flat = train(shared.value, documents).flat() * tokens
-            parts = [part.astype(np.float64).tobytes() for part in np.array_split(flat, WEIGHT_PARTS)]
-            lane = xxhash.xxh32_intdigest(parts[0]) % 64
-            columns = [range(WEIGHT_PARTS), [lane] * WEIGHT_PARTS, [tokens] * WEIGHT_PARTS, parts]
-            kinds = (pa.int32(), pa.int32(), pa.float64(), pa.binary())
-            names = ["part", "lane", "tokens", "weights"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-
-    def add(table: pa.Table) -> pa.Table:
-        weights = sum(np.frombuffer(data) for data in table.column("weights").to_pylist())
-        tokens = sum(table.column("tokens").to_pylist())
-        return pa.table(
-            {
-                "part": table.column("part")[:1],
-                "lane": table.column("lane")[:1],
-                "tokens": pa.array([tokens], pa.float64()),
-                "weights": pa.array([weights.tobytes()], pa.binary()),
-            }
-        )
 
-    own = (F.col("share") >= 0) & (F.pmod("share", F.lit(ROUNDS)) == turn)
-    sums = coded.where(own).select("codes").mapInArrow(run, PARTS)
-    sums = sums.groupBy("part", "lane").applyInArrow(add, PARTS).groupBy("part").applyInArrow(add, PARTS)
+def _train_round(coded: DataFrame, network: Network, turn: int, units: int = 1) -> Network:
+    """Train on the documents of the round's shares, unit by unit, and average the weights by tokens.
+
+    Documents are dealt by their column ``unit``; without it they are one unit. Weights are added by lanes of
+    ``LANE_UNITS``, these by lanes of their own, until one is left.
+    """
+    shared = coded.sparkSession.sparkContext.broadcast(network)
+
+    def run(table: pa.Table) -> pa.Table:
+        unit = table.column("unit")[0].as_py()
+        _, documents = _unit_documents(table)
+        tokens = float(sum(map(len, documents)))
+        flat = train(shared.value, documents).flat() * tokens
+        parts = [part.astype(np.float64).tobytes() for part in np.array_split(flat, WEIGHT_PARTS)]
+        columns = [[unit] * WEIGHT_PARTS, range(WEIGHT_PARTS), [tokens] * WEIGHT_PARTS, parts]
+        kinds = (pa.int64(), pa.int32(), pa.float64(), pa.binary())
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["unit", "part", "tokens", "weights"])
+
+    own = coded.where((F.col("share") >= 0) & (F.pmod("share", F.lit(ROUNDS)) == turn))
+    own = own if "unit" in coded.columns else own.withColumn("unit", F.lit(0).cast("long"))
+    names = [name for name in ("doc_id", "unit", "codes") if name in own.columns]
+    sums = own.select(*names).groupBy("unit").applyInArrow(run, TRAINED).withColumnRenamed("unit", "lane")
+    sums = sums.withColumn("lane", F.floor(F.col("lane") / LANE_UNITS).cast("int"))
+    lanes = -(-units // LANE_UNITS)
+    while True:
+        sums = sums.groupBy("part", "lane").applyInArrow(_add, PARTS)
+        if lanes == 1:
+            break
+        sums, lanes = sums.withColumn("lane", F.floor(F.col("lane") / LANE_UNITS).cast("int")), -(-lanes // LANE_UNITS)
     parts = sorted((row.part, row.tokens, row.weights) for row in sums.collect())  # one network
     if not parts:
         return network
@@ -541,8 +608,10 @@ def _train_round(coded: DataFrame, network: Network, turn: int) -> Network:
 def scores(documents: DataFrame) -> DataFrame:
     """Per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
     docs = with_columns(documents, doc_id="long", text="string")
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size = docs.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
+    total = size.bytes or 0
     slots = max(1, -(-total // SLOT_BYTES))
+    units = max(1, -(-total // UNIT_BYTES), -(-size.rows // UNIT_DOCUMENTS))
     docs = docs.withColumn("held_out", remainder("doc_id", 7) == 2)
     found = settle(docs.mapInArrow(_tokenise(slots), TOKENS), "tokens", "kind")
     asks = found.where("kind = 'ask'").select("batch", "slot", "a", "b", "c")
@@ -552,21 +621,21 @@ def scores(documents: DataFrame) -> DataFrame:
     left = found.where("kind in ('doc', 'vocab')").select("batch", "kind", "doc_id", "held_out", "a", "b", "c")
     right = replies.where("kind = 'reply'").select("batch", "slot", "counts")
     coded = left.groupBy("batch").cogroup(right.groupBy("batch")).applyInArrow(_code(known), CODED)
-    coded = settle(coded, "coded")
+    number = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    unit = F.pmod(F.xxhash64("doc_id", "codes", number), F.lit(units).cast("long"))
+    coded = settle(coded.withColumn("unit", unit), "coded")
     network = Network.fresh(known)
     for turn in range(ROUNDS):
-        network = _train_round(coded, network, turn)
+        network = _train_round(coded, network, turn, units)
     shared = documents.sparkSession.sparkContext.broadcast(network)
 
-    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [np.frombuffer(data, np.uint16) for data in batch.column("codes").to_pylist()]
-            logs = log_likelihoods(shared.value, texts) if texts else np.zeros(0)
-            score = (logs + batch.column("rare").to_numpy()) / LOG10
-            at = batch.schema.get_field_index("rare")
-            yield batch.set_column(at, "score", pa.array(score)).drop_columns(["codes"])
-
-    rows = coded.drop("share").mapInArrow(
+    def run(table: pa.Table) -> pa.Table:
+        table, texts = _unit_documents(table)
+        score = (log_likelihoods(shared.value, texts) + table.column("rare").to_numpy()) / LOG10
+        names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score"]
+        return table.select(names).append_column("score", pa.array(score))
+
+    rows = coded.drop("share").groupBy("unit").applyInArrow(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
     return rows.withColumn("train_tokens", F.lit(known.tokens).cast("long")).select(

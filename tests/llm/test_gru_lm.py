@@ -162,3 +162,63 @@ def test_shapes():
     words = [b"a", b"abc.", b"abcdefgh,", b"abcdefghijklm!", "é".encode(), "straße".encode(), b"\xff"]
     assert all(0 <= shape(word) < SHAPES - 1 for word in words) and len({shape(word) for word in words}) > 4
     assert gru_lm.lanes_of([5, 1, 4, 2], 2) in ([[0, 1], [2, 3]], [[2, 3], [0, 1]])
+
+
+def test_gradients_through_time_equal_differences(network):
+    """Of the recurrent and input weights, over a window with several documents."""
+    random_ = np.random.default_rng(8)
+    wide = {name: value.astype(np.float64) for name, value in network.arrays.items()}
+    net = Network(wide, network.frequent)
+    texts = [random_.choice(all_codes(), size) for size in (7, 3, 9, 1, 5)]
+    run = gru_lm.Lanes(texts, 2)
+    places, ends = run.window(0, 100)
+    start = random_.normal(0, 0.3, (2, STATE))
+    gradients = {name: np.zeros_like(value) for name, value in wide.items()}
+    gru_lm.backward(net, run.codes[places].astype(np.int64), run.inputs[places], ends, start, gradients)
+
+    def total():
+        states, *_ = gru_lm.forward(net, run.inputs[places], ends, start)
+        return net.log_likelihood(states, run.codes[places].astype(np.int64))[0].sum()
+
+    used = int(texts[2][3])
+    spots = [("recurrent", (row, column)) for row, column in ((0, 0), (5, 30), (9, 60), (23, 71))]
+    spots += [("inputs", (START, 2)), ("inputs", (START, 70)), ("inputs", (used, 10)), ("inputs", (used, 40)), ("inputs", (used, 65))]
+    for name, place in spots:
+        before = total()
+        wide[name][place] += 1e-5
+        assert abs((total() - before) / 1e-5 - gradients[name][place]) < 1e-3
+        wide[name][place] -= 1e-5
+    assert gradients["recurrent"].any() and gradients["inputs"][used].any()
+
+
+def test_lanes_hold_every_document_once(network):
+    random_ = np.random.default_rng(9)
+    texts = [random_.choice(all_codes(), size).astype(np.uint16) for size in random_.integers(1, 40, 30)]
+    run = gru_lm.Lanes(texts, 4)
+    places = np.concatenate([run.window(begin, 7)[0] for begin in range(0, run.steps, 7)])
+    assert sorted(places.tolist()) == list(range(sum(map(len, texts))))
+    assert [run.codes[at : at + len(texts[document])].tolist() for at, document in zip(run.begins, run.order)] == [
+        texts[document].tolist() for document in run.order
+    ]
+    assert (run.inputs[run.begins] == START).all()
+
+
+def test_a_very_long_text_among_short_ones_takes_little_memory(network):
+    import tracemalloc
+
+    random_ = np.random.default_rng(10)
+    texts = [random_.choice(all_codes(), size).astype(np.uint16) for size in [200_000, *[20] * 600]]
+    tracemalloc.start()
+    found = log_likelihoods(network, texts)
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+    assert np.allclose(found[1:4], [plain_score(network, codes) for codes in texts[1:4]], rtol=1e-4)
+
+
+def test_scores_do_not_hang_on_runs_or_partitions(documents, prose, monkeypatch):
+    monkeypatch.setattr(gru_lm, "UNIT_BYTES", 30_000)  # several units
+    pairs = [(at, prose(at, at % 40)) for at in range(300)]
+    table = documents(pairs)
+    runs = [scores(table), scores(table), scores(table.repartition(8)), scores(table.coalesce(1))]
+    found = [sorted((row.doc_id, row.score) for row in run.collect()) for run in runs]
+    assert found[0] == found[1] == found[2] == found[3]
