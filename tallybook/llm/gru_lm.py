@@ -35,6 +35,7 @@ import math
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -53,11 +54,11 @@ CLASS_WORDS = 64
 SHAPES = 65  # the last is that of the end token, if that is not among the frequent ones
 STATE = 24
 WINDOW = 16
-TRAIN_LANES, SCORE_LANES = 192, 512
+TRAIN_LANES, SCORE_LANES = 384, 512
 TRAIN_PIECE = 1024
 TRAIN_SHARE = 32
 ROUNDS = 2
-RATE = 0.015
+RATE = 0.02
 SLOT_BYTES = 8 << 20
 BATCH_BYTES = 24 << 20  # of text that shares one list of words
 UNIT_BYTES = 24 << 20  # of text whose documents meet in one task, to be scored or, a round of them at a time, to train
@@ -90,12 +91,18 @@ def shape(word: bytes) -> int:
     return closing * 16 + length * 4 + beyond
 
 
+@lru_cache(maxsize=1)
+def _zstandard() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    """Made once per process: a pair for each text would cost more than its ids."""
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def _packed(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+    return _zstandard()[0].compress(values.tobytes())
 
 
 def _unpacked(data: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+    return np.frombuffer(_zstandard()[1].decompress(data), kind)
 
 
 TOKENS = "kind string, batch string, slot long, doc_id long, held_out boolean, a binary, b binary, c binary"
@@ -457,10 +464,11 @@ def forward(network: Network, inputs: np.ndarray, ends: np.ndarray, state: np.nd
         carried = held @ recurrent
         both = carried[:, : 2 * STATE]
         both += own[at, : 2 * STATE]
-        both *= 0.5
-        gate = np.tanh(both, out=gates[at])
-        gate *= 0.5
-        gate += 0.5
+        gate = np.negative(both, out=gates[at])
+        with np.errstate(over="ignore"):  # a gate that is shut
+            np.exp(gate, out=gate)
+        gate += 1
+        np.reciprocal(gate, out=gate)
         part[at] = carried[:, 2 * STATE :]
         new = np.multiply(gate[:, :STATE], part[at], out=proposal[at])
         new += own[at, 2 * STATE :]
@@ -472,7 +480,7 @@ def forward(network: Network, inputs: np.ndarray, ends: np.ndarray, state: np.nd
     return after, before, gates, proposal, part, live
 
 
-def log_likelihoods(network: Network, documents: list[np.ndarray], lanes: int = SCORE_LANES, window: int = 64) -> np.ndarray:
+def log_likelihoods(network: Network, documents: list[np.ndarray], lanes: int = SCORE_LANES, window: int = 32) -> np.ndarray:
     """Natural log-likelihood of each complete document without the share of rare words in their classes."""
     run = Lanes(documents, lanes)
     logs = np.zeros(len(run.codes), np.float32)
