@@ -9,7 +9,9 @@ some window shares at least ``least_shared(b)`` of them. Templates longer than t
 and those of whose bigrams the whole text holds too few, are dropped before any window is looked at. A window that would
 run over the end of the text is moved back to end with it.
 
-One row per document: the best template's licence, its Dice, where its window begins, and all licences found.
+One row per document: the best template's licence, its Dice, where its window begins, and all licences found. Notices of
+related licences differ in a word or a version, so several templates reach the bound on one notice: of templates of
+different licences whose windows share more than half of the shorter one, the better alone counts as found.
 
 Defined results: null, empty and one-word texts have no bigram and no licence (null, Dice 0). Of equal Dice the longer
 template is taken, then the first in the list. Repeated rows are each reported. An empty table gives an empty result.
@@ -94,6 +96,20 @@ class Templates:
         return found
 
 
+def apart(found: list[tuple[float, int, int, int]], names: Sequence[str]) -> list[tuple[float, int, int, int]]:
+    """What is found, best first, without templates whose window a better one of another licence covers by half."""
+    kept: list[tuple[float, int, int, int]] = []
+    for hit in sorted(found, key=lambda hit: (-hit[0], -hit[3], hit[1])):
+        _, number, first, length = hit
+        covered = any(
+            names[other] != names[number] and 2 * (min(first + length, begin + size) - max(first, begin)) > min(length, size)
+            for _, other, begin, size in kept
+        )
+        if not covered:
+            kept.append(hit)
+    return kept
+
+
 def _dense_starts(held: list[int], length: int, needed: float, words: int) -> list[int]:
     """Starts of windows with enough places in them: at a place, or where the text's last window begins."""
     places = np.array(held)
@@ -118,11 +134,11 @@ def licenses(
         for batch in batches:
             rows = []
             for text in texts_of(batch):
-                found = held.scan(text)
+                found = apart(held.scan(text), held.names)
                 if not found:
                     rows.append((None, 0.0, None, None, []))
                     continue
-                dice, number, first, length = max(found, key=lambda hit: (hit[0], hit[3], -hit[1]))
+                dice, number, first, length = found[0]
                 names = sorted({held.names[hit[1]] for hit in found})
                 rows.append((held.names[number], dice, first, length, names))
             kinds = (pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.list_(pa.string()))

@@ -44,18 +44,6 @@ required by applicable law or agreed to in writing, software distributed under t
 BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
 language governing permissions and limitations under the License."""
 
-_GPL_HEADER = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
-General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your
-option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
-without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public
-License for more details."""
-
-_GPL_2_HEADER = """This program is free software; you can redistribute it and/or modify it under the terms of the GNU
-General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your
-option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
-without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public
-License for more details."""
-
 _MPL_HEADER = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL
 was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
 
@@ -63,6 +51,56 @@ _UNLICENSE = """This is free and unencumbered software released into the public
 publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any
 purpose, commercial or non-commercial, and by any means."""
 
+def _header(program: str, family: str, version: str) -> str:
+    """The notice that the publisher of the GNU licences asks for in every file."""
+    return (
+        f"This {program} is free software{':' if version == '3' else ';'} you can redistribute it and/or modify it under the "
+        f"terms of the GNU {family} as published by the Free Software Foundation{',' if version == '3' else ';'} either "
+        f"version {version} of the License, or (at your option) any later version. This {program} is distributed in the hope "
+        f"that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS "
+        f"FOR A PARTICULAR PURPOSE. See the GNU {family} for more details."
+    )
+
+
+# The GNU licences that have short notices and file notices of one wording, by name and version.
+_GNU = (
+    ("GPL-1.0", "General Public License", "1"),
+    ("GPL-2.0", "General Public License", "2"),
+    ("GPL-3.0", "General Public License", "3"),
+    ("LGPL-2.0", "Library General Public License", "2"),
+    ("LGPL-2.1", "Lesser General Public License", "2.1"),
+    ("LGPL-3.0", "Lesser General Public License", "3"),
+    ("AGPL-3.0", "Affero General Public License", "3"),
+)
+_GNU_NOTICES = tuple(
+    (name, text)
+    for name, family, version in _GNU
+    for text in (
+        f"Licensed under the GNU {family}, version {version}.",
+        f"This work is licensed under the GNU {family}, version {version}.",
+        _header("library" if family.startswith(("Lesser", "Library")) else "program", family, version),
+    )
+)
+# The Creative Commons licences by their parts, and the versions with the names they go by.
+_CREATIVE = (
+    ("BY", "Attribution"),
+    ("BY-SA", "Attribution-ShareAlike"),
+    ("BY-NC", "Attribution-NonCommercial"),
+    ("BY-ND", "Attribution-NoDerivatives"),
+    ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+    ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+)
+_CREATIVE_VERSIONS = (("3.0", "Unported"), ("4.0", "International"))
+_CREATIVE_NOTICES = tuple(
+    (f"CC-{short}-{version}", text)
+    for short, long in _CREATIVE
+    for version, scope in _CREATIVE_VERSIONS
+    for text in (
+        f"Licensed under CC {short} {version}.",
+        f"This work is licensed under a Creative Commons {long} {version} {scope} License.",
+    )
+)
+
 # (licence, text); several texts may stand for one licence.
 TEMPLATES = (
     ("MIT", _MIT_GRANT),
@@ -75,22 +113,10 @@ TEMPLATES = (
     ("BSD-3-Clause", f"{_BSD_CONDITIONS} {_BSD_NAMES} {_BSD_DISCLAIMER}"),
     ("Apache-2.0", _APACHE_HEADER),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("GPL-3.0", _GPL_HEADER),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "Licensed under the GNU General Public License, version 3."),
-    ("GPL-2.0", _GPL_2_HEADER),
-    ("GPL-2.0", "Licensed under the GNU General Public License, version 2."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
-    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("Apache-1.1", "Licensed under the Apache License, Version 1.1."),
+    *_GNU_NOTICES,
     ("MPL-2.0", _MPL_HEADER),
     ("Unlicense", _UNLICENSE),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    *_CREATIVE_NOTICES,
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
 )
