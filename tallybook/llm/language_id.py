@@ -6,8 +6,8 @@ greater sum of margins decides ties. Features are byte n-grams of two and three
 lower-cased and signs and digits as blanks, counted in ``BUCKETS`` hashed places, square roots, scaled to length 1.
 
 Learning uses a bounded sample of labelled rows: at most ``TEXTS_PER_LANGUAGE`` texts per language in the order of a hash
-of the id, fewer if there are more than ``LANGUAGES``; at most ``TEXT_BYTES`` bytes of a sampled text. Prediction reads
-all of every text.
+of the id, fewer if there are more than ``LANGUAGES``. Learning and prediction read all of every text, its features are
+counted a piece at a time.
 
 Defined results: a null text and one without a letter are ``und`` with score 0. If only one language was learned, it
 is predicted with score 1; if none was, every text is ``und``. Repeated rows are predicted alike. Rows without id
@@ -33,7 +33,8 @@ from tallybook.llm.common import Batches, remainder, with_columns
 BUCKETS = 4096
 TEXTS_PER_LANGUAGE = 1200
 LANGUAGES = 10
-TEXT_BYTES = 1 << 20
+PIECE = 1 << 20  # bytes whose features are counted at once
+SALTS = 64
 EPOCHS = 15
 SOFTNESS = 4.0
 UNDETERMINED = "und"
@@ -64,12 +65,15 @@ def family_of(language: str) -> str:
 def vector(text: bytes) -> np.ndarray:
     """Features of a text."""
     plain = b" " + b" ".join(text.translate(PLAIN).split()) + b" "
-    codes = np.frombuffer(plain, np.uint8).astype(np.uint32)
-    pairs = codes[:-1] * np.uint32(0x9E3779B1) + codes[1:] * np.uint32(0x85EBCA77)
+    counts = np.zeros(BUCKETS, np.int64)
     shift = np.uint32(32 - (BUCKETS - 1).bit_length())
-    triples = (pairs[:-1] ^ (codes[2:] * np.uint32(0xC2B2AE3D))) * np.uint32(0x27D4EB2F)
-    counts = np.bincount((pairs * np.uint32(0x27D4EB2F)) >> shift, minlength=BUCKETS)
-    counts += np.bincount(triples >> shift, minlength=BUCKETS)
+    for at in range(0, len(plain), PIECE):
+        # two bytes of the next piece end the pairs and triples that begin in this one
+        codes = np.frombuffer(plain, np.uint8, min(PIECE + 2, len(plain) - at), at).astype(np.uint32)
+        pairs = codes[:-1] * np.uint32(0x9E3779B1) + codes[1:] * np.uint32(0x85EBCA77)
+        triples = (pairs[:-1] ^ (codes[2:] * np.uint32(0xC2B2AE3D))) * np.uint32(0x27D4EB2F)
+        counts += np.bincount((pairs[:PIECE] * np.uint32(0x27D4EB2F)) >> shift, minlength=BUCKETS)
+        counts += np.bincount(triples[:PIECE] >> shift, minlength=BUCKETS)
     roots = np.sqrt(counts.astype(np.float32))
     return roots / max(float(np.sqrt(counts.sum())), 1.0)
 
@@ -137,8 +141,11 @@ def fit(documents: DataFrame) -> LanguageModel:
         return LanguageModel(families, number, np.zeros((BUCKETS, 0)), np.zeros(0))
 
     each = max(20, min(TEXTS_PER_LANGUAGE, TEXTS_PER_LANGUAGE * LANGUAGES // len(languages)))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit("language")), "doc_id")
-    ids = docs.select("doc_id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
+    # the first ids of each salt, of which those of the language are the first: no language meets in one task
+    ids = docs.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
+    for group in (["lang", "salt"], ["lang"]):
+        order = Window.partitionBy(*group).orderBy(F.xxhash64("doc_id", F.lit("language")), "doc_id")
+        ids = ids.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
     sample = docs.join(F.broadcast(ids.select("doc_id", "lang").distinct()), ["doc_id", "lang"])
 
     def spread(batches: Batches) -> Iterator[pa.RecordBatch]:
@@ -147,7 +154,7 @@ def fit(documents: DataFrame) -> LanguageModel:
             for text, language in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
                 if not LETTER.search(text):
                     continue
-                family, held = family_of(language), vector(text.encode()[:TEXT_BYTES]).tobytes()
+                family, held = family_of(language), vector(text.encode()).tobytes()
                 for pair, at in number.items():
                     name = family if pair[0] == "" else language if pair[0] == family else None
                     if name in pair[1:]:
