@@ -78,10 +78,10 @@ def inflated(stream) -> Iterator[bytes]:
     opener = zlib.decompressobj(GZIP)
     while data := stream.read(CHUNK):
         while data:
-            yield opener.decompress(data)
-            data = opener.unused_data
-            if opener.eof and data:
+            if opener.eof:
                 opener = zlib.decompressobj(GZIP)
+            yield opener.decompress(data, CHUNK)  # a megabyte may hold a gigabyte of zeros
+            data = opener.unused_data if opener.eof else opener.unconsumed_tail
 
 
 def records(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -208,7 +208,9 @@ def normalise(marked: DataFrame, folder: str) -> DataFrame:
             {"warc": [f"{folder}/{name}.warc.gz"], "sidecar": [f"{folder}/{name}.index.jsonl"], "records": [len(lines)]}
         )
 
-    chosen = marked.select("file", "record", "revisit", "refers_to")
+    # as many tasks as files: by their size alone, the short lists of records would all go to one
+    files = max(1, marked.select("file").distinct().count())
+    chosen = marked.select("file", "record", "revisit", "refers_to").repartition(files, "file")
     return settle(chosen.groupBy("file").applyInArrow(rewrite, FILES), "archives")
 
 
