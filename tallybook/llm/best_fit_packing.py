@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import BATCH_BYTES, Batches, slices, with_columns
+from tallybook.llm.common import BATCH_BYTES, Batches, released, slices, with_columns
 from tallybook.llm.tokens import encoder
 from tallybook.operators.sinks import settle
 
@@ -60,7 +60,7 @@ def pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_i
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-    return with_columns(documents, doc_id="long", text="string").mapInArrow(cut, PIECES)
+    return with_columns(documents, doc_id="long", text="string").mapInArrow(released(cut), PIECES)
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,38 @@ Batches = Iterator[pa.RecordBatch]
 BATCH_BYTES = 8 << 20
 
 
+def give_back() -> None:
+    """Return freed memory to the system, where the allocators can: a Python worker waits for its next task beside an
+    executor that may need it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def released(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """A function over the batches of a task that gives its memory back when the task ends."""
+
+    def wrapped(batches: Batches) -> Batches:
+        yield from run(batches)
+        give_back()
+
+    return wrapped
+
+
+def released_group(run: Callable[[pa.Table], pa.Table], least_bytes: int = 4 << 20) -> Callable[[pa.Table], pa.Table]:
+    """The same for a function over groups, after large ones."""
+
+    def wrapped(table: pa.Table) -> pa.Table:
+        size = table.nbytes
+        found = run(table)
+        if size >= least_bytes:
+            give_back()
+        return found
+
+    return wrapped
+
+
 def with_columns(df: DataFrame, **defaults: str) -> DataFrame:
     """Only the named columns, cast to the given types; a column that is missing is null."""
     present = set(df.columns)

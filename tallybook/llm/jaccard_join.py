@@ -41,7 +41,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import BATCH_BYTES, BLANKS, LOWER, Batches, slices, text_key, texts_of, with_columns, without_rows
+from tallybook.llm.common import (
+    BATCH_BYTES,
+    BLANKS,
+    LOWER,
+    Batches,
+    released,
+    released_group,
+    slices,
+    text_key,
+    texts_of,
+    with_columns,
+    without_rows,
+)
 from tallybook.llm.components import connected, forest
 from tallybook.operators.sinks import settle
 
@@ -374,13 +386,13 @@ def _join_slot(ranges: int):
 
 def _candidates(documents: DataFrame, like: Similarity, ranges: int) -> tuple[DataFrame, DataFrame]:
     """Rows of the documents with their digests, and edges between the nodes of candidates."""
-    rows = documents.select("doc_id", "text", text_key().alias("text_key")).mapInArrow(_read(like, ranges), ROWS_DDL)
-    found = settle(rows.groupBy("slot").applyInArrow(_count(ranges), ROWS_DDL), "candidates", "kind")
+    rows = documents.select("doc_id", "text", text_key().alias("text_key")).mapInArrow(released(_read(like, ranges)), ROWS_DDL)
+    found = settle(rows.groupBy("slot").applyInArrow(released_group(_count(ranges)), ROWS_DDL), "candidates", "kind")
     docs = found.where("kind = 'doc'").select("doc_id", "n_shingles", "digest", "text_key", "node")
     batches = found.where("kind in ('own', 'reply')")
     batches = batches.select("kind", "slot", "batch", "keys", "counts", "owners", "nodes", "sizes")
-    chosen = batches.groupBy("batch").applyInArrow(_choose(like, ranges), EDGES_DDL)
-    edges = chosen.groupBy("slot").applyInArrow(_join_slot(ranges), "node long, other long")
+    chosen = batches.groupBy("batch").applyInArrow(released_group(_choose(like, ranges)), EDGES_DDL)
+    edges = chosen.groupBy("slot").applyInArrow(released_group(_join_slot(ranges)), "node long, other long")
     return docs, edges
 
 
@@ -535,11 +547,11 @@ def _linked(docs: DataFrame, members: DataFrame, like: Similarity, block_sets: i
     texts = docs.join(wanted.hint("merge"), docs["doc_id"].eqNullSafe(wanted["rep"])).select(
         "text", "digest", F.col("node").alias("rep"), "block", "sets", "tasks"
     )
-    sets = texts.mapInArrow(read, "digest binary, rep long, block long, sets long, tasks long, grams binary")
+    sets = texts.mapInArrow(released(read), "digest binary, rep long, block long, sets long, tasks long, grams binary")
     sets = settle(sets, "sets")
 
     whole = sets.where("tasks = 1").select("block", "rep", "digest", "grams", F.lit(None).cast("long").alias("label"))
-    out = settle(whole.groupBy("block").applyInArrow(_link_blocks(like), LINKED_DDL), "linked").select("digest", F.col("other").alias("component"))
+    out = settle(whole.groupBy("block").applyInArrow(released_group(_link_blocks(like)), LINKED_DDL), "linked").select("digest", F.col("other").alias("component"))
     large = sets.where("tasks > 1")
     if not large.isEmpty():
         out = out.unionByName(_large_blocks(large, like))

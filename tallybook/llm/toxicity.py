@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import BATCH_BYTES, LOWER, Batches, remainder, slices, texts_of, with_columns
+from tallybook.llm.common import BATCH_BYTES, LOWER, Batches, released, remainder, slices, texts_of, with_columns
 
 WINDOW_WORDS = 6
 TOXIC_TEXTS, ORDINARY_TEXTS = 2000, 6000
@@ -222,7 +222,7 @@ def _scored(documents: DataFrame, model: ToxicityModel) -> DataFrame:
             yield batch.set_column(at, "_toxicity", pa.array(scores, pa.float64()))
 
     rows = documents.withColumn("_toxicity", F.lit(None).cast("double"))
-    return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(released(run), rows.schema)
 
 
 def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:

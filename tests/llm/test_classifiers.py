@@ -30,8 +30,14 @@ def brute_licences(text):
             found.append((best[0], length, -number, name, -best[1]))
     if not found:
         return (None, 0.0, None, None, [])
-    top = max(found)
-    return (top[3], top[0], top[4], top[1], sorted({name for *_, name, _ in found}))
+    kept = []
+    for hit in sorted(found, reverse=True):
+        spans = [(other[4], other[4] + other[1], other[1]) for other in kept if other[3] != hit[3]]
+        shared = [(min(end, hit[4] + hit[1]) - max(begin, hit[4]), min(size, hit[1])) for begin, end, size in spans]
+        if not any(2 * both > shorter for both, shorter in shared):
+            kept.append(hit)
+    top = kept[0]
+    return (top[3], top[0], top[4], top[1], sorted({name for *_, name, _ in kept}))
 
 
 def test_licences_equal_brute_force(documents, prose):
@@ -59,6 +65,33 @@ def test_notices_of_gpl_2_are_not_reported_as_gpl_3(documents, prose):
     assert [row.license for row in rows] == ["GPL-2.0", "GPL-3.0"] * 2
 
 
+NOTICES = {
+    "GNU Lesser General Public License, version 2.1": "LGPL-2.1",
+    "GNU Lesser General Public License, version 3": "LGPL-3.0",
+    "GNU Affero General Public License, version 3": "AGPL-3.0",
+    "GNU General Public License, version 2": "GPL-2.0",
+    "Apache License, Version 1.1": "Apache-1.1",
+    "Apache License, Version 2.0": "Apache-2.0",
+}
+
+
+def test_a_notice_gives_its_own_licence_alone(documents, prose):
+    wanted = [(f"Licensed under the {notice}.", name) for notice, name in NOTICES.items()]
+    wanted += [(f"This work is licensed under the {notice}.", name) for notice, name in NOTICES.items() if "GNU" in notice]
+    for parts, name in (("Attribution", "BY"), ("Attribution-NonCommercial", "BY-NC"), ("Attribution-ShareAlike", "BY-SA")):
+        for version, scope in (("3.0", "Unported"), ("4.0", "International")):
+            text = f"This work is licensed under a Creative Commons {parts} {version} {scope} License."
+            wanted.append((text, f"CC-{name}-{version}"))
+    wanted += [(text, name) for name, text in TEMPLATES if name.startswith(("GPL", "LGPL", "AGPL", "CC-", "BSD"))]
+    rows = licenses(documents([f"{prose(at, 9)} {text} {prose(at, 14)}" for at, (text, _) in enumerate(wanted)])).orderBy("doc_id").collect()
+    assert [(row.license, row.licenses) for row in rows] == [(name, [name]) for _, name in wanted]
+
+
+def test_two_notices_apart_give_both_licences(documents, prose):
+    text = f"Licensed under the GNU General Public License, version 2. {prose(1, 30)} Licensed under CC BY 4.0."
+    assert licenses(documents([text])).first().licenses == ["CC-BY-4.0", "GPL-2.0"]
+
+
 def test_licences_of_odd_rows(odd, odd_pairs, none):
     rows = licenses(odd).collect()
     assert len(rows) == len(odd_pairs) and all(row.license is None and row.licenses == [] for row in rows)
@@ -194,3 +227,65 @@ def test_windows_cover_the_whole_text():
     text = b" ".join(b"w%d" % at for at in range(100))
     assert b" ".join(window.strip() for window in toxicity.windows(text)) == text
     assert toxicity.windows(b" \n") == []
+
+
+def plain_features(text):
+    """Counts of hashed pairs and triples, byte by byte."""
+    plain = b" " + b" ".join(text.translate(language_id.PLAIN).split()) + b" "
+    counts, word = np.zeros(language_id.BUCKETS), 1 << 32
+    shift = 32 - (language_id.BUCKETS - 1).bit_length()
+    for at in range(len(plain) - 1):
+        pair = (plain[at] * 0x9E3779B1 + plain[at + 1] * 0x85EBCA77) % word
+        counts[pair * 0x27D4EB2F % word >> shift] += 1
+        if at + 2 < len(plain):
+            counts[(pair ^ plain[at + 2] * 0xC2B2AE3D % word) * 0x27D4EB2F % word >> shift] += 1
+    return np.sqrt(counts) / max(np.sqrt(counts.sum()), 1)
+
+
+@pytest.mark.parametrize("piece", [1, 2, 7, 1 << 20])
+def test_features_are_those_of_the_whole_text(monkeypatch, piece):
+    monkeypatch.setattr(language_id, "PIECE", piece)
+    for text in ("", "a", "Der Hund, 12 Katzen!", "é" * 9, "ab cd " * 20):
+        assert np.allclose(language_id.vector(text.encode()), plain_features(text.encode()), atol=1e-6)
+
+
+def test_votes_by_brute_force():
+    random_ = np.random.default_rng(4)
+    names = ["a", "b", "c", "d"]
+    pairs = [("", x, y) for i, x in enumerate(names) for y in names[i + 1 :]]
+    model = language_id.LanguageModel({}, {pair: at for at, pair in enumerate(pairs)}, np.zeros((1, 1)), np.zeros(1))
+    for _ in range(200):
+        margins = random_.integers(-2, 3, len(pairs)).astype(float)
+        votes = {name: [0, 0.0] for name in names}
+        for (_, x, y), margin in zip(pairs, margins):
+            votes[x][0] += margin > 0
+            votes[y][0] += margin < 0
+            votes[x][1] += margin
+            votes[y][1] -= margin
+        best, sure = model._winner("", names, margins)
+        assert votes[best] == max(votes.values()) and 0 <= sure <= 1
+
+
+def test_the_sample_does_not_hang_on_salts(labelled, monkeypatch):
+    documents, _ = labelled
+    found = {}
+    for salts in (1, 7):
+        monkeypatch.setattr(language_id, "SALTS", salts)
+        monkeypatch.setattr(language_id, "TEXTS_PER_LANGUAGE", 30)
+        found[salts] = language_id.fit(documents)
+    assert np.allclose(found[1].weights, found[7].weights)
+
+
+def test_differences_are_those_of_the_windows_by_themselves():
+    ordinary, toxic = b"the cat sat on the mat and saw " * 3, b"vilewretch horridfool " + b"the cat sat on the mat and saw " * 3
+    text = b"The cat saw a VileWretch on the mat and the horridfool sat " * 4
+
+    def size(window, dictionary):
+        return len(toxicity._compressor.__wrapped__(dictionary).compress(window))
+
+    words = text.lower().split()
+    wanted = []
+    while words:
+        window, words = b" " + b" ".join(words[:6]) + b" ", words[6:]
+        wanted.append(size(window, ordinary) - size(window, toxic))
+    assert toxicity.differences(text, ordinary, toxic).tolist() == wanted and max(wanted) > 3

@@ -117,3 +117,21 @@ def test_the_rest_works_without_this_package(tmp_path):
             target.write_text(source.read_text(encoding="utf-8"), encoding="utf-8")
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 40 and not any(n.startswith('op') for n in q)"
     subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, check=True, timeout=120)
+
+
+def test_stages_take_odd_rows_and_extra_columns(spark, corpus, odd, tmp_path):
+    docs, left = odd, []
+    for name, stage in corpus_pipeline.STAGES:
+        columns = docs.columns
+        stage(spark, docs, corpus[0]).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        if name != "best_fit_packing":
+            assert docs.columns == columns
+            left.append(sorted((row.doc_id is None, row.doc_id or 0) for row in docs.select("doc_id").collect()))
+    unnamed = [(True, 0)] * 2
+    assert left[0] == [(False, at) for at in (1, 2, 3, 4, 5, 5, 6, 7)] + unnamed
+    # of the blank ones the longest stays, of equal ones the first; rows without id are never dropped
+    assert left[1] == left[2] == left[3] == [(False, at) for at in (3, 4, 6, 7)] + unnamed
+    pieces = docs.groupBy("doc_id").agg({"length": "sum", "piece": "max"}).collect()
+    assert {row.doc_id for row in pieces} == {3, 4, 6, 7, None}
+    assert next(row["sum(length)"] for row in pieces if row.doc_id == 7) > 4096

@@ -90,3 +90,26 @@ def test_records_in_chunks_of_any_size():
         assert [payload_of(block) for _, block in records(iter(parts))] == [b"\r\n\r\n"[:at] + b"abc" for at in range(4)]
     with pytest.raises(ValueError):
         list(records(iter([data[:-3]])))
+
+
+def test_inflated_chunks_stay_small():
+    from tallybook.llm.warc import CHUNK, inflated
+
+    parts = [b"\x00" * (40 << 20), b"abc" * 1000, b""]
+    stream = io.BytesIO(b"".join(gzip.compress(part) for part in parts))
+    size, most, tail = 0, 0, b""
+    for piece in inflated(stream):
+        size, most, tail = size + len(piece), max(most, len(piece)), (tail + piece)[-3000:]
+    assert (size, most <= CHUNK, tail) == (sum(map(len, parts)), True, parts[1])
+
+
+def test_long_payloads(pages):
+    rows = [(1, "u", "<p>long</p>" * 900_000, "x"), (2, "u", "short", "x"), (3, "u", "<p>long</p>" * 900_000, "x")]
+    assert found(round_trip(pages(rows))) == brute(rows)
+
+
+def test_every_file_is_rewritten_by_a_task_of_its_own(spark, pages):
+    written = write_archives(pages(ROWS), shared_folder(spark, "mono"), file_bytes=2000)
+    files = written.select("file").distinct().count()
+    archives = normalise(repeats(written), shared_folder(spark, "warc"))
+    assert archives.count() == files and len(archives.inputFiles()) > 1
