@@ -18,7 +18,7 @@ and the order within them follow from the documents alone, so the network does n
 
 Scoring. The documents of a unit run side by side in lanes; the state is carried from window to window until a document
 ends, so the score is the log-likelihood of the complete document, of any length. A lane is a cursor into the unit's codes:
-besides these, memory holds one window of all lanes.
+besides these, memory holds one window of all lanes. In training, texts of over ``TRAIN_PIECE`` tokens are pieces of it.
 
 Documents of the remainder 2 of crc32(doc_id) mod 7 take no part in counts or training. Words are compared by 64-bit
 hashes.
@@ -458,38 +458,44 @@ def forward(network: Network, inputs: np.ndarray, ends: np.ndarray, state: np.nd
     before, after, part, proposal = (np.empty((len(inputs), STATE), own.dtype) for _ in range(4))
     gates = np.empty((len(inputs), 2 * STATE), own.dtype)
     first = 0
-    for last in ends.tolist():
-        at = slice(first, last)
-        held = np.multiply(state[: last - first], live[at], out=before[at])
-        carried = held @ recurrent
-        both = carried[:, : 2 * STATE]
-        both += own[at, : 2 * STATE]
-        gate = np.negative(both, out=gates[at])
-        with np.errstate(over="ignore"):  # a gate that is shut
+    with np.errstate(over="ignore"):  # of the exponent of a gate that is shut
+        for last in ends.tolist():
+            at = slice(first, last)
+            held = np.multiply(state[: last - first], live[at], out=before[at])
+            carried = held @ recurrent
+            both = carried[:, : 2 * STATE]
+            both += own[at, : 2 * STATE]
+            gate = np.negative(both, out=gates[at])
             np.exp(gate, out=gate)
-        gate += 1
-        np.reciprocal(gate, out=gate)
-        part[at] = carried[:, 2 * STATE :]
-        new = np.multiply(gate[:, :STATE], part[at], out=proposal[at])
-        new += own[at, 2 * STATE :]
-        np.tanh(new, out=new)
-        state = np.subtract(held, new, out=after[at])
-        state *= gate[:, STATE:]
-        state += new
-        first = last
+            gate += 1
+            np.reciprocal(gate, out=gate)
+            part[at] = carried[:, 2 * STATE :]
+            new = np.multiply(gate[:, :STATE], part[at], out=proposal[at])
+            new += own[at, 2 * STATE :]
+            np.tanh(new, out=new)
+            state = np.subtract(held, new, out=after[at])
+            state *= gate[:, STATE:]
+            state += new
+            first = last
     return after, before, gates, proposal, part, live
 
 
-def log_likelihoods(network: Network, documents: list[np.ndarray], lanes: int = SCORE_LANES, window: int = 32) -> np.ndarray:
-    """Natural log-likelihood of each complete document without the share of rare words in their classes."""
+def log_likelihoods(network: Network, documents: list[np.ndarray], lanes: int = SCORE_LANES, window: int = 64) -> np.ndarray:
+    """Natural log-likelihood of each complete document without the share of rare words in their classes.
+
+    A window has ``lanes * window`` tokens: the fewer lanes still run, the more steps it takes.
+    """
     run = Lanes(documents, lanes)
     logs = np.zeros(len(run.codes), np.float32)
     state = np.zeros((len(run.sizes), STATE), np.float32)
-    for begin in range(0, run.steps, window):
-        places, ends = run.window(begin, window)
+    begin = 0
+    while begin < run.steps:
+        width = max(1, lanes * window // int((run.sizes > begin).sum()))
+        places, ends = run.window(begin, width)
         states, *_ = forward(network, run.inputs[places], ends, state)
         logs[places], _ = network.log_likelihood(states, run.codes[places].astype(np.int64))
         state = states[len(states) - int(np.diff(ends, prepend=0)[-1]) :]
+        begin += len(ends)
     out = np.zeros(len(documents))
     if len(logs):
         out[run.order] = np.add.reduceat(logs, run.begins, dtype=np.float64)
