@@ -7,7 +7,8 @@ lower-cased and signs and digits as blanks, counted in ``BUCKETS`` hashed places
 
 Learning uses a bounded sample of labelled rows: at most ``TEXTS_PER_LANGUAGE`` texts per language in the order of a hash
 of the id, fewer if there are more than ``LANGUAGES``. Learning and prediction read all of every text, its features are
-counted a piece at a time.
+counted a piece at a time. Vectors travel compressed, and a machine's task holds those of its texts once; tasks take
+their texts a slice at a time and give their memory back.
 
 Defined results: a null text and one without a letter are ``und`` with score 0. If only one language was learned, it
 is predicted with score 1; if none was, every text is ``und``. Repeated rows are predicted alike. Rows without id
@@ -19,21 +20,22 @@ from __future__ import annotations
 import itertools
 import math
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import Batches, remainder, with_columns
+from tallybook.llm.common import BATCH_BYTES, Batches, released, released_group, remainder, slices, with_columns
 
 BUCKETS = 4096
 TEXTS_PER_LANGUAGE = 1200
 LANGUAGES = 10
-PIECE = 1 << 20  # bytes whose features are counted at once
+PIECE = 1 << 16  # bytes whose features are counted at once
+ROWS = 256  # vectors that are squared at once
 SALTS = 64
 EPOCHS = 15
 SOFTNESS = 4.0
@@ -63,13 +65,17 @@ def family_of(language: str) -> str:
 
 
 def vector(text: bytes) -> np.ndarray:
-    """Features of a text."""
-    plain = b" " + b" ".join(text.translate(PLAIN).split()) + b" "
+    """Features of a text with a letter."""
+    plain = np.frombuffer(b" " + text.translate(PLAIN) + b" ", np.uint8)
+    blank = plain == 0x20
+    blank[1:] &= blank[:-1].copy()  # those that follow another
+    blank[0] = False
+    plain = plain[~blank]
     counts = np.zeros(BUCKETS, np.int64)
     shift = np.uint32(32 - (BUCKETS - 1).bit_length())
     for at in range(0, len(plain), PIECE):
         # two bytes of the next piece end the pairs and triples that begin in this one
-        codes = np.frombuffer(plain, np.uint8, min(PIECE + 2, len(plain) - at), at).astype(np.uint32)
+        codes = plain[at : at + PIECE + 2].astype(np.uint32)
         pairs = codes[:-1] * np.uint32(0x9E3779B1) + codes[1:] * np.uint32(0x85EBCA77)
         triples = (pairs[:-1] ^ (codes[2:] * np.uint32(0xC2B2AE3D))) * np.uint32(0x27D4EB2F)
         counts += np.bincount((pairs[:PIECE] * np.uint32(0x27D4EB2F)) >> shift, minlength=BUCKETS)
@@ -79,18 +85,26 @@ def vector(text: bytes) -> np.ndarray:
 
 
 def train_machine(rows: np.ndarray, sides: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights and constant of a linear support vector machine, by dual coordinate descent; sides are 1 or -1."""
-    rows = np.column_stack([rows, np.ones(len(rows), np.float32)])
-    lengths = (rows * rows).sum(axis=1)
+    """Weights and constant of a linear support vector machine, by dual coordinate descent; sides are 1 or -1.
+
+    The steps follow from the rows and sides in whatever order they come. Nothing is as large as ``rows`` beside them.
+    """
+    ordered = np.argsort(rows.view(f"S{rows.shape[1] * rows.itemsize}").ravel(), kind="stable")
+    ordered = ordered[np.argsort(sides[ordered], kind="stable")]
+    lengths = np.empty(len(rows), np.float32)
+    for at in range(0, len(rows), ROWS):
+        some = np.column_stack([rows[at : at + ROWS], np.ones(len(rows[at : at + ROWS]), np.float32)])
+        lengths[at : at + ROWS] = (some * some).sum(axis=1)
     limits = SOFTNESS * len(rows) / (2 * np.array([(sides == side).sum() for side in sides]))  # equal say for each side
-    alphas, weights = np.zeros(len(rows)), np.zeros(rows.shape[1])
-    order = np.random.default_rng(0)
+    alphas, weights = np.zeros(len(rows)), np.zeros(rows.shape[1] + 1)
+    row, order = np.ones(rows.shape[1] + 1), np.random.default_rng(0)
     for _ in range(EPOCHS):
-        for at in order.permutation(len(rows)):
-            slope = sides[at] * float(rows[at] @ weights) - 1
+        for at in ordered[order.permutation(len(rows))]:
+            row[:-1] = rows[at]
+            slope = sides[at] * float(row @ weights) - 1
             alpha = min(max(alphas[at] - slope / lengths[at], 0.0), limits[at])
             if alpha != alphas[at]:
-                weights += (alpha - alphas[at]) * sides[at] * rows[at]
+                weights += (alpha - alphas[at]) * sides[at] * row
                 alphas[at] = alpha
     return weights[:-1], float(weights[-1])
 
@@ -149,12 +163,12 @@ def fit(documents: DataFrame) -> LanguageModel:
     sample = docs.join(F.broadcast(ids.select("doc_id", "lang").distinct()), ["doc_id", "lang"])
 
     def spread(batches: Batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, BATCH_BYTES):
             rows = []
             for text, language in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
                 if not LETTER.search(text):
                     continue
-                family, held = family_of(language), vector(text.encode()).tobytes()
+                family, held = family_of(language), zlib.compress(vector(text.encode()).tobytes(), 1)
                 for pair, at in number.items():
                     name = family if pair[0] == "" else language if pair[0] == family else None
                     if name in pair[1:]:
@@ -165,37 +179,41 @@ def fit(documents: DataFrame) -> LanguageModel:
                 [pa.array(c, k) for c, k in zip(columns, kinds)], ["pair", "side", "held"]
             )
 
-    def train(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["side", "held"])
-        rows = np.frombuffer(b"".join(frame["held"]), np.float32).reshape(len(frame), BUCKETS)
-        weights, constant = train_machine(rows, frame["side"].to_numpy(np.float64))
-        return pd.DataFrame({"pair": [frame["pair"].iloc[0]], "weights": [weights.tobytes()], "constant": [constant]})
-
-    machines = sample.select("text", "lang").mapInArrow(spread, "pair int, side int, held binary")
-    machines = machines.groupBy("pair").applyInPandas(train, "pair int, weights binary, constant double")
+    def train(table: pa.Table) -> pa.Table:
+        rows = np.empty((len(table), BUCKETS), np.float32)
+        for at, held in enumerate(table.column("held")):
+            rows[at] = np.frombuffer(zlib.decompress(held.as_buffer()), np.float32)
+        weights, constant = train_machine(rows, table.column("side").to_numpy().astype(np.float64))
+        columns = [table.column("pair")[:1].cast(pa.int32()), [weights.tobytes()], [constant]]
+        return pa.table(columns, pa.schema([("pair", pa.int32()), ("weights", pa.binary()), ("constant", pa.float64())]))
+
+    machines = sample.select("text", "lang").mapInArrow(released(spread), "pair int, side int, held binary")
+    # what a group takes is its vectors, more than the compressed ones that come
+    machines = machines.groupBy("pair").applyInArrow(released_group(train, 0), "pair int, weights binary, constant double")
     weights, constants = np.zeros((BUCKETS, len(pairs))), np.zeros(len(pairs))
     for row in machines.collect():  # one row per pair of languages
         weights[:, row.pair], constants[row.pair] = np.frombuffer(row.weights), row.constant
     return LanguageModel(families, number, weights, constants)
 
 
+def predicted(batches: Batches, model: LanguageModel) -> Batches:
+    """``doc_id, lang_pred, score`` of batches with ``doc_id, text``."""
+    for batch in slices(batches, BATCH_BYTES):
+        found = [model.predict(text) for text in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id"),
+                pa.array([language for language, _ in found], pa.string()),
+                pa.array([score for _, score in found], pa.float64()),
+            ],
+            ["doc_id", "lang_pred", "score"],
+        )
+
+
 def languages(documents: DataFrame) -> DataFrame:
     """Per document: ``doc_id, held_out, lang_pred, score``."""
     shared = documents.sparkSession.sparkContext.broadcast(fit(documents))
-
-    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches:
-            found = [model.predict(text) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([language for language, _ in found], pa.string()),
-                    pa.array([score for _, score in found], pa.float64()),
-                ],
-                ["doc_id", "lang_pred", "score"],
-            )
-
     rows = with_columns(documents, doc_id="long", text="string")
+    run = released(lambda batches: predicted(batches, shared.value))
     rows = rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
     return rows.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")

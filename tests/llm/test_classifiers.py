@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,6 +154,58 @@ def test_language_of_odd_rows(spark, odd, none, labelled):
     assert language_id.languages(unlearned).first().lang_pred == "und"
 
 
+def peak_of(run):
+    """Bytes that ``run`` has at once beyond those it was given."""
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_language_machine_holds_its_vectors_once():
+    chooser = np.random.default_rng(3)
+    rows = np.sqrt(chooser.poisson(0.1, (1500, language_id.BUCKETS))).astype(np.float32)
+    sides = np.where(np.arange(1500) % 3 == 0, 1.0, -1.0)
+    assert peak_of(lambda: language_id.train_machine(rows, sides)) < rows.nbytes / 2
+
+
+def test_a_language_machine_is_the_same_in_any_order_of_rows():
+    chooser = np.random.default_rng(4)
+    rows = np.sqrt(chooser.poisson(0.2, (90, 64))).astype(np.float32)
+    rows[60:] = rows[:30]
+    sides = np.where(rows[:, 0] + rows[:, 1] > 0, 1.0, -1.0)
+    weights, constant = language_id.train_machine(rows, sides)
+    for _ in range(3):
+        order = chooser.permutation(90)
+        again, other = language_id.train_machine(rows[order], sides[order])
+        assert (again == weights).all() and other == constant
+
+
+def test_language_features_are_those_of_words_joined_by_single_blanks():
+    for text in ("a", " x ", "--ab..c--", "é1é", "word  " * 40_000, "z" * 150_000):
+        plain = b" " + b" ".join(text.encode().translate(language_id.PLAIN).split()) + b" "
+        assert (language_id.vector(text.encode()) == language_id.vector(plain)).all()
+        codes, counts = np.frombuffer(plain, np.uint8).astype(np.uint32), np.zeros(language_id.BUCKETS)
+        pairs = codes[:-1] * np.uint32(0x9E3779B1) + codes[1:] * np.uint32(0x85EBCA77)
+        triples = (pairs[:-1] ^ (codes[2:] * np.uint32(0xC2B2AE3D))) * np.uint32(0x27D4EB2F)
+        for places in ((pairs * np.uint32(0x27D4EB2F)) >> np.uint32(20), triples >> np.uint32(20)):
+            counts += np.bincount(places, minlength=language_id.BUCKETS)
+        assert np.allclose(language_id.vector(text.encode()), np.sqrt(counts / counts.sum()), atol=1e-6)
+
+
+def test_languages_are_predicted_a_slice_at_a_time():
+    model = language_id.LanguageModel({"en": ["en"]}, {}, np.zeros((language_id.BUCKETS, 0)), np.zeros(0))
+    text = "some words of a text " * 1600
+    size = len(text) * 1500
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1500)), "text": [text] * 1500})
+    got = []
+    assert peak_of(lambda: got.extend(language_id.predicted(iter([batch]), model))) < size / 2
+    assert sum(map(len, got)) == 1500 and all(set(part.column("lang_pred").to_pylist()) == {"en"} for part in got)
+
+
+
 def test_languages_with_one_or_no_family(labelled):
     documents, _ = labelled
     rows = language_id.languages(documents.where("lang in ('fr', 'es')")).join(documents, "doc_id").collect()
