@@ -65,11 +65,11 @@ def family_of(language: str) -> str:
 
 
 def vector(text: bytes) -> np.ndarray:
-    """Features of a text with a letter."""
-    plain = np.frombuffer(b" " + text.translate(PLAIN) + b" ", np.uint8)
+    """Features of a text."""
+    plain = np.frombuffer(b" " + text.translate(PLAIN).strip() + b" ", np.uint8)
     blank = plain == 0x20
     blank[1:] &= blank[:-1].copy()  # those that follow another
-    blank[0] = False
+    blank[[0, -1]] = False
     plain = plain[~blank]
     counts = np.zeros(BUCKETS, np.int64)
     shift = np.uint32(32 - (BUCKETS - 1).bit_length())
